@@ -13,11 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.config import EVENTS, LINEITEM, REFERENCE
+from domainpulse.config import DEMO_CENTROIDS, EVENTS, FEATURES, LINEITEM, REFERENCE, PipelineConfig
+from domainpulse.functions.rounding import round_half_up
+from domainpulse.operators import cluster as cluster_ops
+from domainpulse.operators import features as feature_ops
 from domainpulse.operators import gaps as gap_ops
 from domainpulse.operators import kpi as kpi_ops
+from domainpulse.operators import score as score_ops
 from domainpulse.plans import bridges
 
+RUN_DATE = "2024-02-01"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -96,4 +102,162 @@ def q_gap_lineitem(spark, base):
     return gap_ops.gap_candidates(lineitem_kpi(spark, base), bridges.lineitem_domains(spark, base), LINEITEM.gaps)
 
 
-_ = F  # keep the functions import for later sections
+# --- features -------------------------------------------------------------
+def r6(df: DataFrame, cols) -> DataFrame:
+    """Round the given double columns to 6 decimals for equality checks."""
+    return df.select(*[round_half_up(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def events_features(spark, base, cfg=EVENTS) -> DataFrame:
+    return feature_ops.build_features(events_kpi(spark, base, cfg))
+
+
+def events_clustered(spark, base, cfg=EVENTS, centers=DEMO_CENTROIDS) -> DataFrame:
+    feats = events_features(spark, base, cfg)
+    return cluster_ops.cluster_features(feats, feature_ops.standardise(feats), centers)
+
+
+def events_scored(spark, base, cfg: PipelineConfig = EVENTS) -> DataFrame:
+    return score_ops.score_domains(events_clustered(spark, base, cfg), cfg.score)
+
+
+@query("feature_null_counts")
+def q_feature_null_counts(spark, base):
+    return feature_ops.null_counts(events_kpi(spark, base))
+
+
+@query("features_raw")
+def q_features_raw(spark, base):
+    return feature_ops.raw_features(events_kpi(spark, base))
+
+
+@query("features_imputed")
+def q_features_imputed(spark, base):
+    return feature_ops.impute_median(feature_ops.raw_features(events_kpi(spark, base)))
+
+
+@query("features_scaled")
+def q_features_scaled(spark, base):
+    return r6(feature_ops.standardise(events_features(spark, base)), feature_ops.SCALED)
+
+
+@query("features_scaled_lineitem")
+def q_features_scaled_lineitem(spark, base):
+    feats = feature_ops.build_features(lineitem_kpi(spark, base))
+    return r6(feature_ops.standardise(feats), feature_ops.SCALED)
+
+
+@query("scaler_params")
+def q_scaler_params(spark, base):
+    return r6(feature_ops.scaler_params(events_features(spark, base)), ("mean", "std"))
+
+
+# --- clustering -----------------------------------------------------------
+@query("nearest_centroid")
+def q_nearest_centroid(spark, base):
+    scaled = feature_ops.standardise(events_features(spark, base))
+    out = cluster_ops.assign_clusters(scaled, DEMO_CENTROIDS)
+    return r6(out.select("domain_id", "cluster_label", "risk_tier", "centroid_dist"), ("centroid_dist",))
+
+
+@query("centroid_rank")
+def q_centroid_rank(spark, base):
+    # Centroids are literals; the query still ranks them next to the
+    # domains each one attracts, so it reads the tables.
+    scaled = feature_ops.standardise(events_features(spark, base))
+    assigned = cluster_ops.assign_by_original_id(scaled, DEMO_CENTROIDS)
+    members = assigned.groupBy("cid").agg(F.count(F.lit(1)).alias("members"))
+    cents = cluster_ops.centroid_table(spark, DEMO_CENTROIDS)
+    out = cents.join(members, "cid", "left").select(
+        "cid", "severity", "cluster_label", "risk_tier",
+        F.coalesce("members", F.lit(0)).cast("long").alias("members"))
+    return r6(out, ("severity",))
+
+
+@query("kmeans_clusters")
+def q_kmeans_clusters(spark, base):
+    feats = events_features(spark, base)
+    scaled = feature_ops.standardise(feats)
+    model, _, _ = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
+    return cluster_ops.cluster_features(feats, scaled, [list(c) for c in model.clusterCenters()])
+
+
+@query("cluster_tiers")
+def q_cluster_tiers(spark, base):
+    feats = events_features(spark, base)
+    scaled = feature_ops.standardise(feats)
+    model, cost, seed = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
+    cents = cluster_ops.centroid_table(spark, [list(c) for c in model.clusterCenters()])
+    return cents.withColumn("training_cost", F.lit(cost)).withColumn("seed", F.lit(seed))
+
+
+@query("tier_profile")
+def q_tier_profile(spark, base):
+    prof = cluster_ops.tier_profile(events_clustered(spark, base))
+    return r6(prof, tuple(f"mean_{c}" for c in FEATURES))
+
+
+@query("tier_distribution")
+def q_tier_distribution(spark, base):
+    return cluster_ops.tier_distribution(events_clustered(spark, base))
+
+
+# --- scoring ------------------------------------------------------------
+@query("score_components")
+def q_score_components(spark, base):
+    df = events_scored(spark, base).select("domain_id", *[f"score_{c}" for c in FEATURES], "composite_score")
+    return r6(df, tuple(f"score_{c}" for c in FEATURES))
+
+
+@query("composite_score")
+def q_composite_score(spark, base):
+    return events_scored(spark, base).select("domain_id", "composite_score")
+
+
+@query("score_tier")
+def q_score_tier(spark, base):
+    return events_scored(spark, base).select("domain_id", "composite_score", "score_tier")
+
+
+@query("score_tier_contiguous")
+def q_score_tier_contiguous(spark, base):
+    cfg = PipelineConfig(window_days=EVENTS.window_days, gaps=EVENTS.gaps,
+                         score=EVENTS.score.__class__(EVENTS.score.weights, EVENTS.score.ceilings, "contiguous"))
+    return events_scored(spark, base, cfg).select("domain_id", "composite_score", "score_tier")
+
+
+@query("reconciled_tier")
+def q_reconciled_tier(spark, base):
+    return events_scored(spark, base).select("domain_id", "score_tier", "cluster_tier", "risk_tier")
+
+
+@query("top_driver")
+def q_top_driver(spark, base):
+    return events_scored(spark, base).select("domain_id", "top_driver")
+
+
+def events_risk_scores(spark, base, cfg=EVENTS) -> DataFrame:
+    return score_ops.risk_scores(events_clustered(spark, base, cfg), cfg.score, RUN_DATE)
+
+
+@query("risk_scores")
+def q_risk_scores(spark, base):
+    return events_risk_scores(spark, base)
+
+
+@query("risk_scores_reference")
+def q_risk_scores_reference(spark, base):
+    cfg = PipelineConfig(window_days=EVENTS.window_days, gaps=EVENTS.gaps)  # reference ceilings
+    return events_risk_scores(spark, base, cfg)
+
+
+@query("risk_scores_lineitem")
+def q_risk_scores_lineitem(spark, base):
+    feats = feature_ops.build_features(lineitem_kpi(spark, base))
+    clustered = cluster_ops.cluster_features(feats, feature_ops.standardise(feats), DEMO_CENTROIDS)
+    return score_ops.risk_scores(clustered, LINEITEM.score, RUN_DATE)
+
+
+@query("risk_ranking")
+def q_risk_ranking(spark, base):
+    return score_ops.rank_scores(events_risk_scores(spark, base))

@@ -275,3 +275,54 @@ register("gap_all_domains", query(bridge_ctes("events") + [("gaps", gaps_body(EV
                                   "SELECT * FROM gaps"))
 register("gap_lineitem", query(bridge_ctes("lineitem") + [("gaps", gaps_body(LINEITEM))],
                                "SELECT * FROM gaps"))
+
+
+# --- features, clusters, scores -------------------------------------------
+def r6cols(cols) -> str:
+    return ", ".join(f"{r(c, 6)} AS {c}" for c in cols)
+
+
+SCALED_COLS = [f"{c}_scaled" for c in FEATURES]
+EV = "events"
+register("feature_null_counts", query(bridge_ctes(EV), "SELECT COUNT(*) AS n_rows, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE {src} IS NULL) AS nulls_{c}" for c, src in zip(
+        FEATURES, ["avg_null_rate", "avg_stale_rate", "avg_update_lag_hrs", "total_missing_fields"])) + " FROM kpi"))
+register("features_raw", query(feature_ctes(EV), "SELECT * FROM features_raw"))
+register("features_imputed", query(feature_ctes(EV), "SELECT * FROM features"))
+register("features_scaled", query(feature_ctes(EV), f"SELECT domain_id, {r6cols(SCALED_COLS)} FROM scaled"))
+register("features_scaled_lineitem", query(feature_ctes("lineitem"),
+                                           f"SELECT domain_id, {r6cols(SCALED_COLS)} FROM scaled"))
+register("scaler_params", query(feature_ctes(EV), "SELECT feature, " + r("mean", 6) + " AS mean, " + r("std", 6)
+    + " AS std FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, AVG({c}) AS mean, STDDEV_POP({c}) AS std FROM features" for c in FEATURES) + ")"))
+register("nearest_centroid", query(cluster_ctes(EV), f"""
+SELECT a.domain_id, t.cluster_label, t.risk_tier, {r('a.dist', 6)} AS centroid_dist
+FROM assigned a JOIN centroid_tiers t ON a.cid = t.cid"""))
+register("centroid_rank", query(cluster_ctes(EV), f"""
+SELECT t.cid, {r('t.severity', 6)} AS severity, t.cluster_label, t.risk_tier,
+       CAST(COALESCE(m.members, 0) AS BIGINT) AS members
+FROM centroid_tiers t LEFT JOIN (SELECT cid, COUNT(*) AS members FROM assigned GROUP BY cid) m ON t.cid = m.cid"""))
+register("tier_profile", query(cluster_ctes(EV), "SELECT risk_tier, COUNT(*) AS domains, " + ", ".join(
+    f"{r(f'AVG({c})', 6)} AS mean_{c}" for c in FEATURES) + " FROM clustered GROUP BY risk_tier"))
+register("tier_distribution", query(cluster_ctes(EV), """
+SELECT t.risk_tier, t.tier_order, CAST(COALESCE(c.domains, 0) AS BIGINT) AS domains
+FROM (VALUES ('CRITICAL', 0), ('HIGH', 1), ('MEDIUM', 2), ('LOW', 3)) AS t(risk_tier, tier_order)
+LEFT JOIN (SELECT risk_tier, COUNT(*) AS domains FROM clustered GROUP BY risk_tier) c
+  ON t.risk_tier = c.risk_tier
+ORDER BY t.tier_order"""))
+register("score_components", query(score_ctes(EV), "SELECT domain_id, " + r6cols(
+    [f"score_{c}" for c in FEATURES]) + ", composite_score FROM tiered"))
+register("composite_score", query(score_ctes(EV), "SELECT domain_id, composite_score FROM tiered"))
+register("score_tier", query(score_ctes(EV), "SELECT domain_id, composite_score, score_tier FROM tiered"))
+_CONTIG = PipelineConfig(window_days=EVENTS.window_days, gaps=EVENTS.gaps,
+                         score=EVENTS.score.__class__(EVENTS.score.weights, EVENTS.score.ceilings, "contiguous"))
+register("score_tier_contiguous", query(score_ctes(EV, _CONTIG),
+                                        "SELECT domain_id, composite_score, score_tier FROM tiered"))
+register("reconciled_tier", query(score_ctes(EV), """
+SELECT domain_id, score_tier, cluster_tier, final_tier AS risk_tier FROM tiered"""))
+register("top_driver", query(score_ctes(EV), "SELECT domain_id, top_driver FROM tiered"))
+register("risk_scores", query(score_ctes(EV), "SELECT * FROM risk_scores"))
+register("risk_scores_reference", query(score_ctes(EV, PipelineConfig(window_days=7, gaps=EVENTS.gaps)),
+                                        "SELECT * FROM risk_scores"))
+register("risk_scores_lineitem", query(score_ctes("lineitem"), "SELECT * FROM risk_scores"))
+register("risk_ranking", query(score_ctes(EV), "SELECT * FROM risk_scores ORDER BY composite_score DESC, domain_id"))
