@@ -1,7 +1,7 @@
 """Import every catalog and oracle module; expose the two registries."""
 
-from domainpulse.plans import catalog, catalog_quality  # noqa: F401
-from domainpulse.plans import oracle, oracle_quality  # noqa: F401
+from domainpulse.plans import catalog, catalog_ingest, catalog_quality  # noqa: F401
+from domainpulse.plans import oracle, oracle_ingest, oracle_quality  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = oracle.ORACLE
