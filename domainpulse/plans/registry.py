@@ -1,7 +1,7 @@
 """Import every catalog and oracle module; expose the two registries."""
 
-from domainpulse.plans import catalog, catalog_ingest, catalog_quality, catalog_reports  # noqa: F401
-from domainpulse.plans import oracle, oracle_ingest, oracle_quality, oracle_reports  # noqa: F401
+from domainpulse.plans import catalog, catalog_ingest, catalog_quality, catalog_reports, catalog_trend  # noqa: F401
+from domainpulse.plans import oracle, oracle_ingest, oracle_quality, oracle_reports, oracle_trend  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = oracle.ORACLE

@@ -35,7 +35,7 @@ def read_metrics_csv(spark: SparkSession, path: str, date_format: str = "yyyy-MM
     schemas.require_columns(raw, [f.name for f in schemas.METRICS_FILE.fields], "metrics file")
     return raw.select(
         "domain_id",
-        F.try_to_date(F.substring("snapshot_date", 1, 10), F.lit(date_format)).alias("snapshot_date"),
+        F.try_to_date(F.substring("snapshot_date", 1, 10), date_format).alias("snapshot_date"),
         "total_records", "null_rate", "stale_rate", "update_lag_hrs", "missing_fields",
         F.try_to_timestamp("created_at").alias("created_at"),
     )
