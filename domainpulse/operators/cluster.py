@@ -24,29 +24,36 @@ def assemble(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(SCALED), outputCol="features").transform(scaled).select("features")
 
 
-def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams(), parallelism: int = 4):
-    """Best of ``params.restarts`` fits (seeds seed..seed+restarts-1).
-
-    Lowest training cost wins, then the lowest seed.  Raises ValueError
-    when there are fewer distinct points than clusters.
+def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams(), parallelism: int = 8,
+               cache_input: bool = True):
+    """Best of ``params.restarts`` MLlib k-means fits -> (centers, cost, seed).
+
+    Seeds run from ``params.seed`` upwards (k-means|| init), ``parallelism``
+    fits at a time on the shared, cached feature vectors.  Lowest cost
+    wins, then the lowest seed.  Raises ValueError when there are fewer
+    distinct points than clusters (MLlib would fail obscurely).
     """
     distinct_points = scaled.select(*SCALED).distinct().count()
     if distinct_points < params.k:
         raise ValueError(f"need at least k={params.k} distinct feature rows, found {distinct_points}")
-    vectors = assemble(scaled).persist()
-    try:
-        def fit(seed: int):
-            km = KMeans(k=params.k, seed=seed, maxIter=params.max_iter, tol=params.tol, featuresCol="features")
-            model = km.fit(vectors)
-            return model.summary.trainingCost, seed, model
+    vectors = assemble(scaled)
+    if cache_input:
+        vectors = vectors.persist()
 
+    def fit(seed: int):
+        km = KMeans(k=params.k, seed=seed, maxIter=params.max_iter, tol=params.tol, featuresCol="features")
+        model = km.fit(vectors)
+        return model.summary.trainingCost, seed, model
+
+    try:
         seeds = range(params.seed, params.seed + params.restarts)
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fits = list(pool.map(fit, seeds))
     finally:
-        vectors.unpersist()
+        if cache_input:
+            vectors.unpersist()
     cost, seed, model = min(fits, key=lambda t: (t[0], t[1]))
-    return model, cost, seed
+    return [[float(v) for v in c] for c in model.clusterCenters()], cost, seed
 
 
 def centroid_table(spark: SparkSession, centers) -> DataFrame:

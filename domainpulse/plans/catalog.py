@@ -178,16 +178,16 @@ def q_centroid_rank(spark, base):
 def q_kmeans_clusters(spark, base):
     feats = events_features(spark, base)
     scaled = feature_ops.standardise(feats)
-    model, _, _ = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
-    return cluster_ops.cluster_features(feats, scaled, [list(c) for c in model.clusterCenters()])
+    centers, _, _ = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
+    return cluster_ops.cluster_features(feats, scaled, centers)
 
 
 @query("cluster_tiers")
 def q_cluster_tiers(spark, base):
     feats = events_features(spark, base)
     scaled = feature_ops.standardise(feats)
-    model, cost, seed = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
-    cents = cluster_ops.centroid_table(spark, [list(c) for c in model.clusterCenters()])
+    centers, cost, seed = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
+    cents = cluster_ops.centroid_table(spark, centers)
     return cents.withColumn("training_cost", F.lit(cost)).withColumn("seed", F.lit(seed))
 
 
