@@ -72,3 +72,56 @@ def run_from_files(spark: SparkSession, domains_csv: str, metrics_csv: str, cfg:
                    **kwargs) -> ChainResult:
     """The chain over the two delivered CSV files (domains, coverage metrics)."""
     return run_chain(read_domains_csv(spark, domains_csv), read_metrics_csv(spark, metrics_csv), cfg, **kwargs)
+
+
+def publish_views(result: ChainResult) -> None:
+    """Idempotent publication of the rollup and gap views (replace if present)."""
+    result.kpi.createOrReplaceTempView("domain_kpi_summary")
+    result.gaps.createOrReplaceTempView("coverage_gap_candidates")
+
+
+def export_outputs(result: ChainResult, out_dir: str, fmt: str = "csv") -> None:
+    """The four stage outputs, overwritten on every run."""
+    from domainpulse.sources.sinks import export
+
+    base = out_dir.rstrip("/")
+    export(result.scaled, f"{base}/processed/risk_features", fmt)
+    export(result.features, f"{base}/processed/risk_features_raw", fmt)
+    export(result.clustered, f"{base}/processed/clustered_risk_features", fmt)
+    export(result.scores, f"{base}/exports/risk_scores", fmt)
+
+
+def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_dir: str) -> dict[str, int]:
+    """I4 + W1 + W3: load domains first, then metrics, each append-safe, and audit both.
+
+    A failure is audited as ``ingest``/FAILED before it is re-raised.
+    """
+    from domainpulse.sources import sinks
+    from pyspark.sql import functions as F
+
+    base = store_dir.rstrip("/")
+    audit = f"{base}/audit_log"
+    try:
+        incoming = read_domains_csv(spark, domains_csv).withColumn("arrival", F.monotonically_increasing_id())
+        n_domains = sinks.append_domains(spark, incoming, f"{base}/domains")
+        sinks.append_audit(spark, sinks.audit_event(spark, "ingest.domains", "SUCCESS", n_domains), audit)
+        n_metrics = sinks.append_metrics(spark, read_metrics_csv(spark, metrics_csv), f"{base}/coverage_metrics")
+        sinks.append_audit(spark, sinks.audit_event(spark, "ingest.coverage_metrics", "SUCCESS", n_metrics), audit)
+    except Exception as exc:
+        sinks.append_audit(spark, sinks.audit_event(spark, "ingest", "FAILED", 0, str(exc)[:1000]), audit)
+        raise
+    return {"domains": n_domains, "coverage_metrics": n_metrics}
+
+
+def run_stored(spark: SparkSession, store_dir: str, cfg: PipelineConfig = REFERENCE, **kwargs) -> ChainResult:
+    """The chain over the stores written by ``ingest_stage``; validation is audited."""
+    from domainpulse import schemas
+    from domainpulse.sources import sinks
+
+    base = store_dir.rstrip("/")
+    domains = sinks.read_store(spark, f"{base}/domains", schemas.DOMAINS)
+    metrics = sinks.read_store(spark, f"{base}/coverage_metrics", schemas.METRICS)
+    report = quality.validation_report(domains, metrics)
+    sinks.append_audit(spark, report, f"{base}/audit_log")
+    quality.raise_on_failure(report)
+    return run_chain(domains, metrics, cfg, validate=False, **kwargs)

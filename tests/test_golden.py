@@ -71,3 +71,24 @@ def test_gap_candidates(chain):
 
 def test_validation_clean(chain):
     assert [(r.status, r.rows_affected) for r in chain.report.collect()] == [("SUCCESS", 84)]
+
+
+def test_stored_pipeline_rerun_is_idempotent(spark, scratch):
+    import os
+
+    from domainpulse.plans.chain import export_outputs, ingest_stage, publish_views, run_stored
+
+    d, m = str(REFERENCE_RAW / "domains.csv"), str(REFERENCE_RAW / "coverage_metrics.csv")
+    assert ingest_stage(spark, d, m, scratch) == {"domains": 12, "coverage_metrics": 84}
+    assert ingest_stage(spark, d, m, scratch) == {"domains": 0, "coverage_metrics": 0}
+    res = run_stored(spark, scratch, run_date="2026-06-18")
+    want = _csv(REFERENCE_OUT / "exports" / "risk_scores.csv")
+    got = {r.domain_id: r for r in res.scores.collect()}
+    assert {k: v.composite_score for k, v in got.items()} == {k: float(v["composite_score"]) for k, v in want.items()}
+    publish_views(res)
+    assert spark.sql("SELECT COUNT(*) FROM coverage_gap_candidates").first()[0] == 3
+    export_outputs(res, os.path.join(scratch, "out"))
+    assert spark.read.option("header", True).csv(os.path.join(scratch, "out", "exports", "risk_scores")).count() == 12
+    audit = spark.read.parquet(os.path.join(scratch, "audit_log"))
+    assert sorted(r.run_id for r in audit.collect()) == [1, 2, 3, 4, 5]
+    assert audit.where("status = 'SUCCESS' AND stage = 'validate'").first().rows_affected == 84
