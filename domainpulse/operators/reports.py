@@ -132,3 +132,21 @@ def tier_analysis(features: DataFrame, scores: DataFrame) -> DataFrame:
         F.coalesce("domains", F.lit(0)).cast("long").alias("domains"),
         "avg_score", *[f"avg_{c}" for c in FEATURES],
     )
+
+
+def similar_domains(scaled: DataFrame, clustered: DataFrame, n: int = 5, digits: int | None = None) -> DataFrame:
+    """The n nearest domains in standardised feature space, within the same cluster.
+
+    Exact and pair-free (see ``operators.similarity``).  ``digits`` fixes the
+    coordinates to that many decimals as DECIMAL values, so distances (and
+    their ties) are exact and engine-independent.
+    """
+    from domainpulse.operators.features import SCALED
+    from domainpulse.operators.similarity import similar_domains as knn
+
+    pts = scaled.join(clustered.select("domain_id", "cluster_label"), "domain_id")
+    if digits is not None:
+        pts = pts.select("domain_id", "cluster_label", *[
+            F.round(F.col(c).cast("decimal(28,12)"), digits).cast(f"decimal({6 + digits},{digits})").alias(c)
+            for c in SCALED])
+    return knn(pts, SCALED, n=n)

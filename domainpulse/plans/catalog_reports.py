@@ -97,3 +97,9 @@ def q_report_tier_analysis(spark, base):
 
 
 _ = TIER_LABELS
+
+
+@query("report_similar_domains")
+def q_report_similar_domains(spark, base):
+    _, scaled, clustered, _ = frames(spark, base)
+    return r6(rep.similar_domains(scaled, clustered, n=5, digits=9), ("distance",))
