@@ -8,6 +8,7 @@ literal centroids, so scoring never calls back into Python.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
@@ -24,30 +25,46 @@ def assemble(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(SCALED), outputCol="features").transform(scaled).select("features")
 
 
-def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams(), parallelism: int = 8,
+def mllib_tolerance(tol: float, mean_variance: float, k: int) -> float:
+    """Translate a relative, summed convergence tolerance into MLlib's.
+
+    The original criterion stops when the summed squared centre shift is at
+    most ``tol`` times the mean feature variance; MLlib stops when every
+    centre moves at most ``eps``.  With eps = sqrt(tol * var / k) MLlib's stop
+    implies the original one, so fits never stop earlier than it would.
+    """
+    return math.sqrt(max(tol * mean_variance, 0.0) / k) or tol
+
+
+def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams(), parallelism: int | None = None,
                cache_input: bool = True):
     """Best of ``params.restarts`` MLlib k-means fits -> (centers, cost, seed).
 
     Seeds run from ``params.seed`` upwards (k-means|| init), ``parallelism``
-    fits at a time on the shared, cached feature vectors.  Lowest cost
+    fits at a time (default: all restarts at once; each iteration is a tiny
+    job, so concurrent fits keep the executors busy) on the shared, cached
+    feature vectors.  Lowest cost
     wins, then the lowest seed.  Raises ValueError when there are fewer
     distinct points than clusters (MLlib would fail obscurely).
     """
-    distinct_points = scaled.select(*SCALED).distinct().count()
-    if distinct_points < params.k:
-        raise ValueError(f"need at least k={params.k} distinct feature rows, found {distinct_points}")
+    stats = scaled.agg(F.count_distinct(*SCALED).alias("points"),
+                       *[F.var_pop(c).alias(c) for c in SCALED]).first()
+    if stats["points"] < params.k:
+        raise ValueError(f"need at least k={params.k} distinct feature rows, found {stats['points']}")
+    mean_var = sum(stats[c] or 0.0 for c in SCALED) / len(SCALED)
+    eps = mllib_tolerance(params.tol, mean_var, params.k)
     vectors = assemble(scaled)
     if cache_input:
         vectors = vectors.persist()
 
     def fit(seed: int):
-        km = KMeans(k=params.k, seed=seed, maxIter=params.max_iter, tol=params.tol, featuresCol="features")
+        km = KMeans(k=params.k, seed=seed, maxIter=params.max_iter, tol=eps, featuresCol="features")
         model = km.fit(vectors)
         return model.summary.trainingCost, seed, model
 
     try:
         seeds = range(params.seed, params.seed + params.restarts)
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism or params.restarts)) as pool:
             fits = list(pool.map(fit, seeds))
     finally:
         if cache_input:

@@ -46,7 +46,7 @@ def run_chain(
     centers=None,
     run_date: str | dt.date | None = None,
     validate: bool = True,
-    parallel_fits: int = 8,
+    parallel_fits: int | None = None,
 ) -> ChainResult:
     """Score every domain of ``metrics``.
 
