@@ -31,10 +31,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting must name shared storage and is only read
     here.  When it is unset (local tests) a scratch folder is created.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="domainpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # some deployments reject setting core confs at runtime
+            pass
     spark.sparkContext.setCheckpointDir(configured)
     return configured
 
