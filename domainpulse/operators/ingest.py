@@ -18,8 +18,12 @@ from domainpulse.operators.ordinal import number_rows
 
 
 def null_safe_anti(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key is not in ``stored`` (NULL matches NULL)."""
-    right = stored.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    """Rows of ``incoming`` whose key is not in ``stored`` (NULL matches NULL).
+
+    Stored keys are de-duplicated first (a partial aggregate), so stored
+    copies of one key never pile up on one side of the join.
+    """
+    right = stored.select(*[F.col(k).alias(f"_s_{k}") for k in keys]).distinct()
     cond = None
     for k in keys:
         c = incoming[k].eqNullSafe(right[f"_s_{k}"])

@@ -16,17 +16,36 @@ from domainpulse.functions.tiers import band_tier, tier_rank, top_driver
 from domainpulse.operators.score import add_components, composite, contributions
 
 
+def daily(metrics: DataFrame) -> DataFrame:
+    """One row per (domain, day): sums and counts (copies of a key collapse map-side)."""
+    return metrics.groupBy("domain_id", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("null_rate").alias("s_null"), F.count("null_rate").alias("c_null"),
+        F.sum("stale_rate").alias("s_stale"), F.count("stale_rate").alias("c_stale"),
+        F.sum("update_lag_hrs").alias("s_lag"), F.count("update_lag_hrs").alias("c_lag"),
+        F.sum("missing_fields").alias("s_missing"),
+    )
+
+
 def kpi_rolling(metrics: DataFrame, window_days: int = 7) -> DataFrame:
-    """Trailing ``window_days`` KPIs per domain as of each reported day."""
+    """Trailing ``window_days`` KPIs per domain as of each reported day.
+
+    Averages are sums over counts of the daily rows in the frame, equal to
+    averaging the metric rows themselves; the window sees one row per day.
+    """
     w = (Window.partitionBy("domain_id").orderBy(F.unix_date("snapshot_date"))
          .rangeBetween(-(window_days - 1), 0))
-    return metrics.select(
+
+    def avg(s: str, c: str) -> F.Column:
+        return F.sum(s).over(w) / F.sum(c).over(w)
+
+    return daily(metrics).select(
         "domain_id", "snapshot_date",
-        F.count(F.lit(1)).over(w).alias("snapshot_count"),
-        round_half_up(F.avg("null_rate").over(w), 4).alias("avg_null_rate"),
-        round_half_up(F.avg("stale_rate").over(w), 4).alias("avg_stale_rate"),
-        round_half_up(F.avg("update_lag_hrs").over(w), 2).alias("avg_update_lag_hrs"),
-        F.sum("missing_fields").over(w).alias("total_missing_fields"),
+        F.sum("n").over(w).alias("snapshot_count"),
+        round_half_up(avg("s_null", "c_null"), 4).alias("avg_null_rate"),
+        round_half_up(avg("s_stale", "c_stale"), 4).alias("avg_stale_rate"),
+        round_half_up(avg("s_lag", "c_lag"), 2).alias("avg_update_lag_hrs"),
+        F.sum("s_missing").over(w).alias("total_missing_fields"),
     )
 
 

@@ -8,12 +8,17 @@ from domainpulse.plans.oracle import _band_sql, _rank_sql, query, r, re_, regist
 W = EVENTS.window_days
 ROLLING = ("rolling", f"""
 SELECT domain_id, snapshot_date,
-       COUNT(*) OVER w AS snapshot_count,
-       {r('AVG(null_rate) OVER w', 4)} AS avg_null_rate,
-       {r('AVG(stale_rate) OVER w', 4)} AS avg_stale_rate,
-       {r('AVG(update_lag_hrs) OVER w', 2)} AS avg_update_lag_hrs,
-       CAST(SUM(missing_fields) OVER w AS BIGINT) AS total_missing_fields
-FROM metrics
+       SUM(n) OVER w AS snapshot_count,
+       {r('SUM(s_null) OVER w / SUM(c_null) OVER w', 4)} AS avg_null_rate,
+       {r('SUM(s_stale) OVER w / SUM(c_stale) OVER w', 4)} AS avg_stale_rate,
+       {r('SUM(s_lag) OVER w / SUM(c_lag) OVER w', 2)} AS avg_update_lag_hrs,
+       CAST(SUM(s_missing) OVER w AS BIGINT) AS total_missing_fields
+FROM (SELECT domain_id, snapshot_date, COUNT(*) AS n,
+             SUM(null_rate) AS s_null, COUNT(null_rate) AS c_null,
+             SUM(stale_rate) AS s_stale, COUNT(stale_rate) AS c_stale,
+             SUM(update_lag_hrs) AS s_lag, COUNT(update_lag_hrs) AS c_lag,
+             SUM(missing_fields) AS s_missing
+      FROM metrics GROUP BY domain_id, snapshot_date)
 WINDOW w AS (PARTITION BY domain_id ORDER BY date_diff('day', DATE '1970-01-01', snapshot_date)
              RANGE BETWEEN {W - 1} PRECEDING AND CURRENT ROW)""")
 
