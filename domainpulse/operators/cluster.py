@@ -81,7 +81,7 @@ def centroid_table(spark: SparkSession, centers) -> DataFrame:
     """
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(centers)]
     cols = ["cid"] + [f"c{j}" for j in range(len(FEATURES))]
-    df = spark.createDataFrame(rows, cols)
+    df = spark.createDataFrame(rows, cols).withColumn("cid", F.col("cid").cast("int"))
     sev = sum(F.col(f"c{j}") for j in range(len(FEATURES))) / F.lit(float(len(FEATURES)))
     ranked = sorted(rows, key=lambda r: (sum(r[1:]) / len(FEATURES), r[0]))
     order = {r[0]: rank for rank, r in enumerate(ranked)}
@@ -145,6 +145,7 @@ def tier_distribution(df: DataFrame, tier_col: str = "risk_tier", order=("CRITIC
     # Both sides are bounded by the number of tier labels.
     return (
         F.broadcast(tiers).join(counts, "risk_tier", "left")
-        .select("risk_tier", "tier_order", F.coalesce("domains", F.lit(0)).cast("long").alias("domains"))
+        .select("risk_tier", F.col("tier_order").cast("int").alias("tier_order"),
+                F.coalesce("domains", F.lit(0)).cast("long").alias("domains"))
         .orderBy("tier_order")
     )

@@ -8,7 +8,7 @@ from domainpulse.plans.oracle import _band_sql, _rank_sql, query, r, re_, regist
 W = EVENTS.window_days
 ROLLING = ("rolling", f"""
 SELECT domain_id, snapshot_date,
-       SUM(n) OVER w AS snapshot_count,
+       CAST(SUM(n) OVER w AS BIGINT) AS snapshot_count,
        {r('SUM(s_null) OVER w / SUM(c_null) OVER w', 4)} AS avg_null_rate,
        {r('SUM(s_stale) OVER w / SUM(c_stale) OVER w', 4)} AS avg_stale_rate,
        {r('SUM(s_lag) OVER w / SUM(c_lag) OVER w', 2)} AS avg_update_lag_hrs,

@@ -57,6 +57,23 @@ def _rows(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {
+    "LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+    "DateType()": "DATE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP",
+}
+
+
+def type_mismatches(sdf, con, sql):
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    duck_types = {c[0]: c[1] for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = {}
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType))
+        if duck_types.get(f.name) != want:
+            out[f.name] = (repr(f.dataType), duck_types.get(f.name))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -73,6 +90,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
         res["ok"] = False
         res["why"] = f"columns differ: {sorted(s_cols)} vs {sorted(d_cols)}"
         return res
+    bad_types = type_mismatches(sdf, con, sql)
+    if bad_types:
+        res["ok"] = False
+        res["why"] = f"types differ: {bad_types}"
+        return res
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if len(a) != len(b):
         res["ok"] = False
