@@ -88,7 +88,10 @@ def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> floa
         return None
     lo, hi = (n - 1) // 2, n // 2
     pos = rows_before(counts, [F.col(col).asc()], "_w", partitions)
-    hit = lambda p: (F.col("rows_before") <= p) & (F.col("rows_before") + F.col("_w") > p)
+
+    def hit(p: int) -> Column:
+        return (F.col("rows_before") <= p) & (F.col("rows_before") + F.col("_w") > p)
+
     picked = {r["k"]: r[col] for r in pos.select(
         col, F.when(hit(lo), F.lit("lo")).otherwise(F.lit("hi")).alias("k")
     ).where(hit(lo) | hit(hi)).collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from domainpulse.config import DEMO_CENTROIDS, FEATURES, TIER_LABELS
+from domainpulse.config import DEMO_CENTROIDS, FEATURES
 from domainpulse.operators import cluster as cluster_ops
 from domainpulse.operators import features as feature_ops
 from domainpulse.operators import reports as rep
@@ -96,8 +96,6 @@ def q_report_tier_analysis(spark, base):
     return r6(rep.tier_analysis(feats, scores), ("avg_score", *[f"avg_{c}" for c in FEATURES]))
 
 
-_ = TIER_LABELS
-
 
 @query("report_similar_domains")
 def q_report_similar_domains(spark, base):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from domainpulse.config import FEATURES, TIER_LABELS
-from domainpulse.plans.oracle import query, r, register, score_ctes
+from domainpulse.plans.oracle import bridge_ctes, query, r, register, score_ctes
 from domainpulse.plans.oracle_quality import REPORT_CTES
 
 BASE = score_ctes("events")
@@ -51,8 +51,7 @@ FROM risk_scores GROUP BY cluster_label"""))
 register("report_feature_points", query(BASE, "SELECT s.domain_id, " + ", ".join(
     f"{r(f's.{c}_scaled', 6)} AS {c}_scaled" for c in FEATURES)
     + ", c.cluster_label, c.risk_tier FROM scaled s JOIN clustered c ON s.domain_id = c.domain_id"))
-register("recent_audit", query(__import__("domainpulse.plans.oracle", fromlist=["bridge_ctes"]).bridge_ctes(
-    "lineitem") + REPORT_CTES, """
+register("recent_audit", query(bridge_ctes("lineitem") + REPORT_CTES, """
 SELECT * FROM (SELECT CAST(ROW_NUMBER() OVER (ORDER BY check_order, stage, notes) AS BIGINT) AS run_id,
        stage, status, rows_affected, notes FROM report)
 ORDER BY run_id DESC LIMIT 20"""))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from domainpulse.config import EVENTS, FEATURES, TIER_LABELS
-from domainpulse.plans.oracle import _band_sql, _rank_sql, query, r, re_, register
+from domainpulse.config import EVENTS, FEATURES
+from domainpulse.plans.oracle import EVENTS_METRICS, _band_sql, _rank_sql, query, r, re_, register
 
 W = EVENTS.window_days
 ROLLING = ("rolling", f"""
@@ -24,7 +24,6 @@ WINDOW w AS (PARTITION BY domain_id ORDER BY date_diff('day', DATE '1970-01-01',
 
 
 def _trend_ctes():
-    from domainpulse.plans.oracle import EVENTS_METRICS
     s = EVENTS.score
     comps = []
     src = {"avg_null_rate": "avg_null_rate", "avg_stale_rate": "avg_stale_rate",
@@ -64,4 +63,3 @@ register("risk_alerts_latest", query(_trend_ctes() + [("latest", """
 SELECT t.* FROM trend t
 WHERE t.snapshot_date = (SELECT MAX(snapshot_date) FROM trend x WHERE x.domain_id = t.domain_id)""")],
     ALERTS.format(src="latest")))
-_ = TIER_LABELS
