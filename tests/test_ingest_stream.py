@@ -91,3 +91,21 @@ def test_stream_equals_batch_and_is_rerun_safe(spark, scratch):
                         read_metrics_csv(spark, os.path.join(land, "a.csv")))
     assert sorted((r.domain_id, str(r.snapshot_date)) for r in batch.collect()) == [("D1", "2024-01-02")]
     assert F is not None
+
+
+def test_bad_date_is_null_warned_and_ignored_by_rollup(spark, scratch):
+    from domainpulse.operators.kpi import kpi_summary
+    from domainpulse.operators.quality import check_nulls
+
+    p = os.path.join(scratch, "bad.csv")
+    with open(p, "w") as f:
+        f.write(HEADER
+                + "1,A,2024-01-07,10,0.1,0.2,3.0,0,\n"
+                + "2,A,2024-01-01,10,0.3,0.2,5.0,0,\n"
+                + "3,A,not-a-date,10,0.9,0.9,90.0,9,\n")
+    m = read_metrics_csv(spark, p)
+    issues = {r.stage: r.rows_affected for r in check_nulls(m, "coverage_metrics").collect()}
+    assert issues == {"validate.coverage_metrics.nulls.snapshot_date": 1}
+    kpi = kpi_summary(m).collect()
+    assert len(kpi) == 1 and str(kpi[0].latest_snapshot) == "2024-01-07"
+    assert kpi[0].snapshot_count == 2 and kpi[0].avg_null_rate == 0.2  # the bad row is outside every window
