@@ -3,16 +3,16 @@
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one
 task.  These helpers keep the work distributed instead:
 
-1. collapse the input to distinct order keys with a row count (partial
-   aggregation, so a hot key costs one row per map task);
-2. range-partition the distinct keys, take a running count inside each
-   range partition (each partition holds ~1/P of the distinct keys) and
-   the total per partition;
-3. turn the P partition totals into offsets (P rows, bounded by the
-   partition count, broadcast) and add them.
-
-The partitioned keys are checkpointed so both uses of the partition id
-see the same range bounds, even after executor loss.
+1. collapse the input to distinct order keys with a row count where that
+   applies (partial aggregation, so a hot key costs one row per map task);
+2. split the key space into ordered buckets at sampled boundary keys (the
+   boundaries are literals, so a key's bucket is a pure function of the
+   key: recomputation after executor loss gives the same buckets);
+3. take running counts inside each bucket (a window partitioned by bucket)
+   and add the totals of all earlier buckets (one row per bucket,
+   broadcast).
+
+Boundaries only balance the buckets; any boundaries give the same result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from domainpulse.session import cut_lineage
+OrderSpec = tuple[str, bool, bool]  # (column, descending, nulls_last)
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -29,41 +29,70 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def rows_before(keys: DataFrame, order: list[Column], weight: str, partitions: int | None = None) -> DataFrame:
+def _normalised(order: list[OrderSpec]) -> list[Column]:
+    """Columns whose ascending, null-free lexicographic order is ``order``.
+
+    Each column contributes (null flag, value); descending numeric columns
+    are negated.
+    """
+    parts = []
+    for c, desc, nulls_last in order:
+        parts.append(F.col(c).isNull() if nulls_last else F.col(c).isNotNull())
+        parts.append(-F.col(c) if desc else F.col(c))
+    return parts
+
+
+def _bucket(keys: DataFrame, order: list[OrderSpec], buckets: int) -> Column:
+    """Bucket id from up to ``buckets - 1`` sampled boundary keys (bounded collect)."""
+    norm = _normalised(order)
+    n = keys.count()
+    if n == 0 or buckets <= 1:
+        return F.lit(0)
+    frac = min(1.0, 20.0 * buckets / n)
+    sample = keys.sample(fraction=frac, seed=29).select(*[c.alias(f"_n{i}") for i, c in enumerate(norm)])
+    rows = sorted(tuple(r) for r in sample.limit(40 * buckets).collect())
+    if not rows:
+        return F.lit(0)
+    step = max(1, len(rows) // buckets)
+    bounds = sorted(set(rows[i] for i in range(step, len(rows), step)))
+    types = [f.dataType for f in sample.schema.fields]
+    key = F.struct(*[c.alias(f"_n{i}") for i, c in enumerate(norm)])
+    out = F.lit(0)
+    for b in bounds:
+        lit = F.struct(*[F.lit(v).cast(t).alias(f"_n{i}") for i, (v, t) in enumerate(zip(b, types))])
+        out = out + F.when(key >= lit, 1).otherwise(0)
+    return out
+
+
+def rows_before(keys: DataFrame, order: list[OrderSpec], weight: str, partitions: int | None = None) -> DataFrame:
     """Add ``rows_before``: total ``weight`` of all rows strictly earlier in ``order``.
 
     ``keys`` must be unique on the order (e.g. the output of a group-by).
     """
-    p = _partitions(keys, partitions)
-    ranged = keys.repartitionByRange(p, *order).withColumn("_part", F.spark_partition_id())
-    in_part = Window.partitionBy("_part").orderBy(*order)
-    local = cut_lineage(
-        ranged.withColumn(
-            "_local_before",
-            F.coalesce(F.sum(weight).over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-    )
-    # One row per range partition: bounded by the partition count.
-    totals = local.groupBy("_part").agg(F.sum(weight).alias("_total"))
+    bucketed = keys.withColumn("_b", _bucket(keys, order, _partitions(keys, partitions)))
+    norm = _normalised(order)
+    in_bucket = Window.partitionBy("_b").orderBy(*norm).rowsBetween(Window.unboundedPreceding, -1)
+    local = bucketed.withColumn("_local_before", F.coalesce(F.sum(weight).over(in_bucket), F.lit(0)))
+    # One row per bucket: bounded by the bucket count.
+    totals = bucketed.groupBy("_b").agg(F.sum(weight).alias("_total"))
     offsets = totals.select(
-        "_part",
+        "_b",
         F.coalesce(
-            F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("_total").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_offset"),
     )
     return (
-        local.join(F.broadcast(offsets), "_part")
+        local.join(F.broadcast(offsets), "_b")
         .withColumn("rows_before", (F.col("_local_before") + F.col("_offset")).cast("long"))
-        .drop("_part", "_local_before", "_offset")
+        .drop("_b", "_local_before", "_offset")
     )
 
 
 def rank_by(df: DataFrame, col: str, descending: bool = True, out: str = "rank",
             partitions: int | None = None) -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY col [DESC])`` (nulls last), distributed."""
-    key = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
-    ranks = rows_before(counts, [key], "_w", partitions).select(
+    ranks = rows_before(counts, [(col, descending, True)], "_w", partitions).select(
         F.col(col).alias("_rk"), (F.col("rows_before") + 1).alias(out)
     )
     return df.join(ranks, df[col].eqNullSafe(ranks["_rk"])).drop("_rk")
@@ -73,7 +102,7 @@ def number_rows(df: DataFrame, order: list[str], out: str = "row_id", start: int
                 partitions: int | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` in ``order`` (must be a unique order)."""
     keyed = df.withColumn("_w", F.lit(1))
-    numbered = rows_before(keyed, [F.col(c).asc_nulls_first() for c in order], "_w", partitions)
+    numbered = rows_before(keyed, [(c, False, False) for c in order], "_w", partitions)
     return numbered.withColumn(out, F.col("rows_before") + F.lit(start)).drop("_w", "rows_before")
 
 
@@ -87,7 +116,7 @@ def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> floa
     if not n:
         return None
     lo, hi = (n - 1) // 2, n // 2
-    pos = rows_before(counts, [F.col(col).asc()], "_w", partitions)
+    pos = rows_before(counts, [(col, False, False)], "_w", partitions)
 
     def hit(p: int) -> Column:
         return (F.col("rows_before") <= p) & (F.col("rows_before") + F.col("_w") > p)
