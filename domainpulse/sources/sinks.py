@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from domainpulse import schemas
 from domainpulse.operators.ingest import new_domains, new_metrics
+from domainpulse.session import cut_lineage
 
 
 def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -34,27 +35,22 @@ def append_metrics(spark: SparkSession, incoming: DataFrame, path: str) -> int:
     answered by partition pruning.  Returns the number of rows appended.
     """
     stored = read_store(spark, path, schemas.METRICS)
-    fresh = new_metrics(with_metric_columns(incoming), stored.select("domain_id", "snapshot_date"))
-    fresh = fresh.persist()
-    try:
-        n = fresh.count()
-        if n:
-            fresh.write.mode("append").partitionBy("snapshot_date").parquet(path)
-    finally:
-        fresh.unpersist()
+    # Reliable checkpoint: the append never re-reads the path it is writing to,
+    # even if executors (and cached blocks) are lost mid-write.
+    fresh = cut_lineage(new_metrics(with_metric_columns(incoming), stored.select("domain_id", "snapshot_date")))
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").partitionBy("snapshot_date").parquet(path)
     return n
 
 
 def append_domains(spark: SparkSession, incoming: DataFrame, path: str, arrival: str = "arrival") -> int:
     """W1 + I2: insert-or-ignore into the domain store."""
     stored = read_store(spark, path, schemas.DOMAINS)
-    fresh = new_domains(incoming, stored, arrival).persist()
-    try:
-        n = fresh.count()
-        if n:
-            fresh.write.mode("append").parquet(path)
-    finally:
-        fresh.unpersist()
+    fresh = cut_lineage(new_domains(incoming, stored, arrival))
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").parquet(path)
     return n
 
 
@@ -75,13 +71,11 @@ def append_audit(spark: SparkSession, issues: DataFrame, path: str, run_ts=None)
 
     stored = read_store(spark, path, schemas.AUDIT_LOG)
     last = stored.agg(F.max("run_id")).first()[0] or 0
-    rows = audit_rows(issues, first_run_id=last + 1, run_ts=run_ts).persist()
-    try:
-        n = rows.count()
-        if n:
-            rows.write.mode("append").parquet(path)
-    finally:
-        rows.unpersist()
+    # Materialised once, so the stamped run_ts and ids are the ones written.
+    rows = cut_lineage(audit_rows(issues, first_run_id=last + 1, run_ts=run_ts))
+    n = rows.count()
+    if n:
+        rows.write.mode("append").parquet(path)
     return n
 
 
