@@ -96,3 +96,23 @@ def test_window_predicate_pushed_below_profile(spark):
     assert main.index("Filter") > main.index("HashAggregate")  # listed after = deeper in the tree
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in main
     assert F is not None
+
+
+def test_stored_metrics_window_is_partition_pruned(spark, scratch):
+    import contextlib
+    import io
+
+    from domainpulse import schemas
+    from domainpulse.plans import bridges
+    from domainpulse.sources import sinks
+
+    path = f"{scratch}/metrics"
+    sinks.append_metrics(spark, bridges.events_metrics(spark, "/root/testdata/sf0.001"), path)
+    kpi = kpi_summary(sinks.read_store(spark, path, schemas.METRICS))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        kpi.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "Subquery" in plan
+    assert "ReadSchema: struct<>" in plan  # the anchor reads partition values only
+    assert kpi.count() > 0
