@@ -15,8 +15,8 @@ Instead:
    neighbours.  They are searched on a grid that doubles its cell size each
    round: a site is joined with the sites of the 3^d cells around its own cell,
    candidate heads are ranked by (distance, id), and the answer is accepted
-   when the r-th candidate lies within one cell size (then every closer point
-   is inside the searched cells, so the answer is exact).  Unresolved sites go
+   when the r-th candidate is closer than the edge of the searched block
+   (then every closer point is inside it, so the answer is exact).  Unresolved sites go
    to the next, coarser round; once a cell spans the whole extent every site
    of the cluster is a candidate, so the loop ends.
 
@@ -27,6 +27,7 @@ sites; identical vectors never create pairs.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -96,7 +97,9 @@ def _grid_search(sites: DataFrame, heads: DataFrame, needy: DataFrame, cols, gro
     n_sites = ext[2 * d] or 1
     if extent <= 0:
         extent = 1.0
-    cell = extent / max(1.0, n_sites ** (1.0 / d)) / 2.0
+    # start where a uniform spread would put ~n points in a ball of radius `cell`
+    unit_ball = math.pi ** (d / 2) / math.gamma(d / 2 + 1)
+    cell = extent * (n / (unit_ball * n_sites)) ** (1.0 / d)
     offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in itertools.product((-1, 0, 1), repeat=d)])
     cand_heads = heads.select(*[F.col(c).alias(f"u_{c}") for c in key], F.col(id_col).alias("neighbor_id"))
 
@@ -114,18 +117,24 @@ def _grid_search(sites: DataFrame, heads: DataFrame, needy: DataFrame, cols, gro
         near = probes.join(grid, [group, *[f"k{j}" for j in range(d)]]).where(
             ~F.expr(" AND ".join(f"`{c}` <=> `t_{c}`" for c in cols)))
         cond = [near[group] == cand_heads[f"u_{group}"]] + [near[f"t_{c}"] == cand_heads[f"u_{c}"] for c in cols]
+        # distance from the probe to the edge of its searched 3^d block: every
+        # point closer than that lies inside the block
+        edge = F.least(*[F.least(F.col(c) - (cells[j] - 1) * cellf, (cells[j] + 2) * cellf - F.col(c))
+                         for j, c in enumerate(cols)]).cast("double")
         cand = near.join(cand_heads, cond).select(
-            *key, "r", "neighbor_id", _sqdist(cols, [f"t_{c}" for c in cols]).alias("sq"))
+            *key, "r", "neighbor_id", _sqdist(cols, [f"t_{c}" for c in cols]).alias("sq"),
+            edge.alias("edge"))
         w = Window.partitionBy(*key).orderBy("sq", "neighbor_id")
-        ranked = cand.withColumn("crank", F.row_number().over(w)).where(F.col("crank") <= F.col("r"))
-        # accepted: r candidates found and the r-th one within one cell (or the last,
-        # all-covering level); the margin absorbs rounding in the cell arithmetic
-        stats = ranked.groupBy(*key, "r").agg(F.count(F.lit(1)).alias("found"), F.max("sq").alias("far"))
-        within = F.col("far").cast("double") <= F.lit(cell * cell * (1.0 - 1e-9))
+        # at most r rows per probe: small, materialised once per round
+        ranked = cut_lineage(cand.withColumn("crank", F.row_number().over(w)).where(F.col("crank") <= F.col("r")))
+        # accepted: r candidates found and the r-th one inside the searched block (or the
+        # last, all-covering level); the margin absorbs rounding in the cell arithmetic
+        stats = ranked.groupBy(*key, "r").agg(F.count(F.lit(1)).alias("found"), F.max("sq").alias("far"),
+                                              F.min("edge").alias("edge"))
+        within = F.col("far").cast("double") <= F.col("edge") * F.col("edge") * F.lit(1.0 - 1e-9)
         ok = stats.where(F.lit(final) | ((F.col("found") >= F.col("r")) & within)).select(*key)
-        ok = cut_lineage(ok)
-        results.append(cut_lineage(ranked.join(ok, [*key], "left_semi").select(
-            *key, "neighbor_id", "crank", F.sqrt(F.col("sq").cast("double")).alias("distance"))))
+        results.append(ranked.join(ok, [*key], "left_semi").select(
+            *key, "neighbor_id", "crank", F.sqrt(F.col("sq").cast("double")).alias("distance")))
         todo = cut_lineage(todo.join(ok, [*key], "left_anti"))
         if final:
             break

@@ -38,3 +38,22 @@ def test_matches_brute_force_with_identical_groups(spark):
     got = sorted((r.domain_id, r.cluster_label, r.neighbor_id, r.neighbor_rank, round(r.distance, 9))
                  for r in similar_domains(df, COLS, n=5).collect())
     assert got == _brute(rows, 5)
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("seed,n", [(1, 1), (2, 3), (3, 7)])
+def test_matches_brute_force_random_clumps(spark, seed, n):
+    rnd = random.Random(seed)
+    centres = [tuple(rnd.uniform(-3, 3) for _ in range(4)) for _ in range(3)]
+    rows = []
+    for i in range(120):
+        cx = centres[i % 3]
+        spread = 0.05 if i % 2 else 1.0          # tight clumps next to a wide spread
+        rows.append((f"P{i:03d}", i % 2, *(round(c + rnd.gauss(0, spread), 2) for c in cx)))
+    df = spark.createDataFrame(rows, ["domain_id", "cluster_label", *COLS]).select(
+        "domain_id", "cluster_label", *[F.col(c).cast("decimal(15,9)").alias(c) for c in COLS])
+    got = sorted((r.domain_id, r.cluster_label, r.neighbor_id, r.neighbor_rank, round(r.distance, 9))
+                 for r in similar_domains(df, COLS, n=n).collect())
+    assert got == _brute(rows, n)
