@@ -27,7 +27,7 @@ from domainpulse.sources.files import read_domains_csv, read_metrics_csv
 
 @dataclass
 class ChainResult:
-    report: DataFrame
+    report: DataFrame | None
     kpi: DataFrame
     gaps: DataFrame
     features: DataFrame
@@ -47,14 +47,16 @@ def run_chain(
     run_date: str | dt.date | None = None,
     validate: bool = True,
     parallel_fits: int | None = None,
+    report: DataFrame | None = None,
 ) -> ChainResult:
     """Score every domain of ``metrics``.
 
     ``centers`` (k lists in standardised space) skips the k-means fit.
-    Raises RuntimeError if validation finds a FAILED issue.
+    With ``validate`` the checks run first (unless a ``report`` is passed)
+    and a FAILED issue raises RuntimeError.
     """
-    report = quality.validation_report(domains, metrics)
     if validate:
+        report = report if report is not None else quality.validation_report(domains, metrics)
         quality.raise_on_failure(report)
     kpi = cut_lineage(kpi_ops.kpi_summary(metrics, cfg.window_days))
     gaps = gap_ops.gap_candidates(kpi, domains, cfg.gaps)
@@ -123,5 +125,4 @@ def run_stored(spark: SparkSession, store_dir: str, cfg: PipelineConfig = REFERE
     metrics = sinks.read_store(spark, f"{base}/coverage_metrics", schemas.METRICS)
     report = quality.validation_report(domains, metrics)
     sinks.append_audit(spark, report, f"{base}/audit_log")
-    quality.raise_on_failure(report)
-    return run_chain(domains, metrics, cfg, validate=False, **kwargs)
+    return run_chain(domains, metrics, cfg, validate=True, report=report, **kwargs)
