@@ -124,6 +124,6 @@ def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> floa
     picked = {r["k"]: r[col] for r in pos.select(
         col, F.when(hit(lo), F.lit("lo")).otherwise(F.lit("hi")).alias("k")
     ).where(hit(lo) | hit(hi)).collect()}
-    a = picked["lo"]
-    b = picked.get("hi", a)
-    return float(a + (b - a) / 2.0)
+    a = float(picked["lo"])
+    b = float(picked.get("hi", picked["lo"]))
+    return a + (b - a) / 2.0
