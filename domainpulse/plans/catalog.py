@@ -261,3 +261,13 @@ def q_risk_scores_lineitem(spark, base):
 @query("risk_ranking")
 def q_risk_ranking(spark, base):
     return score_ops.rank_scores(events_risk_scores(spark, base))
+
+
+@query("risk_scores_fitted")
+def q_risk_scores_fitted(spark, base):
+    """The whole chain as a user runs it: raw events -> metrics -> KPI -> fitted k-means -> scores."""
+    from domainpulse.plans.chain import run_chain
+
+    metrics = bridges.events_metrics(spark, base)
+    res = run_chain(bridges.events_domains(spark, base), metrics, EVENTS, run_date=RUN_DATE, validate=False)
+    return res.scores
