@@ -8,7 +8,7 @@ from domainpulse.operators import features as feature_ops
 from domainpulse.operators import reports as rep
 from domainpulse.operators import score as score_ops
 from domainpulse.plans import bridges
-from domainpulse.plans.catalog import EVENTS, RUN_DATE, events_kpi, query, r6
+from domainpulse.plans.catalog import EVENTS, RUN_DATE, events_features, query, r6
 from domainpulse.plans.catalog_quality import q_dq_report_lineitem
 from domainpulse.operators.quality import audit_rows
 
@@ -16,7 +16,7 @@ TEAMS = ("BUILDING", "MACHINERY")
 
 
 def frames(spark, base):
-    feats = feature_ops.build_features(events_kpi(spark, base))
+    feats = events_features(spark, base)
     scaled = feature_ops.standardise(feats)
     clustered = cluster_ops.cluster_features(feats, scaled, DEMO_CENTROIDS)
     scores = score_ops.risk_scores(clustered, EVENTS.score, RUN_DATE)
