@@ -68,3 +68,16 @@ def test_distributed_rank_matches_sql_rank(spark):
     df.createOrReplaceTempView("rk")
     want = {r.id: r.rk for r in spark.sql("SELECT id, RANK() OVER (ORDER BY s DESC) AS rk FROM rk").collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["features_scaled", "risk_scores", "report_domain_rank"])
+def test_feature_queries_read_the_materialised_rollup(spark, name):
+    """Multi-pass feature stages read the checkpointed rollup, never the raw tables again."""
+    import re
+
+    import __spark_entry__ as entry
+    from conftest import SF001
+
+    df = entry.queries()[name](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and not re.search(r"Relation \S*\[[^\]]*\] parquet", plan)
