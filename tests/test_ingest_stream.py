@@ -113,6 +113,19 @@ def test_stream_batches_see_earlier_batches_and_share_store_with_batch_loads(spa
                    ("D9", "2024-01-01", 100)]
 
 
+def test_stream_watermark_dedupe_is_optional(spark, scratch):
+    rows = HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,D1,2024-01-01,11,0.1,0.2,3,0,\n3,D2,2024-01-02,10,0.1,0.2,3,0,\n"
+    counts = {}
+    for mode in ("plain", "dedupe"):
+        land, store, ck = (os.path.join(scratch, f"{x}_{mode}") for x in ("land", "store", "ck"))
+        os.makedirs(land)
+        with open(os.path.join(land, "a.csv"), "w") as f:
+            f.write(rows)
+        incremental_ingest(spark, land, store, ck, dedupe_watermark="7 days" if mode == "dedupe" else None)
+        counts[mode] = sorted(r.domain_id for r in spark.read.parquet(store).collect())
+    assert counts == {"plain": ["D1", "D1", "D2"], "dedupe": ["D1", "D2"]}
+
+
 def test_append_reads_only_the_dates_it_delivers(spark, scratch):
     path = os.path.join(scratch, "pruned")
     sinks.append_metrics(spark, metrics(spark, [("A", d, 0.1, 0.1, 1.0, 0) for d in range(5)]), path)
