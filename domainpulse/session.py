@@ -29,11 +29,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must name shared storage and is only read
-    here.  When it is unset (local tests) a scratch folder is created.
+    here; if it is missing there, this raises rather than fall back to a
+    machine-local folder that executors cannot share.  When it is unset on
+    a local master (tests) a scratch folder is created.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage (e.g. an HDFS/S3 path)")
         configured = tempfile.mkdtemp(prefix="domainpulse-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
