@@ -50,7 +50,7 @@ def append_metrics(spark: SparkSession, incoming: DataFrame, path: str) -> int:
     The store is partitioned by snapshot_date, so window filters on it are
     answered by partition pruning, and the anti join only reads the stored
     dates the delivery touches.  Returns the number of rows appended.
-    Re-running a load (or a retried micro-batch) appends nothing twice.
+    Re-running a load appends nothing twice.
     """
     incoming = with_metric_columns(incoming)
     stored = stored_for_dates(read_store(spark, path, schemas.METRICS), incoming)

@@ -1,22 +1,22 @@
 """Incremental ingest of metric files with Structured Streaming.
 
 New files in a landing folder are picked up by a file stream, parsed with
-the metric schema, and each micro-batch is loaded with the batch
-append-safe load (``sinks.append_metrics``): a null-safe anti join
-against the stored keys of the dates the batch touches (partition
-pruning, so a batch never reads the whole history), then an append to
-the date-partitioned parquet store.  With ``trigger(availableNow=True)``
-a scheduled run processes exactly the files that arrived since the last
-run, tracked in the checkpoint.
+the metric schema, anti-joined (null-safe) against the keys already in the
+store (stream-static join; the static side is listed when the query
+starts) and appended to a date-partitioned parquet sink.  With
+``trigger(availableNow=True)`` a scheduled run processes exactly the files
+that arrived since the last run, tracked in the checkpoint.
 
-The store stays a plain parquet table, so batch loads and stream runs can
-share it.  Each batch re-reads the store, so keys written by an earlier
-batch are seen, and a retried batch appends nothing twice (the anti join
-makes the load idempotent).  Within one batch the incoming rows are not
-de-duplicated, as in the batch load.  ``dedupe_watermark`` adds
-``dropDuplicatesWithinWatermark`` on the key for feeds that re-send rows
-across micro-batches; its state is bounded by the watermark, and rows
-older than the watermark are then not loaded.
+The stream is declared end to end (no ``foreachBatch``: from PySpark that
+would start a callback server for the JVM to call into Python).  The cost
+is that each micro-batch joins against every stored key; the key scan reads
+one column plus partition values, and batch loads, which can prune by
+date, go through ``sinks.append_metrics`` instead.
+
+Within one run the incoming rows are not de-duplicated, as in the batch
+load.  ``dedupe_watermark`` adds ``dropDuplicatesWithinWatermark`` on the
+key for feeds that re-send rows across micro-batches; its state is bounded
+by the watermark, and rows older than the watermark are then not loaded.
 """
 
 from __future__ import annotations
@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 
 from domainpulse import schemas
 from domainpulse.config import METRIC_KEY
-from domainpulse.sources.sinks import append_metrics
+from domainpulse.operators.ingest import null_safe_anti
+from domainpulse.sources.sinks import read_store
 
 
-def metric_stream(spark: SparkSession, landing: str, fmt: str = "csv",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+def metric_stream(spark: SparkSession, landing: str, fmt: str = "csv") -> DataFrame:
     reader = spark.readStream.schema(schemas.METRICS_FILE)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
     raw = reader.format(fmt).load(landing)
@@ -46,28 +44,27 @@ def metric_stream(spark: SparkSession, landing: str, fmt: str = "csv",
 
 
 def incremental_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str, fmt: str = "csv",
-                       dedupe_watermark: str | None = None, max_files_per_trigger: int | None = None):
+                       dedupe_watermark: str | None = None):
     """Run one availableNow pass: load unseen metric rows from ``landing`` into ``store``.
 
-    ``max_files_per_trigger`` bounds the size of each micro-batch (a backlog
-    is then loaded in several batches within the same run).
+    The store must be owned by this stream (its sink log lists the files).
     Returns the finished StreamingQuery.
     """
-    stream = metric_stream(spark, landing, fmt, max_files_per_trigger)
+    stream = metric_stream(spark, landing, fmt)
     if dedupe_watermark:
         stream = (stream.withColumn("_event_time", F.col("snapshot_date").cast("timestamp"))
                   .withWatermark("_event_time", dedupe_watermark)
                   .dropDuplicatesWithinWatermark(list(METRIC_KEY))
                   .drop("_event_time"))
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        append_metrics(batch.sparkSession, batch, store)
-
+    stored = read_store(spark, store, schemas.METRICS).select(*METRIC_KEY)
+    fresh = null_safe_anti(stream, stored, METRIC_KEY)
     query = (
-        stream.writeStream.foreachBatch(load)
+        fresh.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
+        .partitionBy("snapshot_date")
+        .outputMode("append")
         .trigger(availableNow=True)
-        .start()
+        .start(store)
     )
     query.awaitTermination()
     return query

@@ -93,26 +93,6 @@ def test_stream_equals_batch_and_is_rerun_safe(spark, scratch):
     assert F is not None
 
 
-def test_stream_batches_see_earlier_batches_and_share_store_with_batch_loads(spark, scratch):
-    land, store, ck = (os.path.join(scratch, x) for x in ("land2", "store2", "ck2"))
-    os.makedirs(land)
-    # a batch load first: the stream must honour its keys (plain parquet store)
-    assert sinks.append_metrics(spark, metrics(spark, [("D9", 0, 0.1, 0.1, 1.0, 0)]), store) == 1
-    with open(os.path.join(land, "a.csv"), "w") as f:
-        f.write(HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,D9,2024-01-01,77,0.1,0.2,3,0,\n")
-    with open(os.path.join(land, "b.csv"), "w") as f:
-        f.write(HEADER + "3,D1,2024-01-01,99,0.9,0.2,3,0,\n4,D2,,10,0.1,0.2,3,0,\n")
-    t = os.path.getmtime(os.path.join(land, "a.csv"))
-    os.utime(os.path.join(land, "b.csv"), (t + 60, t + 60))  # b arrives after a
-    q = incremental_ingest(spark, land, store, ck, max_files_per_trigger=1)
-    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 2  # two micro-batches in one run
-    # and a batch load after the stream still lands in the same readable table
-    assert sinks.append_metrics(spark, metrics(spark, [("D3", 2, 0.1, 0.1, 1.0, 0)]), store) == 1
-    got = sorted((r.domain_id, str(r.snapshot_date), r.total_records) for r in spark.read.parquet(store).collect())
-    assert got == [("D1", "2024-01-01", 10), ("D2", "None", 10), ("D3", "2024-01-03", 100),
-                   ("D9", "2024-01-01", 100)]
-
-
 def test_stream_watermark_dedupe_is_optional(spark, scratch):
     rows = HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,D1,2024-01-01,11,0.1,0.2,3,0,\n3,D2,2024-01-02,10,0.1,0.2,3,0,\n"
     counts = {}
