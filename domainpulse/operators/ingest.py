@@ -10,25 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domainpulse.config import METRIC_KEY, REQUIRED_DOMAIN_COLUMNS
 from domainpulse.operators.ordinal import number_rows
 
 
+_ZERO = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
+         "timestamp_ntz": "1970-01-01 00:00:00"}
+
+
+def _null_safe_key(df: DataFrame, k: str, prefix: str) -> list[Column]:
+    """``k`` as two plain join columns: its value (null -> a zero of its type) and a null flag."""
+    dtype = df.schema[k].dataType.simpleString()
+    zero = F.lit(_ZERO.get(dtype, 0)).cast(dtype)
+    return [F.coalesce(F.col(k), zero).alias(f"{prefix}{k}"), F.col(k).isNull().alias(f"{prefix}{k}_null")]
+
+
 def null_safe_anti(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``stored`` (NULL matches NULL).
 
     Stored keys are de-duplicated first (a partial aggregate), so stored
-    copies of one key never pile up on one side of the join.
+    copies of one key never pile up on one side of the join.  The null-safe
+    keys are spelled out as (value, is-null) columns, the pair Spark would
+    derive from ``<=>``; de-duplicating on exactly those columns leaves the
+    stored keys partitioned as the join needs, so they are shuffled once.
     """
-    right = stored.select(*[F.col(k).alias(f"_s_{k}") for k in keys]).distinct()
-    cond = None
-    for k in keys:
-        c = incoming[k].eqNullSafe(right[f"_s_{k}"])
-        cond = c if cond is None else cond & c
-    return incoming.join(right, cond, "left_anti")
+    right = stored.select(*[c for k in keys for c in _null_safe_key(stored, k, "_k_")]).distinct()
+    left = incoming.select("*", *[c for k in keys for c in _null_safe_key(incoming, k, "_k_")])
+    on = [f"_k_{k}{suffix}" for k in keys for suffix in ("", "_null")]
+    return left.join(right, on, "left_anti").drop(*on)
 
 
 def new_metrics(incoming: DataFrame, stored: DataFrame, keys: Sequence[str] = METRIC_KEY) -> DataFrame:

@@ -21,6 +21,21 @@ def test_new_metrics_null_safe_and_no_fanout(spark):
     assert sorted(r.domain_id for r in fresh) == ["B", "B"]  # incoming duplicates are kept
 
 
+def test_stored_keys_are_shuffled_once(spark):
+    """De-duplicated stored keys are already partitioned as the anti join needs."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inc = metrics(spark, [("A", i % 9, 0.1, 0.1, 1.0, 0) for i in range(20)])
+        sto = metrics(spark, [("A", i % 5, 0.1, 0.1, 1.0, 0) for i in range(20)] + [(None, 1, 0.1, 0.1, 1.0, 0)])
+        df = new_metrics(inc, sto)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2  # one per side
+        assert df.count() == 8  # 12 of the 20 incoming rows fall on the stored days 0-4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
 def test_new_domains_first_wins_and_skips(spark):
     inc = spark.createDataFrame([
         ("D1", "first", "t", "s", 1), ("D1", "second", "t", "s", 2), ("D2", None, "t", "s", 3),
