@@ -98,11 +98,14 @@ def export_outputs(result: ChainResult, out_dir: str, fmt: str = "csv") -> None:
     export(result.scores, f"{base}/exports/risk_scores", fmt)
 
 
-def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_dir: str) -> dict[str, int]:
+def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_dir: str,
+                 strict_fk: bool = False) -> dict[str, int]:
     """I4 + W1 + W3: load domains first, then metrics, each append-safe, and audit both.
 
+    ``strict_fk`` rejects a metric load that references unknown domains.
     A failure is audited as ``ingest``/FAILED before it is re-raised.
     """
+    from domainpulse import schemas
     from domainpulse.sources import sinks
     from pyspark.sql import functions as F
 
@@ -112,7 +115,8 @@ def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_
         incoming = read_domains_csv(spark, domains_csv).withColumn("arrival", F.monotonically_increasing_id())
         n_domains = sinks.append_domains(spark, incoming, f"{base}/domains")
         sinks.append_audit(spark, sinks.audit_event(spark, "ingest.domains", "SUCCESS", n_domains), audit)
-        n_metrics = sinks.append_metrics(spark, read_metrics_csv(spark, metrics_csv), f"{base}/coverage_metrics")
+        n_metrics = sinks.append_metrics(spark, read_metrics_csv(spark, metrics_csv), f"{base}/coverage_metrics",
+                                         sinks.read_store(spark, f"{base}/domains", schemas.DOMAINS), strict_fk)
         sinks.append_audit(spark, sinks.audit_event(spark, "ingest.coverage_metrics", "SUCCESS", n_metrics), audit)
     except Exception as exc:
         sinks.append_audit(spark, sinks.audit_event(spark, "ingest", "FAILED", 0, str(exc)[:1000]), audit)

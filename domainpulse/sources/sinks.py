@@ -44,19 +44,34 @@ def stored_for_dates(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return stored.where(cond)
 
 
-def append_metrics(spark: SparkSession, incoming: DataFrame, path: str) -> int:
+def append_metrics(spark: SparkSession, incoming: DataFrame, path: str, domains: DataFrame | None = None,
+                   strict_fk: bool = False) -> int:
     """W1 + I1: append only unseen (domain_id, snapshot_date) rows.
 
     The store is partitioned by snapshot_date, so window filters on it are
     answered by partition pruning, and the anti join only reads the stored
     dates the delivery touches.  Returns the number of rows appended.
     Re-running a load appends nothing twice.
+
+    With ``strict_fk`` a new row whose non-null domain_id is not in
+    ``domains`` rejects the whole load (ValueError, nothing written), like
+    an enforced foreign key; by default such rows load and the
+    referential-integrity check reports them as a WARNING.
     """
     incoming = with_metric_columns(incoming)
     stored = stored_for_dates(read_store(spark, path, schemas.METRICS), incoming)
     # Reliable checkpoint: the append never re-reads the path it is writing to,
     # even if executors (and cached blocks) are lost mid-write.
     fresh = cut_lineage(new_metrics(incoming, stored.select("domain_id", "snapshot_date")))
+    if strict_fk:
+        if domains is None:
+            raise ValueError("strict_fk needs the domains table")
+        from domainpulse.operators.quality import orphan_ids
+
+        found = orphan_ids(fresh, domains).agg(F.count(F.lit(1)).alias("ids"), F.sum("rows").alias("rows")).first()
+        if found["ids"]:
+            raise ValueError(f"foreign key violation: {found['rows']} metric row(s) reference "
+                             f"{found['ids']} unknown domain_id(s)")
     n = fresh.count()
     if n:
         fresh.write.mode("append").partitionBy("snapshot_date").parquet(path)

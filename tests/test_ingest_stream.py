@@ -57,6 +57,29 @@ def test_append_twice_adds_once(spark, scratch):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_strict_foreign_key_rejects_the_load(spark, scratch):
+    import pytest
+
+    from domainpulse.plans.chain import ingest_stage
+
+    doms = os.path.join(scratch, "d.csv")
+    with open(doms, "w") as f:
+        f.write("domain_id,domain_name,owner_team,data_source\nD1,One,T,S\n")
+    mets = os.path.join(scratch, "m.csv")
+    with open(mets, "w") as f:
+        f.write(HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,DX,2024-01-01,10,0.1,0.2,3,0,\n"
+                + "3,,2024-01-01,10,0.1,0.2,3,0,\n")  # DX is unknown; a null id is no violation
+    strict, lax = os.path.join(scratch, "strict"), os.path.join(scratch, "lax")
+    with pytest.raises(ValueError, match="1 metric row"):
+        ingest_stage(spark, doms, mets, strict, strict_fk=True)
+    assert spark.read.parquet(os.path.join(strict, "domains")).count() == 1
+    assert not os.path.exists(os.path.join(strict, "coverage_metrics"))  # nothing written
+    audit = spark.read.parquet(os.path.join(strict, "audit_log"))
+    assert [(r.stage, r.status) for r in audit.orderBy("run_id").collect()] == [
+        ("ingest.domains", "SUCCESS"), ("ingest", "FAILED")]
+    assert ingest_stage(spark, doms, mets, lax) == {"domains": 1, "coverage_metrics": 3}  # default: load, warn later
+
+
 def test_csv_sources_parse_and_bad_dates(spark, scratch):
     p = os.path.join(scratch, "m.csv")
     with open(p, "w") as f:
