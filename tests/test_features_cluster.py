@@ -49,6 +49,18 @@ def test_too_few_points_for_k(spark):
         co.fit_kmeans(scaled, ClusterParams(k=4, restarts=2))
 
 
+def test_fewer_clusters_take_the_least_severe_tiers(spark):
+    kpi = _kpi(spark, [("A", 0.0, 0.0, 1.0, 0), ("B", 0.01, 0.0, 1.0, 0), ("C", 0.9, 0.8, 90.0, 9),
+                       ("D", 0.91, 0.8, 91.0, 9)])
+    feats = fo.build_features(kpi)
+    scaled = fo.standardise(feats)
+    centers, _, _ = co.fit_kmeans(scaled, ClusterParams(k=2, restarts=2))
+    tiers = {r.domain_id: r.risk_tier for r in co.cluster_features(feats, scaled, centers).collect()}
+    assert tiers == {"A": "LOW", "B": "LOW", "C": "MEDIUM", "D": "MEDIUM"}
+    assert [r.risk_tier for r in co.centroid_table(spark, centers).orderBy("cluster_label").collect()] == [
+        "LOW", "MEDIUM"]
+
+
 def test_nearest_centroid_and_tiers(spark):
     schema = "domain_id string, " + ", ".join(f"{c}_scaled double" for c in FEATURES)
     rows = [(f"P{i}", *c) for i, c in enumerate(DEMO_CENTROIDS)]
