@@ -155,6 +155,17 @@ def test_append_reads_only_the_dates_it_delivers(spark, scratch):
     assert sinks.append_metrics(spark, incoming, path) == 1
 
 
+def test_date_pruned_append_keeps_null_dates_null_safe(spark, scratch):
+    path = os.path.join(scratch, "nulls")
+    first = metrics(spark, [("D2", None, 0.1, 0.1, 1.0, 0), ("D1", 0, 0.1, 0.1, 1.0, 0)])
+    assert sinks.append_metrics(spark, first, path) == 2
+    again = metrics(spark, [("D2", None, 0.5, 0.1, 1.0, 0), ("D3", None, 0.1, 0.1, 1.0, 0),
+                            ("D1", 0, 0.5, 0.1, 1.0, 0)])
+    assert sinks.append_metrics(spark, again, path) == 1  # only D3: a null date matches a stored null date
+    got = sorted((r.domain_id, str(r.snapshot_date)) for r in spark.read.parquet(path).collect())
+    assert got == [("D1", "2024-01-01"), ("D2", "None"), ("D3", "None")]
+
+
 def test_bad_date_is_null_warned_and_ignored_by_rollup(spark, scratch):
     from domainpulse.operators.kpi import kpi_summary
     from domainpulse.operators.quality import check_nulls
