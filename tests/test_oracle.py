@@ -31,3 +31,21 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["domain_id", "run_date", "composite_score", "cluster_label", "risk_tier", "top_driver"]
+
+
+# Python UDF nodes leave whole-stage codegen; Cartesian products and nested-loop joins emit pairs.
+NOT_IN_PLANS = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
+                "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+def test_plans_stay_in_the_jvm_without_pairs(spark):
+    fitted = {"kmeans_clusters", "cluster_tiers", "risk_scores_fitted"}  # same scoring path as risk_scores
+    found = {}
+    for name, fn in QUERIES.items():
+        if name in fitted:
+            continue
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        hits = [n for n in NOT_IN_PLANS if n in plan]
+        if hits:
+            found[name] = hits
+    assert found == {}
