@@ -90,3 +90,30 @@ def test_loading_twice_equals_loading_once(spark, first, second):
     sinks.append_metrics(spark, a, path)
     sinks.append_metrics(spark, b, path)
     assert _rows(spark.read.parquet(path).drop("created_at")) == once
+
+
+def test_results_do_not_depend_on_the_join_strategy(spark):
+    """At scale the dimension joins become sort-merge joins; the answers must not change."""
+    import __spark_entry__ as entry
+
+    names = ["gap_lineitem", "dq_all_issues", "risk_scores_lineitem", "ingest_new_metrics", "report_team_tiers"]
+    qs = entry.queries()
+    default = {n: _rows(qs[n](spark, SF001)) for n in names}
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        merged = {}
+        for n in names:
+            df = qs[n](spark, SF001)
+            rows = _rows(df)
+            assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+            merged[n] = rows
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert merged == default and all(default.values())
