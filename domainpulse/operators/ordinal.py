@@ -57,11 +57,18 @@ def _bucket(keys: DataFrame, order: list[OrderSpec], buckets: int) -> Column:
     bounds = sorted(set(rows[i] for i in range(step, len(rows), step)))
     types = [f.dataType for f in sample.schema.fields]
     key = F.struct(*[c.alias(f"_n{i}") for i, c in enumerate(norm)])
-    out = F.lit(0)
-    for b in bounds:
-        lit = F.struct(*[F.lit(v).cast(t).alias(f"_n{i}") for i, (v, t) in enumerate(zip(b, types))])
-        out = out + F.when(key >= lit, 1).otherwise(0)
-    return out
+    lits = [F.struct(*[F.lit(v).cast(t).alias(f"_n{i}") for i, (v, t) in enumerate(zip(b, types))])
+            for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        # bucket = number of boundaries <= key, found by binary search over the
+        # sorted boundaries: log2(buckets) comparisons per row, not one per boundary
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key >= lits[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return search(0, len(lits))
 
 
 def rows_before(keys: DataFrame, order: list[OrderSpec], weight: str, partitions: int | None = None) -> DataFrame:
