@@ -131,6 +131,19 @@ def test_stream_equals_batch_and_is_rerun_safe(spark, scratch):
     assert F is not None
 
 
+def test_stream_null_keys_load_once(spark, scratch):
+    land, store, ck = (os.path.join(scratch, x) for x in ("land_n", "store_n", "ck_n"))
+    os.makedirs(land)
+    with open(os.path.join(land, "a.csv"), "w") as f:
+        f.write(HEADER + "1,,2024-01-01,10,0.1,0.2,3,0,\n2,D1,,10,0.1,0.2,3,0,\n")
+    incremental_ingest(spark, land, store, ck)
+    with open(os.path.join(land, "b.csv"), "w") as f:  # the same null keys again, plus one new row
+        f.write(HEADER + "3,,2024-01-01,99,0.1,0.2,3,0,\n4,D1,,99,0.1,0.2,3,0,\n5,D2,2024-01-01,10,0.1,0.2,3,0,\n")
+    incremental_ingest(spark, land, store, ck)
+    got = sorted((r.domain_id or "", str(r.snapshot_date), r.total_records) for r in spark.read.parquet(store).collect())
+    assert got == [("", "2024-01-01", 10), ("D1", "None", 10), ("D2", "2024-01-01", 10)]
+
+
 def test_stream_watermark_dedupe_is_optional(spark, scratch):
     rows = HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,D1,2024-01-01,11,0.1,0.2,3,0,\n3,D2,2024-01-02,10,0.1,0.2,3,0,\n"
     counts = {}
