@@ -66,3 +66,20 @@ def test_duplicate_check_on_a_hot_key_counts_every_copy(spark):
     issue = dq.check_duplicate_keys(m).collect()
     assert len(issue) == 1 and issue[0].rows_affected == 600
     assert dq.duplicate_groups(m).count() == 1
+
+
+def test_ordinal_buckets_are_ordered_for_any_bucket_count(spark):
+    from domainpulse.operators.ordinal import _bucket
+
+    rnd = random.Random(5)
+    rows = [(f"D{i}", float(rnd.randint(0, 300)) if i % 17 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, s double")
+    df.createOrReplaceTempView("ordinal_t")
+    want = {r.id: r.rk for r in spark.sql(
+        "SELECT id, RANK() OVER (ORDER BY s DESC NULLS LAST) AS rk FROM ordinal_t").collect()}
+    key = F.coalesce(-F.col("s"), F.lit(1e18))  # the order the buckets follow (desc, nulls last)
+    for buckets in (2, 3, 8, 37, 128):
+        b = df.withColumn("_b", _bucket(df, [("s", True, True)], buckets))
+        spans = b.groupBy("_b").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).orderBy("_b").collect()
+        assert all(spans[i].hi <= spans[i + 1].lo for i in range(len(spans) - 1))
+        assert {r.id: r["rank"] for r in rank_by(df, "s", partitions=buckets).collect()} == want
