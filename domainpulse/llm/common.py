@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,11 +23,30 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: a lineage cut that any executor can read."""
+#: Rows per Arrow batch where whole texts go to Python, so that a batch of long texts fits in memory.
+TEXT_BATCH = 256
+
+
+@contextlib.contextmanager
+def text_batches(spark: SparkSession, rows: int = TEXT_BATCH):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again: a lineage cut that any executor can read.
+
+    ``batch``: rows per Arrow batch of the Python code in ``df``.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    with text_batches(spark, batch) if batch else contextlib.nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
