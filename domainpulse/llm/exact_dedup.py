@@ -129,11 +129,14 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None,
         (F.col("_digest") if digest is sha256 else sha256(normalised())).alias("text_sha256"))
 
 
-def dedup_frame(docs: DataFrame) -> DataFrame:
-    """``exact_dedup`` of any frame, written to the shared folder first so that the stream has files to read."""
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of any frame that stay, with their own columns only.
+
+    The frame is written to the shared folder first, so that the stream has files to read.
+    """
     path = shared_path(docs.sparkSession, "dedup-input")
-    docs.write.parquet(path)
-    return exact_dedup(docs.sparkSession, path)
+    docs.select(F.struct("*").alias("row"), "doc_id", "text").write.parquet(path)
+    return exact_dedup(docs.sparkSession, path).where("kept").select("row.*")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

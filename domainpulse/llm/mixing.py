@@ -80,6 +80,12 @@ def emit_mix(planned: DataFrame, drop: tuple[str, ...] = ADDED) -> DataFrame:
     return planned.where("copies > 0").withColumn("_copy", F.explode(repeats)).drop("_copy", *drop)
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix of ``docs`` with their own columns only."""
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text", "source")
+    return emit_mix(plan_mix(packed)).select("row.*")
+
+
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     planned = plan_mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return planned.select(

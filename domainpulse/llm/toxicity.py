@@ -193,6 +193,11 @@ class ToxicityModel:
             score = vector_to_array("_probability")[1]
         return out.select(*[F.col(f"`{c}`") for c in keep], F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)).alias("score"))
 
+    def keep_clean(self, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+        """The rows of ``docs`` scored below ``threshold``, with their own columns only."""
+        packed = docs.select(F.struct("*").alias("row"), F.col("text"))
+        return self.score(packed).where(F.col("score") < threshold).select("row.*")
+
 
 def _margin(df: DataFrame) -> DataFrame:
     return df.withColumn("_margin", vector_to_array("_raw")[1])
