@@ -11,10 +11,12 @@ cut exactly in another way, and pivots work where distances spread:
 1. *Families.*  A set is dealt into m blocks by shingle hash, m above the
    largest possible symmetric difference of a linked pair of that size
    (2 n eps / (2 - eps)); then a linked pair agrees in at least one whole
-   block.  Documents that share a block are candidates; connected candidates
-   form a family, and no link leaves a family.  Blocks are pre-aggregated in
-   each task to one row per distinct block, so a block of a third of all
-   documents costs one row per task.
+   block, even among the largest ones.  Documents that share a block are
+   candidates; connected candidates form a family, and no link leaves a
+   family.  Blocks are pre-aggregated in each task to one row per distinct
+   block, so a block of a third of all documents costs one row per task.
+   Families above ``LEAF`` are cut once more, by blocks that hold more than
+   the shingles that are frequent in them.
 2. *Regions.*  A family of at most ``LEAF`` sets is joined in one task:
    each set is a pivot in turn and meets all sets not yet known to be in its
    component.  A larger family gets sampled pivots: every set's distance to
@@ -26,8 +28,9 @@ cut exactly in another way, and pivots work where distances spread:
    in the region's window [min - eps, max + eps] of seed distances, and
    d(y, p) <= d(y, its nearest pivot) + 2 eps.
 3. Regions still above ``LEAF`` are split again in the same way around new
-   pivots (``DEPTH`` rounds), and what is left is compared chunk by chunk:
-   seeds against members, each pair of chunks in a task of its own.
+   pivots (``DEPTH`` rounds); where windows no longer part them, they are
+   compared chunk by chunk: seeds against members, each pair of chunks in a
+   task of its own.
 
 Sets are held as 64-bit shingle hashes (a chance of 2^-64 for a given pair
 of shingles to be taken for one), all comparisons are on whole sets, and
@@ -57,8 +60,10 @@ from domainpulse.llm.components import Sets, components
 
 #: Sets joined in one task, pivots of a larger region, sets per chunk, rounds of splitting.
 LEAF, PIVOTS, CHUNK, DEPTH = 512, 16, 256, 2
-#: Step between the block counts of two levels.
-STEP = 1.5
+#: Step between the block counts of two levels, and blocks per block that may differ.
+STEP, SPARE = 1.5, 1.2
+#: Splitting a region is given up when its parts would hold more than this many times its sets.
+REPLICAS = 4
 ADDED = ("n_shingles", "component_id")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
@@ -105,42 +110,44 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _needed(n: int, rule: Rule) -> int:
-    """Blocks for pairs whose larger set has ``n`` shingles: more than may differ, and some to spare for empty ones."""
-    apart = rule.apart(2 * n)
-    return apart + 2 + apart // 16 if apart else 0
-
-
 def levels(n: int, rule: Rule) -> list[tuple[int, int]]:
-    """(blocks, largest difference) at each level where a set of ``n`` shingles may meet a linked one."""
-    out = []
+    """(blocks, largest difference) at each level where a set of ``n`` shingles may meet a linked one.
+
+    A level's block count fits pairs up to some size; a set may meet linked sets at its own level and
+    at the next, where larger partners are.  Sets so small that linked means equal need no blocks.
+    """
+    out = {}
     for size in (n, n * rule.den // rule.num):
-        need = _needed(size, rule)
-        if need:
+        apart = rule.apart(2 * size)
+        if apart:
             blocks = 3
-            while blocks < need:
+            while blocks < SPARE * (apart + 1):
                 blocks = max(blocks + 1, int(blocks * STEP))
-            out.append((blocks, rule.apart(2 * size)))
-    return list(dict(sorted(out)).items())
+            out[blocks] = apart
+    return list(out.items())
 
 
-def block_signatures(shingles: np.ndarray, rule: Rule) -> np.ndarray:
-    """One signature per block and level: equal blocks have equal signatures.
+def block_signatures(shingles: np.ndarray, rule: Rule, rare: np.ndarray | None = None) -> np.ndarray:
+    """Signatures of the largest blocks at each level: equal blocks have equal signatures.
 
-    Empty blocks are left out, unless so many are empty that the shared block of a linked pair might be one.
+    Blocks of at least t shingles are signed, t as large as leaves more blocks than may differ.  Of a
+    linked pair, the set with the larger t has one such block that does not differ, and the other set,
+    with its smaller t, signs that block too.  (t is 0, and empty blocks are signed, only where nothing
+    else is left.)  With ``rare``, a mask, only those shingles count towards t.
     """
     out = []
     for blocks, apart in levels(len(shingles), rule):
         place = (_mixed(shingles + np.uint64(blocks)) % np.uint64(blocks)).astype(np.int64)
+        counts = np.bincount(place, minlength=blocks)
+        rank = counts if rare is None else np.bincount(place[rare], minlength=blocks)
+        least = int(np.sort(rank)[::-1][apart])
+        signed = np.flatnonzero(rank >= least)
         order = np.argsort(place, kind="stable")
-        at = place[order]
-        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums = np.add.reduceat(_mixed(shingles[order] ^ _MIX[0]), starts)
-        keys = (np.uint64(blocks) << np.uint64(32)) + at[starts].astype(np.uint64)
-        out.append(_mixed(sums + _mixed(keys)))
-        if blocks - len(starts) > blocks - apart - 1:
-            empty = np.setdiff1d(np.arange(blocks), at[starts]).astype(np.uint64)
-            out.append(_mixed(_mixed((np.uint64(blocks) << np.uint64(32)) + empty)))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(_mixed(shingles[order] ^ _MIX[0]))])
+        ends = np.cumsum(counts)
+        content = sums[ends[signed]] - sums[ends[signed] - counts[signed]]
+        keys = (np.uint64(blocks) << np.uint64(32)) + signed.astype(np.uint64)
+        out.append(_mixed(content + _mixed(keys)))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
@@ -164,7 +171,7 @@ def _described(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _candidates(described: DataFrame) -> DataFrame:
-    """Candidate edges (a, b) between sets that share a block, enough to connect all that do."""
+    """Candidate edges (a, b) between sets (node, blocks) that share a block, enough to connect all that do."""
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # One row per distinct block of the batch, with its smallest set; the batch's other sets
@@ -203,7 +210,7 @@ def _candidates(described: DataFrame) -> DataFrame:
             differ = ~first & (head != node)
             yield pd.DataFrame({"a": node[differ], "b": head[differ]}).drop_duplicates()
 
-    shared = described.where("n > 0 and size(blocks) > 0").select("node", "blocks").mapInPandas(
+    shared = described.where("size(blocks) > 0").select("node", "blocks").mapInPandas(
         local, "block long, node long, other long")
     partitions = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return shared.repartition(partitions, "block").sortWithinPartitions("block", "node").mapInPandas(
@@ -300,26 +307,58 @@ def _in_chunks(size, name: str):
     return F.pmod(F.xxhash64("node", F.lit(name)), F.greatest(F.lit(1), F.ceil(size / CHUNK))).cast("int")
 
 
+def _renewed(df: DataFrame) -> DataFrame:
+    """``df`` under new column identities, so that two sides of one origin can be told apart."""
+    return df.toDF(*df.columns)
+
+
+def _chunk_by_chunk(large: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Links between the seeds and the members of regions (region, node, seed, members, seeds), a pair of chunks a task."""
+    n_seeds, n_members = F.greatest(F.lit(1), F.ceil(F.col("seeds") / CHUNK)), F.ceil(F.col("members") / CHUNK)
+    one = large.where("seed").withColumn("i", _in_chunks(F.col("seeds"), "s")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), (n_members - 1).cast("int"))))
+    other = large.withColumn("j", _in_chunks(F.col("members"), "m")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), (n_seeds - 1).cast("int"))))
+    return one.join(texts, "node").groupBy("region", "i", "j").cogroup(
+        _renewed(other.join(texts, "node")).groupBy("region", "i", "j")).applyInPandas(_chunk_links(rule), "a long, b long")
+
+
+def _without_frequent(texts: DataFrame, rule: Rule) -> DataFrame:
+    """Candidate edges inside large families (node, family, text), by their blocks of rarer content.
+
+    Shingles that more than ``LEAF`` sets of a family hold (a passage that thousands of documents
+    quote) do not count when the blocks to sign are chosen, so blocks of such shingles alone are signed
+    only by sets that have little else.
+    """
+    pieces = F.pandas_udf(lambda c: pd.Series([_signed(shingle_set(t, rule.words)) for t in c]), "array<long>")
+    rows = stored(texts.select("family", "node", F.explode(pieces("text")).alias("shingle")), "family-shingles", batch=TEXT_BATCH)
+    frequent = stored(rows.groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > LEAF).select(
+        F.col("family").alias("f"), F.col("shingle").alias("s")), "family-frequent")
+    marked = rows.join(small(frequent), (F.col("family") == F.col("f")) & (F.col("shingle") == F.col("s")), "left")
+    parts = marked.groupBy("node").agg(
+        F.collect_list("shingle").alias("all"), F.collect_list(F.col("s").isNull()).alias("rare"))
+
+    @F.pandas_udf("array<long>")
+    def sign(shingles: pd.Series, rare: pd.Series) -> pd.Series:
+        return pd.Series([
+            _signed(block_signatures(np.asarray(x, dtype=np.int64).view(np.uint64), rule, np.asarray(r, dtype=bool)))
+            for x, r in zip(shingles, rare)])
+
+    return _candidates(parts.select("node", sign("all", "rare").alias("blocks")))
+
+
 def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFrame, depth: int) -> DataFrame:
     """Links of regions (region, node, seed) above ``LEAF``; ``known`` are links found before."""
     sizes = small(stored(regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum(
         F.col("seed").cast("long")).alias("seeds")), "region-sizes"))
     sized = regions.join(sizes, "region")
     with_text = lambda df: df.join(texts, "node")
-    renewed = lambda df: df.toDF(*df.columns)  # noqa: E731  so that two sides of one origin can be told apart
     little = with_text(sized.where(F.col("members") <= LEAF)).groupBy("region").applyInPandas(_leaf(rule), "a long, b long")
     large = stored(sized.where((F.col("members") > LEAF) & (F.col("seeds") > 0)), "regions-large")
     if large.isEmpty():
         return stored(little, "region-links")
     if depth == 0:
-        n_seeds, n_members = F.greatest(F.lit(1), F.ceil(F.col("seeds") / CHUNK)), F.ceil(F.col("members") / CHUNK)
-        one = large.where("seed").withColumn("i", _in_chunks(F.col("seeds"), "s")).withColumn(
-            "j", F.explode(F.sequence(F.lit(0), (n_members - 1).cast("int"))))
-        other = large.withColumn("j", _in_chunks(F.col("members"), "m")).withColumn(
-            "i", F.explode(F.sequence(F.lit(0), (n_seeds - 1).cast("int"))))
-        met = with_text(one).groupBy("region", "i", "j").cogroup(renewed(with_text(other)).groupBy("region", "i", "j")).applyInPandas(
-            _chunk_links(rule), "a long, b long")
-        return stored(little.union(met), "region-links")
+        return stored(little.union(_chunk_by_chunk(large, texts, rule)), "region-links")
     # About four times PIVOTS seeds are drawn by hash, and PIVOTS of them kept: a bounded number per region.
     draw = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     drawn = large.where("seed").where(draw < F.lit(4.0 * PIVOTS) / F.col("seeds")).groupBy("region").agg(
@@ -329,7 +368,7 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
         F.explode(F.sequence(F.lit(0), (F.ceil(F.col("members") / CHUNK) - 1).cast("int"))).alias("chunk"))
     rows = with_text(large.withColumn("chunk", _in_chunks(F.col("members"), "m")))
     measured = stored(
-        rows.groupBy("region", "chunk").cogroup(renewed(pivots).groupBy("region", "chunk")).applyInPandas(
+        rows.groupBy("region", "chunk").cogroup(_renewed(pivots).groupBy("region", "chunk")).applyInPandas(
             _pivot_distances(rule),
             "region string, node long, seed boolean, near int, distances array<double>, links array<long>"), "region-distances")
     links = stored(
@@ -353,8 +392,15 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
     nested = stored(cells.select(
         F.concat_ws("/", "region", F.col("cell").cast("string")).alias("region"), "node",
         (F.col("seed") & (F.col("near") == F.col("cell"))).alias("seed")), "regions")
-    if nested.isEmpty():
+    replicas = nested.count()
+    if not replicas:
         return links
+    if replicas > REPLICAS * open_.count():
+        # distances do not spread: the windows hold nearly everything
+        again = open_.select("region", "node", "seed")
+        counts = small(stored(again.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum(
+            F.col("seed").cast("long")).alias("seeds")), "region-sizes"))
+        return links.union(stored(_chunk_by_chunk(again.join(counts, "region"), texts, rule), "region-links"))
     return links.union(_join_large(nested, texts, rule, links, depth - 1))
 
 
@@ -363,7 +409,7 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     described = _described(docs, rule)
     slim = described.select("doc_id", "text_hash", "n", "node")
     # A family is named by its smallest set; (a, b): set and family.
-    tied = components(_candidates(described))
+    tied = components(_candidates(described.where("n > 0")))
     families = stored(tied.union(tied.select("b", "b").distinct()).toDF("node", "family"), "families")
     one_row = F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_hash")
     classes = stored(slim.where("n > 0").groupBy("node").agg(F.min(one_row).alias("row")), "jaccard-classes")
@@ -377,7 +423,9 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     leaves = texts.where(F.col("members") <= LEAF).withColumn("seed", F.lit(True))
     roots = stored(leaves.groupBy("family").applyInPandas(_leaf(rule), "a long, b long"), "family-links", batch=None)
     if not large.isEmpty():
-        regions = large.select(F.col("family").cast("string").alias("region"), "node", F.lit(True).alias("seed"))
+        finer = components(_without_frequent(large.select("node", "family", "text"), rule))
+        finer = finer.union(finer.select("b", "b").distinct())
+        regions = finer.select(F.col("b").cast("string").alias("region"), F.col("a").alias("node"), F.lit(True).alias("seed"))
         found = _join_large(regions, large.select("node", "text"), rule, roots.limit(0), DEPTH)
         roots = roots.union(components(found))
     labelled = classes.join(small(stored(roots, "jaccard-roots")), F.col("node") == F.col("a"), "left").select(
