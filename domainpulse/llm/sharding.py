@@ -37,7 +37,7 @@ from domainpulse.llm.common import documents, id_text, text_or_empty, without
 
 SHARDS = 16
 #: Sampled keys per range, ranges per shard, and the bytes above which there are more ranges.
-OVERSAMPLE, RANGES_PER_SHARD, RANGE_BYTES = 16, 8, 1 << 30
+OVERSAMPLE, RANGES_PER_SHARD, RANGE_BYTES = 16, 8, 1 << 28
 GROUP_PART = 50
 #: Rounds in which overfull ranges are subdivided.
 ROUNDS = 4
