@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import documents, id_text, text_or_empty, without
+from domainpulse.llm.common import documents, id_text, stored, text_or_empty, without
 
 SHARDS = 16
 #: Sampled keys per range, ranges per shard, and the bytes above which there are more ranges.
@@ -147,7 +147,8 @@ def _placed(keyed: DataFrame, bounds: list[str], sizes: list[tuple[int, int]], s
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Every row of ``docs`` with size, law, shard, slot and grown_shard (null under this law)."""
     keyed = _keyed(docs)
-    slim = keyed.select("doc_id", "size", "_text_key", "_id_key", "_key")
+    # written once: the passes below then read a few bytes per row instead of the texts
+    slim = stored(keyed.select("doc_id", "size", "_text_key", "_id_key", "_key"), "shard-keys")
     bounds, sizes = splitters(slim, shards)
     first = {r["shard"]: r["r"] for r in _placed(slim, bounds, sizes, shards).groupBy("shard").agg(
         F.min("_row").alias("r")).collect()}  # at most one row per shard
