@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import shared_path, stored, text_or_empty, without
+from domainpulse.llm.common import shared_path, small, stored, text_or_empty, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -88,10 +88,12 @@ def update_state(spark: SparkSession, path: str, state: str, digest: Callable[[C
         F.col("value").getField("count").alias("_n"))
 
 
-def _colliding(rows: DataFrame) -> DataFrame:
+def _colliding(docs: DataFrame, entries: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests under which some row's full bytes differ from the kept row's."""
     salts = F.ceil(F.col("_n") / ROWS_PER_SALT).cast("int")
-    hit = rows.where("_n > 1").select("_digest", "_at", "_keep", "_n", normalised().alias("_norm"))
+    again = small(stored(entries.where("_n > 1"), "dedup-hits"))
+    hit = _located(docs, digest).join(again, F.col("_digest") == F.col("_key")).select(
+        "_digest", "_at", "_keep", "_n", normalised().alias("_norm"))
     others = hit.where(F.col("_at") != F.col("_keep")).withColumn(
         "_salt", F.pmod(F.xxhash64("_at"), salts).cast("int"))
     kept = hit.where(F.col("_at") == F.col("_keep")).select(
@@ -114,7 +116,7 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None,
             F.lit("").alias("text_sha256"))
     entries = stored(update_state(spark, path, state or shared_path(spark, "dedup-state"), digest), "dedup-entries")
     rows = _located(docs, digest).join(entries, F.col("_digest") == F.col("_key")).drop("_key")
-    colliding = stored(_colliding(rows), "dedup-colliding")
+    colliding = stored(_colliding(docs, entries, digest), "dedup-colliding")
     if not colliding.isEmpty():
         by_bytes = rows.join(colliding, "_digest", "left_semi").withColumn("_norm", normalised())
         groups = by_bytes.groupBy(F.col("_digest").alias("_d"), F.col("_norm").alias("_m")).agg(
