@@ -34,7 +34,11 @@ from pyspark.sql import functions as F
 from domainpulse.llm.common import shared_path, small, stored, text_or_empty, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Session settings while a stream starts: the store, and no disk space set aside in advance for each of many small stores.
+STREAM = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: The characters that do not count (fixed values).
 BLANKS = " \t\n\v\f\r"
 #: Files per micro-batch, and rows that one copy of a kept text is compared with.
@@ -71,8 +75,9 @@ def _any_one(path: str) -> str:
 
 def update_state(spark: SparkSession, path: str, state: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """Run the stream over what is new under ``path``; the state as (digest, keep, n)."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STREAM}
+    for k, v in STREAM.items():
+        spark.conf.set(k, v)
     try:
         rows = spark.readStream.schema(spark.read.parquet(path).schema).option(
             "maxFilesPerTrigger", FILES_PER_BATCH).parquet(_any_one(path))
@@ -82,7 +87,8 @@ def update_state(spark: SparkSession, path: str, state: str, digest: Callable[[C
             "checkpointLocation", state).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.format("statestore").load(state).select(
         F.col("key").getField("_digest").alias("_key"), F.col("value").getField("min").alias("_keep"),
         F.col("value").getField("count").alias("_n"))
