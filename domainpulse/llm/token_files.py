@@ -30,10 +30,12 @@ read, whatever other columns there are.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -57,34 +59,65 @@ CACHED_WORDS = 300_000
 INDEX_COLUMNS = "file_no int, file string, place long, doc_id long, first long, n_tokens long"
 
 
+#: Words of these characters alone have one lower-case form per character and nothing to compose
+#: (fixed values: up to U+017F, less the dotted capital I); they may be cut into pre-tokens here.
+PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u017f]+")
+#: The tokenizer's own pre-token pattern (fixed values).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
     The tokenizer normalises, splits and merges inside runs between blanks only, so a text's ids
-    are its words' ids in order, and a word met before need not be encoded again.
+    are its words' ids in order, and a word met before need not be encoded again.  A new word of
+    plain characters is cut into its lower-case pre-tokens, which are few and known sooner.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {"": b""}
+        self.pieces = regex.compile(PIECES)
+        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.words: dict[str, bytes] = {"": b""}
+        self.ids: dict[str, bytes] = {}
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new words, through the ids of their pieces."""
+        cut = {}
+        for word in new:
+            plain = PLAIN.fullmatch(word) and not any(s in word for s in self.specials)
+            cut[word] = self.pieces.findall(word.lower()) if plain else [word]
+        wanted = list({p for ps in cut.values() for p in ps}.difference(self.ids))
+        for i in range(0, len(wanted), 4096):
+            part = wanted[i:i + 4096]
+            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.ids[piece] = np.asarray(e.ids, dtype="<u4").tobytes()
+        for word, ps in cut.items():
+            self.words[word] = b"".join([self.ids[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.ids)) if split else []
-        if len(self.ids) + len(new) > CACHED_WORDS:
-            self.ids = {"": b""}
-            new = list(set().union(*split) - {""})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.ids[word] = np.asarray(e.ids, dtype="<u4").tobytes()
-        of = self.ids.__getitem__
+        met = set().union(*split)
+        new = met.difference(self.words)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words, new = {"": b""}, met - {""}
+        if len(self.ids) > CACHED_WORDS:
+            self.ids = {}
+        self._learn(new)
+        of = self.words.__getitem__
         return [b"".join(map(of, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder per worker process, kept from task to task."""
+    return WordEncoder(path)
+
+
 class TokenFileWriter:
     """One file; call ``add`` per document in order, then ``close``."""
 
@@ -195,7 +228,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, files: int | No
             if writer is None:
                 file_no = int(batch["file_no"].iloc[0])
                 name = f"tokens-{file_no:06d}.zst"
-                encoder, writer, place = WordEncoder(tokenizer), TokenFileWriter(f"{out}/{name}"), 0
+                encoder, writer, place = _encoder(tokenizer), TokenFileWriter(f"{out}/{name}"), 0
             rows = []
             for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"].tolist())):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
