@@ -30,7 +30,6 @@ read, whatever other columns there are.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -59,56 +58,50 @@ CACHED_WORDS = 300_000
 INDEX_COLUMNS = "file_no int, file string, place long, doc_id long, first long, n_tokens long"
 
 
-#: Words of these characters alone have one lower-case form per character and nothing to compose
-#: (fixed values: up to U+017F, less the dotted capital I); they may be cut into pre-tokens here.
-PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u017f]+")
-#: The tokenizer's own pre-token pattern (fixed values).
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Stands between words that are encoded in one call; it has one id of its own.
+BETWEEN = "\x01"
 
 
 class WordEncoder:
     """Ids of whole texts, word by word.
 
     The tokenizer normalises, splits and merges inside runs between blanks only, so a text's ids
-    are its words' ids in order, and a word met before need not be encoded again.  A new word of
-    plain characters is cut into its lower-case pre-tokens, which are few and known sooner.
+    are its words' ids in order, and a word met before need not be encoded again.  New words are
+    encoded many in one call, with a character between them that no such word holds, and the ids
+    are cut at its id.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = regex.compile(PIECES)
-        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.words: dict[str, bytes] = {"": b""}
-        self.ids: dict[str, bytes] = {}
-
-    def _learn(self, new: set[str]) -> None:
-        """Ids of new words, through the ids of their pieces."""
-        cut = {}
-        for word in new:
-            plain = PLAIN.fullmatch(word) and not any(s in word for s in self.specials)
-            cut[word] = self.pieces.findall(word.lower()) if plain else [word]
-        wanted = list({p for ps in cut.values() for p in ps}.difference(self.ids))
-        for i in range(0, len(wanted), 4096):
-            part = wanted[i:i + 4096]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.ids[piece] = np.asarray(e.ids, dtype="<u4").tobytes()
-        for word, ps in cut.items():
-            self.words[word] = b"".join([self.ids[p] for p in ps])
+        (self.between,) = self._whole(BETWEEN)
+        self.ids: dict[str, bytes] = {"": b""}
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, words: list[str]) -> None:
+        ids = np.asarray(self._whole(f" {BETWEEN} ".join(words)), dtype="<u4")
+        cuts = (np.flatnonzero(ids == self.between) * 4).tolist()
+        raw = ids.tobytes()
+        for word, start, stop in zip(words, [-4, *cuts], [*cuts, len(raw)]):
+            self.ids[word] = raw[start + 4:stop]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         met = set().union(*split)
-        new = met.difference(self.words)
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words, new = {"": b""}, met - {""}
-        if len(self.ids) > CACHED_WORDS:
-            self.ids = {}
-        self._learn(new)
-        of = self.words.__getitem__
+        new = met.difference(self.ids)
+        if len(self.ids) + len(new) > CACHED_WORDS:
+            self.ids, new = {"": b""}, met - {""}
+        for word in [w for w in new if BETWEEN in w]:
+            self.ids[word] = np.asarray(self._whole(word), dtype="<u4").tobytes()
+            new.discard(word)
+        words = list(new)
+        for i in range(0, len(words), 4096):
+            self._learn(words[i:i + 4096])
+        of = self.ids.__getitem__
         return [b"".join(map(of, words)) for words in split]
 
 
