@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from domainpulse.llm.common import small, stored
 
+ROWS_PER_TASK = 50_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -25,16 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _state(edges)) != before and now[0]:
         before = now
+        tasks = -(-now[0] // ROWS_PER_TASK)  # no more tasks than the shrinking edges are worth
         both = edges.union(edges.select("b", "a"))
-        least = small(stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), "star"))
+        least = small(stored(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).coalesce(tasks), "star"))
         large = stored(
             both.join(least, F.col("a") == F.col("u")).where("b > a")
-            .select(F.col("b").alias("a"), F.least("m", "u").alias("b")).distinct(), "links")
-        least = small(stored(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), "star"))
+            .select(F.col("b").alias("a"), F.least("m", "u").alias("b")).distinct().coalesce(tasks), "links")
+        least = small(stored(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).coalesce(tasks), "star"))
         joined = large.join(least, F.col("a") == F.col("u"))
         edges = stored(
             joined.select("a", F.col("m").alias("b")).union(
-                joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "links")
+                joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct().coalesce(tasks), "links")
     return edges
 
 
