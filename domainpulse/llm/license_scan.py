@@ -36,6 +36,8 @@ from domainpulse.llm.licence_texts import NOTICES, TEXTS
 
 #: Share of a template's words that must align, for short lines and for texts; words between stretches.
 NOTICE_COVERAGE, TEXT_COVERAGE, GAP = 1.0, 0.8, 12
+#: Other words that may stand between the words of a short line.
+SLACK = 2
 ADDED = ("licenses",)
 WORDS = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 FINDING = "array<struct<license:string,kind:string,coverage:double,start:int,stop:int>>"
@@ -130,18 +132,21 @@ def _stretches(words: list[str], template: Template) -> list[tuple[int, int]]:
 
 
 def _windows(part: list[str], template: Template) -> list[tuple[int, int]]:
-    """Starts and ends inside a stretch to align: the whole, or around each first word if it holds the template often.
+    """Starts and ends inside a stretch to align.
 
-    A stretch much longer than the template is cut where the template's rarest word in it stands.
+    A short line is looked for close around each place of its rarest word there, as it must stand
+    together.  For a text, it is the whole stretch and, if that is much longer than the template,
+    also a wide window around each such place.
     """
-    n = len(template.words)
-    if len(part) <= 2 * n:
+    n, short = len(template.words), template.kind == "notice"
+    if not short and len(part) <= 2 * n:
         return [(0, len(part))]
     counts = Counter(part)
     rare = min((w for w in set(template.words) if counts[w]), key=lambda w: (counts[w], w))
     at = template.words.index(rare)
-    return sorted({(max(0, i - 2 * at - GAP), min(len(part), i + 2 * (n - at) + GAP))
-                   for i, w in enumerate(part) if w == rare} | {(0, len(part))})
+    reach = (lambda k: k + SLACK) if short else (lambda k: 2 * k + GAP)
+    around = {(max(0, i - reach(at)), min(len(part), i + reach(n - at))) for i, w in enumerate(part) if w == rare}
+    return sorted(around if short else around | {(0, len(part))})
 
 
 def scan(text: str, wanted: list[Template]) -> list[dict]:
@@ -160,7 +165,7 @@ def scan(text: str, wanted: list[Template]) -> list[dict]:
                 if len(pairs) >= t.needed:
                     i, j = pairs[0][0], pairs[-1][0]
                     # a short line must stand together, but for a few words in between
-                    if t.kind == "notice" and j - i + 1 > len(t.words) + 2:
+                    if t.kind == "notice" and j - i + 1 > len(t.words) + SLACK:
                         continue
                     found.append((t.license, t.kind, len(pairs) / len(t.words), start + a + i, start + a + j + 1))
     best: list[tuple] = []
