@@ -125,7 +125,9 @@ def assign_by_original_id(frame: DataFrame, centers, scaled_cols=SCALED) -> Data
 def cluster_features(features: DataFrame, scaled: DataFrame, centers) -> DataFrame:
     """Raw features + cluster label + cluster tier, keyed by domain_id."""
     assigned = assign_clusters(scaled, centers).select("domain_id", "cluster_label", "risk_tier")
-    return features.join(assigned, "domain_id")
+    # a domain without id is a group of the rollup like any other and keeps its row
+    same = features["domain_id"].eqNullSafe(assigned["domain_id"])
+    return features.join(assigned, same).drop(assigned["domain_id"])
 
 
 def tier_profile(clustered: DataFrame) -> DataFrame:

@@ -50,9 +50,10 @@ def _bucket(keys: DataFrame, order: list[OrderSpec], buckets: int) -> Column:
         return F.lit(0)
     frac = min(1.0, 20.0 * buckets / n)
     sample = keys.sample(fraction=frac, seed=29).select(*[c.alias(f"_n{i}") for i, c in enumerate(norm)])
-    rows = sorted(tuple(r) for r in sample.limit(40 * buckets).collect())
-    if not rows:
-        return F.lit(0)
+    rows = sorted(tuple(r) for r in sample.collect())  # about 20 keys per bucket
+    if not rows:  # a small sample may come back empty: halve the keys at the middle of their range
+        named = F.struct(*[c.alias(f"_n{i}") for i, c in enumerate(norm)])
+        rows = [tuple(v) for v in keys.agg(F.min(named).alias("lo"), F.max(named).alias("hi")).first()]
     step = max(1, len(rows) // buckets)
     bounds = sorted(set(rows[i] for i in range(step, len(rows), step)))
     types = [f.dataType for f in sample.schema.fields]

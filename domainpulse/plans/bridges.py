@@ -7,7 +7,7 @@ unrounded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.operators.profile import profile
@@ -58,8 +58,14 @@ def lineitem_metrics(spark: SparkSession, base: str) -> DataFrame:
 
 
 def lineitem_domains(spark: SparkSession, base: str) -> DataFrame:
-    """Suppliers with a positive balance, so the others become orphans."""
-    sup = read_table(spark, base, "supplier").where(F.col("s_acctbal") > 0)
+    """Suppliers with a positive balance only: plants the orphans that the quality checks look for."""
+    return lineitem_suppliers(spark, base, F.col("s_acctbal") > 0)
+
+
+def lineitem_suppliers(spark: SparkSession, base: str, which: Column | None = None) -> DataFrame:
+    """All suppliers as domains."""
+    sup = read_table(spark, base, "supplier")
+    sup = sup if which is None else sup.where(which)
     nation = read_table(spark, base, "nation")
     region = read_table(spark, base, "region")
     return (

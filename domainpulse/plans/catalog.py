@@ -111,7 +111,7 @@ def q_gap_all_domains(spark, base):
 
 @query("gap_lineitem")
 def q_gap_lineitem(spark, base):
-    return gap_ops.gap_candidates(lineitem_kpi(spark, base), bridges.lineitem_domains(spark, base), LINEITEM.gaps)
+    return gap_ops.gap_candidates(lineitem_kpi(spark, base), bridges.lineitem_suppliers(spark, base), LINEITEM.gaps)
 
 
 # --- features -------------------------------------------------------------

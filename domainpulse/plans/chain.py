@@ -119,7 +119,7 @@ def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_
                                          sinks.read_store(spark, f"{base}/domains", schemas.DOMAINS), strict_fk)
         sinks.append_audit(spark, sinks.audit_event(spark, "ingest.coverage_metrics", "SUCCESS", n_metrics), audit)
     except Exception as exc:
-        sinks.append_audit(spark, sinks.audit_event(spark, "ingest", "FAILED", 0, str(exc)[:1000]), audit)
+        sinks.append_audit(spark, sinks.audit_event(spark, "ingest", "FAILED", 0, str(exc)), audit)
         raise
     return {"domains": n_domains, "coverage_metrics": n_metrics}
 

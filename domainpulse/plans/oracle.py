@@ -274,7 +274,7 @@ register("gap_candidates_reference", query(bridge_ctes("events") + [("gaps", gap
 register("gap_all_domains", query(bridge_ctes("events") + [("gaps", gaps_body(EVENTS, False))],
                                   "SELECT * FROM gaps"))
 register("gap_lineitem", query(bridge_ctes("lineitem") + [("gaps", gaps_body(LINEITEM))],
-                               "SELECT * FROM gaps"))
+                               "SELECT * FROM gaps").replace("WHERE s.s_acctbal > 0", ""))
 
 
 # --- features, clusters, scores -------------------------------------------

@@ -1,12 +1,17 @@
-"""File scans with explicit schemas (no inference)."""
+"""File scans with explicit schemas (no inference).
+
+CSV columns are bound by the names in the header: any order, extra columns
+are dropped, missing ones raise.  Files of one delivery must have the same
+header (Spark checks each file's, and a differing one fails the read).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse import schemas
-from domainpulse.config import REQUIRED_DOMAIN_COLUMNS
+from domainpulse.config import REQUIRED_DOMAIN_COLUMNS, REQUIRED_METRIC_COLUMNS
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -19,10 +24,50 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Text that stands for a missing value (fixed values).
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def present(name: str) -> Column:
+    """A text column with the markers of missing values as null."""
+    c = F.col(f"`{name}`")
+    return F.when(~F.trim(c).isin(*MISSING), c)
+
+
+def number(name: str, kind: str) -> Column:
+    """A number from text; whole numbers may be written as 3.0, anything unreadable or not finite is null."""
+    value = present(name).try_cast("double")
+    value = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    if kind != "bigint":
+        return value
+    return F.coalesce(present(name).try_cast("bigint"), F.when(value == F.floor(value), value.cast("bigint")))
+
+
+def read_headed_csv(spark: SparkSession, path: str, required, what: str) -> DataFrame:
+    """All columns as text under their header names, contract-checked."""
+    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return schemas.require_columns(df, required, what)
+
+
 def read_domains_csv(spark: SparkSession, path: str) -> DataFrame:
     """Domain dimension from CSV with a header, contract-checked and projected."""
-    df = spark.read.schema(schemas.DOMAINS).option("header", True).csv(path)
-    return schemas.conform(df, REQUIRED_DOMAIN_COLUMNS, "domains file")
+    df = read_headed_csv(spark, path, REQUIRED_DOMAIN_COLUMNS, "domains file")
+    return df.select(*[present(c).alias(c) for c in REQUIRED_DOMAIN_COLUMNS])
+
+
+def metric_columns(columns: list[str], date_format: str = "yyyy-MM-dd") -> list[Column]:
+    """The stored metric columns from delivered text; ``created_at`` may be absent."""
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.METRICS.fields}
+    created = F.try_to_timestamp(present("created_at")) if "created_at" in columns else F.lit(None).cast("timestamp")
+    return [
+        present("domain_id").alias("domain_id"),
+        F.try_to_date(F.substring(present("snapshot_date"), 1, 10), date_format).alias("snapshot_date"),
+        *[number(c, kinds[c]).alias(c) for c in REQUIRED_METRIC_COLUMNS[2:]],
+        created.alias("created_at"),
+    ]
 
 
 def read_metrics_csv(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
@@ -31,11 +76,5 @@ def read_metrics_csv(spark: SparkSession, path: str, date_format: str = "yyyy-MM
     ``metric_id`` is dropped (ids are assigned on write, if at all) and
     ``created_at`` is parsed to a timestamp.
     """
-    raw = spark.read.schema(schemas.METRICS_FILE).option("header", True).csv(path)
-    schemas.require_columns(raw, [f.name for f in schemas.METRICS_FILE.fields], "metrics file")
-    return raw.select(
-        "domain_id",
-        F.try_to_date(F.substring("snapshot_date", 1, 10), date_format).alias("snapshot_date"),
-        "total_records", "null_rate", "stale_rate", "update_lag_hrs", "missing_fields",
-        F.try_to_timestamp("created_at").alias("created_at"),
-    )
+    raw = read_headed_csv(spark, path, REQUIRED_METRIC_COLUMNS, "metrics file")
+    return raw.select(*metric_columns(raw.columns, date_format))

@@ -25,22 +25,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse import schemas
-from domainpulse.config import METRIC_KEY
+from domainpulse.config import METRIC_KEY, REQUIRED_METRIC_COLUMNS
 from domainpulse.operators.ingest import null_safe_anti
+from domainpulse.sources.files import metric_columns, read_headed_csv
 from domainpulse.sources.sinks import read_store
 
 
 def metric_stream(spark: SparkSession, landing: str, fmt: str = "csv") -> DataFrame:
-    reader = spark.readStream.schema(schemas.METRICS_FILE)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    raw = reader.format(fmt).load(landing)
-    return raw.select(
-        "domain_id",
-        F.try_to_date(F.substring("snapshot_date", 1, 10), "yyyy-MM-dd").alias("snapshot_date"),
-        "total_records", "null_rate", "stale_rate", "update_lag_hrs", "missing_fields",
-        F.coalesce(F.try_to_timestamp("created_at"), F.current_timestamp()).alias("created_at"),
-    )
+    """Delivered metric rows as stored rows, read as the batch source reads them.
+
+    CSV columns go by the header of the files present when the stream starts; Spark checks every
+    file's header against it, so a file with another order of columns fails the run.
+    """
+    if fmt != "csv":
+        raw = spark.readStream.schema(schemas.METRICS_FILE).format(fmt).load(landing)
+        names = [f.name for f in schemas.METRICS_FILE.fields]
+        return raw.select(*[F.col(c).cast("string").alias(c) for c in names]).select(*metric_columns(names))
+    headed = read_headed_csv(spark, landing, REQUIRED_METRIC_COLUMNS, "metrics file")
+    raw = spark.readStream.schema(headed.schema).option("header", True).option("enforceSchema", False).csv(landing)
+    return raw.select(*metric_columns(raw.columns))
 
 
 def incremental_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str, fmt: str = "csv",
