@@ -8,11 +8,12 @@ before they are dealt out by digest, so a text that holds a third of all
 rows costs one row per task.  A later run on the same state path goes on
 with the files that are new.
 
-The state is then read back as a table and joined to the rows.  A digest
-that was hit again proves nothing by itself: the full normalised bytes of
-every row of its group are compared with those at the kept row's locator
-(hot groups are salted), and should two texts ever share a digest, its rows
-are grouped anew by their full bytes.
+The state's digests that were hit again are then read back as a table and
+joined to the rows; a row whose digest is not among them stands alone.  A
+digest that was hit again proves nothing by itself: the full normalised
+bytes of every row of its group are compared with those at the kept row's
+locator (hot groups are salted), and should two texts ever share a digest,
+its rows are grouped anew by their full bytes.
 
 Texts are equal when identical after all of [\\x20\\x09-\\x0D] is deleted.
 The row with the most code points stays, then the smallest doc_id.
@@ -94,10 +95,9 @@ def update_state(spark: SparkSession, path: str, state: str, digest: Callable[[C
         F.col("value").getField("count").alias("_n"))
 
 
-def _colliding(docs: DataFrame, entries: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+def _colliding(docs: DataFrame, again: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests under which some row's full bytes differ from the kept row's."""
     salts = F.ceil(F.col("_n") / ROWS_PER_SALT).cast("int")
-    again = small(stored(entries.where("_n > 1"), "dedup-hits"))
     hit = _located(docs, digest).join(again, F.col("_digest") == F.col("_key")).select(
         "_digest", "_at", "_keep", "_n", normalised().alias("_norm"))
     others = hit.where(F.col("_at") != F.col("_keep")).withColumn(
@@ -120,9 +120,13 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None,
         return without(docs, *ADDED).select(
             "*", docs["doc_id"].alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"),
             F.lit("").alias("text_sha256"))
-    entries = stored(update_state(spark, path, state or shared_path(spark, "dedup-state"), digest), "dedup-entries")
-    rows = _located(docs, digest).join(entries, F.col("_digest") == F.col("_key")).drop("_key")
-    colliding = stored(_colliding(docs, entries, digest), "dedup-colliding")
+    entries = update_state(spark, path, state or shared_path(spark, "dedup-state"), digest)
+    again = small(stored(entries.where("_n > 1"), "dedup-hits"))
+    alone = F.col("_key").isNull()
+    rows = _located(docs, digest).join(again, F.col("_digest") == F.col("_key"), "left").withColumn(
+        "_keep", F.when(alone, F.col("_at")).otherwise(F.col("_keep"))).withColumn(
+        "_n", F.when(alone, F.lit(1)).otherwise(F.col("_n"))).drop("_key")
+    colliding = stored(_colliding(docs, again, digest), "dedup-colliding")
     if not colliding.isEmpty():
         by_bytes = rows.join(colliding, "_digest", "left_semi").withColumn("_norm", normalised())
         groups = by_bytes.groupBy(F.col("_digest").alias("_d"), F.col("_norm").alias("_m")).agg(
