@@ -144,11 +144,15 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None,
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of any frame that stay, with their own columns only.
 
-    The frame is written to the shared folder first, so that the stream has files to read.
+    The frame is written to the shared folder first, each text once, so that the stream has files to read.
     """
     path = shared_path(docs.sparkSession, "dedup-input")
-    docs.select(F.struct("*").alias("row"), "doc_id", "text").write.parquet(path)
-    return exact_dedup(docs.sparkSession, path).where("kept").select("row.*")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # the other columns go as one, so that none clashes with an added one
+    rest = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")])
+    docs.select("doc_id", "text", rest.alias("row")).write.parquet(path)
+    kept = exact_dedup(docs.sparkSession, path).where("kept")
+    return kept.select(*[F.col(f"row.`{c}`") if c in others else F.col(c) for c in docs.columns])
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,10 @@ def test_odd_rows_and_empty_tables(spark, scratch):
     rows = exact_dedup.exact_dedup(spark, path).collect()
     assert len(rows) == 8 and sum(r["kept"] for r in rows) == 3  # blanks, "abc", the long text
     assert {r["keep_id"] for r in rows if r["text"] is None or not r["text"].strip()} == {4}
+    clashing = docs.withColumnsRenamed({"size": "row", "score": "kept"})
+    kept = exact_dedup.kept_rows(clashing)
+    assert kept.columns == clashing.columns
+    assert {(r["doc_id"], r["row"], r["kept"]) for r in kept.collect()} == {(4, "x", 1), (1, "x", 1), (5, "x", 1)}
     sharded = sharding.shard_by_bytes(docs, 4).collect()
     assert sorted(collections.Counter(r["shard"] for r in sharded).values()) and len(sharded) == 8
     for s in range(4):
@@ -48,6 +52,9 @@ def test_odd_rows_and_empty_tables(spark, scratch):
     assert license_scan.scan_licenses(docs).where("size(licenses) > 0").count() == 0
     labels = spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, toxic int")
     assert toxicity.score_documents(docs, labels).where("score between 0 and 1").count() == 8
+    clean = toxicity.ToxicityModel(None, None, None, 0.1).keep_clean(docs)
+    assert clean.columns == docs.columns and clean.count() == 8
+    assert toxicity.ToxicityModel(None, None, None, 0.9).keep_clean(docs).count() == 0
     none = docs.limit(0)
     none.write.parquet(f"{scratch}/none")
     assert exact_dedup.exact_dedup(spark, f"{scratch}/none").count() == 0
