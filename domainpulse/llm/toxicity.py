@@ -37,7 +37,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import TEXT_BATCH, documents, stored, text_or_empty, without
+from domainpulse.llm.common import TEXT_BATCH, documents, small, stored, text_or_empty, without
 
 #: Bound on the labelled rows that are learned from, and on learned lexicon entries.
 TRAIN_ROWS, LEXICON_SIZE = 20_000, 4_000
@@ -194,9 +194,16 @@ class ToxicityModel:
         return out.select(*[F.col(f"`{c}`") for c in keep], F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)).alias("score"))
 
     def keep_clean(self, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-        """The rows of ``docs`` scored below ``threshold``, with their own columns only."""
-        packed = docs.select(F.struct("*").alias("row"), F.col("text"))
-        return self.score(packed).where(F.col("score") < threshold).select("row.*")
+        """The rows of ``docs`` scored below ``threshold``, with their own columns only.
+
+        The rejected rows' ids and text hashes are written, and the rows without them returned.
+        """
+        text_hash = F.xxhash64(text_or_empty())
+        rejected = self.score(docs.select("doc_id", "text")).where(F.col("score") >= threshold).select(
+            F.col("doc_id").alias("_rejected_id"), text_hash.alias("_rejected_hash")).distinct()
+        rejected = small(stored(rejected, "toxicity-rejected", batch=TEXT_BATCH))
+        return docs.join(
+            rejected, F.col("doc_id").eqNullSafe(F.col("_rejected_id")) & (text_hash == F.col("_rejected_hash")), "left_anti")
 
 
 def _margin(df: DataFrame) -> DataFrame:
