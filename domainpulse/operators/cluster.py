@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.config import FEATURES, TIER_LABELS, ClusterParams
-from domainpulse.operators.features import SCALED
+from domainpulse.operators.features import SCALED, standardise
 from domainpulse.functions.tiers import tier_rank
 
 
@@ -123,13 +123,19 @@ def assign_by_original_id(frame: DataFrame, centers, scaled_cols=SCALED) -> Data
 
 
 def cluster_features(features: DataFrame, scaled: DataFrame, centers) -> DataFrame:
-    """Raw features + cluster label + cluster tier, keyed by domain_id."""
+    """Raw features + cluster label + cluster tier, of two frames keyed by domain_id."""
     assigned = assign_clusters(scaled, centers).select("domain_id", "cluster_label", "risk_tier")
     # a domain without id is a group of the rollup like any other and keeps its row
     same = features["domain_id"].eqNullSafe(assigned["domain_id"])
     return features.join(assigned, same).drop(assigned["domain_id"])
 
 
+def label_features(features: DataFrame, centers) -> DataFrame:
+    """Raw features + cluster label + cluster tier as one projection: scaled, assigned and kept row by row."""
+    scaled = standardise(features, keep=("domain_id", *FEATURES))
+    return assign_clusters(scaled, centers).select("domain_id", *FEATURES, "cluster_label", "risk_tier")
+
+
 def tier_profile(clustered: DataFrame) -> DataFrame:
     """Domain count and mean raw KPIs per tier, least to most severe."""
     return (

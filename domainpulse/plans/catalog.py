@@ -126,7 +126,7 @@ def events_features(spark, base, cfg=EVENTS) -> DataFrame:
 
 def events_clustered(spark, base, cfg=EVENTS, centers=DEMO_CENTROIDS) -> DataFrame:
     feats = events_features(spark, base, cfg)
-    return cluster_ops.cluster_features(feats, feature_ops.standardise(feats), centers)
+    return cluster_ops.label_features(feats, centers)
 
 
 def events_scored(spark, base, cfg: PipelineConfig = EVENTS) -> DataFrame:
@@ -191,7 +191,7 @@ def q_kmeans_clusters(spark, base):
     feats = events_features(spark, base)
     scaled = feature_ops.standardise(feats)
     centers, _, _ = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
-    return cluster_ops.cluster_features(feats, scaled, centers)
+    return cluster_ops.label_features(feats, centers)
 
 
 @query("cluster_tiers")
@@ -266,7 +266,7 @@ def q_risk_scores_reference(spark, base):
 @query("risk_scores_lineitem")
 def q_risk_scores_lineitem(spark, base):
     feats = feature_ops.build_features(stored_kpi(lineitem_kpi(spark, base)))
-    clustered = cluster_ops.cluster_features(feats, feature_ops.standardise(feats), DEMO_CENTROIDS)
+    clustered = cluster_ops.label_features(feats, DEMO_CENTROIDS)
     return score_ops.risk_scores(clustered, LINEITEM.score, RUN_DATE)
 
 

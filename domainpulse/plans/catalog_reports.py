@@ -18,7 +18,7 @@ TEAMS = ("BUILDING", "MACHINERY")
 def frames(spark, base):
     feats = events_features(spark, base)
     scaled = feature_ops.standardise(feats)
-    clustered = cluster_ops.cluster_features(feats, scaled, DEMO_CENTROIDS)
+    clustered = cluster_ops.label_features(feats, DEMO_CENTROIDS)
     scores = score_ops.risk_scores(clustered, EVENTS.score, RUN_DATE)
     return feats, scaled, clustered, scores
 

@@ -65,7 +65,7 @@ def run_chain(
     cost = seed = None
     if centers is None:
         centers, cost, seed = cluster_ops.fit_kmeans(scaled, cfg.cluster, parallelism=parallel_fits)
-    clustered = cluster_ops.cluster_features(feats, scaled, centers)
+    clustered = cluster_ops.label_features(feats, centers)
     scores = score_ops.risk_scores(clustered, cfg.score, run_date)
     return ChainResult(report, kpi, gaps, feats, scaled, clustered, scores, centers, cost, seed)
 

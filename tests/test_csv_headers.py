@@ -76,3 +76,14 @@ def test_domain_without_id_keeps_its_cluster_row(spark):
     scaled = spark.createDataFrame([("a", *[0.0] * 4), (None, *[1.0] * 4)], ["domain_id", *[f"{c}_scaled" for c in FEATURES]])
     out = cluster_features(raw, scaled, [[0.0] * 4, [1.0] * 4])
     assert out.count() == 2 and out.where("domain_id is null").count() == 1 and len(cols) == len(FEATURES)
+
+
+def test_labels_come_by_projection_and_keep_the_domain_without_id(spark):
+    from domainpulse.config import FEATURES
+    from domainpulse.operators.cluster import label_features
+
+    rows = [(None, 1.0, 2.0, 3.0, 4.0), ("D1", 5.0, 6.0, 7.0, 8.0)]
+    raw = spark.createDataFrame(rows, "domain_id string, " + ", ".join(f"{c} double" for c in FEATURES))
+    out = label_features(raw, [[-1.0] * 4, [1.0] * 4])
+    assert {(r.domain_id, r.cluster_label) for r in out.collect()} == {(None, 0), ("D1", 1)}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
