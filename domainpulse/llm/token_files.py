@@ -30,6 +30,7 @@ read, whatever other columns there are.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -52,8 +53,8 @@ LEVEL = 3
 #: Fixed values of the seekable zstd format.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("first", "<i8"), ("n", "<i8")])
-#: Words whose ids are kept at hand in a worker.
-CACHED_WORDS = 300_000
+#: Words, and pieces of words, whose ids are kept at hand in a worker.
+CACHED_WORDS, CACHED_PIECES = 400_000, 400_000
 
 INDEX_COLUMNS = "file_no int, file string, place long, doc_id long, first long, n_tokens long"
 
@@ -62,13 +63,25 @@ INDEX_COLUMNS = "file_no int, file string, place long, doc_id long, first long,
 BETWEEN = "\x01"
 
 
+#: Words of these characters only are cut into pieces here: they are letters, digits and signs that composing
+#: and lower-casing leave or map one by one, so the tokenizer's own split is known for them.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_PLAIN = re.compile(f"[\x21-\x7e{_LETTERS}]+")
+#: The split pattern of the tokenizer file (a fixed value), narrowed to those characters in lower case.
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9{_LETTERS}]+")
+_WIDE = [chr(c) for c in range(0x80, 0x180) if re.match(f"[{_LETTERS}]", chr(c))]
+#: What may begin a special token of the file.
+_SPECIAL = "<|"
+
+
 class WordEncoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, word by word, and of words piece by piece.
 
     The tokenizer normalises, splits and merges inside runs between blanks only, so a text's ids
-    are its words' ids in order, and a word met before need not be encoded again.  New words are
-    encoded many in one call, with a character between them that no such word holds, and the ids
-    are cut at its id.
+    are its words' ids in order, and a word met before need not be encoded again.  It merges inside
+    the pieces of its split pattern only, so a new word of plain characters is its pieces' ids in
+    order, and a new piece goes straight to the tokenizer's model.  Other new words are encoded whole,
+    many in one call, with a character between them that none of them holds, and the ids are cut at its id.
     """
 
     def __init__(self, path: str):
@@ -78,16 +91,31 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         (self.between,) = self._whole(BETWEEN)
         self.ids: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+        self.tokens = self.tokenizer.model.tokenize
+        # The tokenizer's own spelling of each letter's bytes, as the model's vocabulary has it.
+        self.spelt = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _WIDE}
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, words: list[str]) -> None:
-        ids = np.asarray(self._whole(f" {BETWEEN} ".join(words)), dtype="<u4")
-        cuts = (np.flatnonzero(ids == self.between) * 4).tolist()
-        raw = ids.tobytes()
-        for word, start, stop in zip(words, [-4, *cuts], [*cuts, len(raw)]):
-            self.ids[word] = raw[start + 4:stop]
+        for i in range(0, len(words), 4096):
+            part = words[i:i + 4096]
+            ids = np.asarray(self._whole(f" {BETWEEN} ".join(part)), dtype="<u4")
+            cuts = (np.flatnonzero(ids == self.between) * 4).tolist()
+            raw = ids.tobytes()
+            for word, start, stop in zip(part, [-4, *cuts], [*cuts, len(raw)]):
+                self.ids[word] = raw[start + 4:stop]
+
+    def _piece(self, piece: str) -> bytes:
+        ids = [token.id for token in self.tokens(piece if piece.isascii() else piece.translate(self.spelt))]
+        known = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
+
+    def _plain(self, word: str) -> bytes:
+        known = self.pieces.get
+        return b"".join([known(piece) or self._piece(piece) for piece in _PIECE.findall(word.lower())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
@@ -95,12 +123,17 @@ class WordEncoder:
         new = met.difference(self.ids)
         if len(self.ids) + len(new) > CACHED_WORDS:
             self.ids, new = {"": b""}, met - {""}
-        for word in [w for w in new if BETWEEN in w]:
-            self.ids[word] = np.asarray(self._whole(word), dtype="<u4").tobytes()
-            new.discard(word)
-        words = list(new)
-        for i in range(0, len(words), 4096):
-            self._learn(words[i:i + 4096])
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {}
+        others = []
+        for word in new:
+            if _PLAIN.fullmatch(word) and _SPECIAL not in word:
+                self.ids[word] = self._plain(word)
+            elif BETWEEN in word:
+                self.ids[word] = np.asarray(self._whole(word), dtype="<u4").tobytes()
+            else:
+                others.append(word)
+        self._learn(others)
         of = self.ids.__getitem__
         return [b"".join(map(of, words)) for words in split]
 

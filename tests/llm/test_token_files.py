@@ -34,6 +34,12 @@ def test_words_give_the_ids_of_the_whole_text(text):
     assert by_words(text) == whole(text)
 
 
+@pytest.mark.parametrize("around", ["{}", "x{}", "{}'s", "A{}B!!", "9{}'RE"])
+def test_every_letter_and_sign_of_the_plain_words(around):
+    text = " ".join(around.format(chr(c)) for c in range(1, 0x250))
+    assert by_words(text) == whole(text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=50) | st.text(alphabet=" \n\t'slt́aΣ. \x1c<|>", max_size=30))
 def test_words_give_the_ids_of_any_text(text):
