@@ -54,7 +54,7 @@ LEVEL = 3
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("first", "<i8"), ("n", "<i8")])
 #: Words, and pieces of words, whose ids are kept at hand in a worker.
-CACHED_WORDS, CACHED_PIECES = 400_000, 400_000
+CACHED_WORDS, CACHED_PIECES = 1_000_000, 1_000_000
 
 INDEX_COLUMNS = "file_no int, file string, place long, doc_id long, first long, n_tokens long"
 
