@@ -38,6 +38,11 @@ def text_batches(spark: SparkSession, rows: int = TEXT_BATCH):
         spark.conf.set(key, before)
 
 
+def write(df: DataFrame, path: str) -> None:
+    """``df`` as Parquet files; zstandard, as texts take a third less of the shared folder than by the default."""
+    df.write.option("compression", "zstd").parquet(path)
+
+
 def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: a lineage cut that any executor can read.
 
@@ -46,7 +51,7 @@ def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     with text_batches(spark, batch) if batch else contextlib.nullcontext():
-        df.write.parquet(path)
+        write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -32,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import shared_path, small, stored, text_or_empty, without
+from domainpulse.llm.common import shared_path, small, stored, text_or_empty, without, write
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Session settings while a stream starts: the store, and no disk space set aside in advance for each of many small stores.
@@ -150,7 +150,7 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     # the other columns go as one, so that none clashes with an added one
     rest = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")])
-    docs.select("doc_id", "text", rest.alias("row")).write.parquet(path)
+    write(docs.select("doc_id", "text", rest.alias("row")), path)
     kept = exact_dedup(docs.sparkSession, path).where("kept")
     return kept.select(*[F.col(f"row.`{c}`") if c in others else F.col(c) for c in docs.columns])
 
