@@ -62,6 +62,8 @@ from domainpulse.llm.components import Sets, components
 LEAF, PIVOTS, CHUNK, DEPTH = 512, 16, 256, 2
 #: Step between the block counts of two levels, and blocks per block that may differ.
 STEP, SPARE = 1.5, 1.2
+#: Sets whose blocks are pre-aggregated together in a task.
+BLOCK_SETS = 2048
 #: Splitting a region is given up when its parts would hold more than this many times its sets.
 REPLICAS = 4
 ADDED = ("n_shingles", "component_id")
@@ -174,24 +176,25 @@ def _candidates(described: DataFrame) -> DataFrame:
     """Candidate edges (a, b) between sets (node, blocks) that share a block, enough to connect all that do."""
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One row per distinct block of the batch, with its smallest set; the batch's other sets
+        # One row per distinct block of some thousand sets, with its smallest set; the other sets
         # of that block are tied to it here.
-        for rows in batches:
-            rows = rows.drop_duplicates("node")
-            counts = rows["blocks"].map(len).to_numpy()
-            if not counts.sum():
-                continue
-            block = np.concatenate(rows["blocks"].to_numpy()).astype(np.int64)
-            node = np.repeat(rows["node"].to_numpy(), counts)
-            order = np.lexsort((node, block))
-            block, node = block[order], node[order]
-            first = np.concatenate([[True], block[1:] != block[:-1]])
-            head = node[first][np.cumsum(first) - 1]
-            ties = ~first & (head != node)
-            yield pd.DataFrame({"block": block[first], "node": node[first], "other": node[first]})
-            pairs = pd.DataFrame({"block": 0, "node": node[ties], "other": head[ties]}).drop_duplicates()
-            pairs["block"] = _signed(_mixed(pairs["node"].to_numpy().view(np.uint64)))
-            yield pairs
+        for batch in batches:
+            for at in range(0, len(batch), BLOCK_SETS):
+                rows = batch[at:at + BLOCK_SETS].drop_duplicates("node")
+                counts = rows["blocks"].map(len).to_numpy()
+                if not counts.sum():
+                    continue
+                block = np.concatenate(rows["blocks"].to_numpy()).astype(np.int64)
+                node = np.repeat(rows["node"].to_numpy(), counts)
+                order = np.lexsort((node, block))
+                block, node = block[order], node[order]
+                first = np.concatenate([[True], block[1:] != block[:-1]])
+                head = node[first][np.cumsum(first) - 1]
+                differ = ~first & (head != node)
+                yield pd.DataFrame({"block": block[first], "node": node[first], "other": node[first]})
+                pairs = pd.DataFrame({"block": 0, "node": node[differ], "other": head[differ]}).drop_duplicates()
+                pairs["block"] = _signed(_mixed(pairs["node"].to_numpy().view(np.uint64)))
+                yield pairs
 
     def ties(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by block: each is tied to the first of its block.

@@ -43,6 +43,8 @@ from domainpulse.llm.common import TEXT_BATCH, documents, small, stored, text_or
 TRAIN_ROWS, LEXICON_SIZE = 20_000, 4_000
 #: A lexicon entry stands in at least this share of the toxic texts, and is this much likelier there (log odds).
 SUPPORT, LOG_ODDS = 0.01, 2.5
+#: Texts whose entries are gathered at a time.
+ENTRY_TEXTS = 64
 BEGINNINGS = (4, 5, 6, 7)
 NEAR = 6
 THRESHOLD = 0.5
@@ -149,13 +151,15 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     distinct = rows.groupBy(F.md5("text").alias("_k")).agg(F.max("label").alias("label"), F.max("text").alias("text"))
 
     def entries(batches):
+        # A few texts at a time: each gives some thousand entries.
         for batch in batches:
-            out = []
-            for text, label in zip(batch["text"], batch["label"]):
-                words = {w for w in WORDS.findall(text.lower()) if len(w) > 2 and not w.isdigit()}
-                keys = {(w, 0) for w in words} | {(w[:n], 1) for w in words for n in BEGINNINGS if n < len(w)}
-                out += [(k, kind, label) for k, kind in keys]
-            yield pd.DataFrame(out, columns=["entry", "kind", "label"])
+            for at in range(0, len(batch), ENTRY_TEXTS):
+                out = []
+                for text, label in zip(batch["text"][at:at + ENTRY_TEXTS], batch["label"][at:at + ENTRY_TEXTS]):
+                    words = {w for w in WORDS.findall(text.lower()) if len(w) > 2 and not w.isdigit()}
+                    keys = {(w, 0) for w in words} | {(w[:n], 1) for w in words for n in BEGINNINGS if n < len(w)}
+                    out += [(k, kind, label) for k, kind in keys]
+                yield pd.DataFrame(out, columns=["entry", "kind", "label"])
 
     distinct = stored(distinct.select("text", "label"), "toxicity-texts")
     n, toxic = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
