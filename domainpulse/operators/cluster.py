@@ -136,6 +136,11 @@ def label_features(features: DataFrame, centers) -> DataFrame:
     return assign_clusters(scaled, centers).select("domain_id", *FEATURES, "cluster_label", "risk_tier")
 
 
+def label_points(features: DataFrame, centers) -> DataFrame:
+    """Standardised coordinates + cluster label + cluster tier as one projection."""
+    return assign_clusters(standardise(features), centers).select("domain_id", *SCALED, "cluster_label", "risk_tier")
+
+
 def tier_profile(clustered: DataFrame) -> DataFrame:
     """Domain count and mean raw KPIs per tier, least to most severe."""
     return (

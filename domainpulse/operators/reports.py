@@ -99,9 +99,28 @@ def cluster_scores(scores: DataFrame) -> DataFrame:
     )
 
 
+def by_domain(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Both frames' columns by domain id, where no id matches no id."""
+    same = left["domain_id"].eqNullSafe(right["domain_id"])
+    return left.join(right, same).drop(right["domain_id"])
+
+
+def _with_scores(features: DataFrame, scores: DataFrame, *cols: str) -> DataFrame:
+    """``features`` with columns of ``scores``: a projection where ``scores`` still carries the features."""
+    if {*FEATURES} <= {*scores.columns}:
+        return scores.select("domain_id", *FEATURES, *cols)
+    return by_domain(features, scores.select("domain_id", *cols))
+
+
 def feature_points(scaled: DataFrame, clustered: DataFrame) -> DataFrame:
-    """Standardised coordinates with cluster label and tier."""
-    return scaled.join(clustered.select("domain_id", "cluster_label", "risk_tier"), "domain_id")
+    """Standardised coordinates with cluster label and tier.
+
+    ``clustered`` frames that carry the coordinates themselves are only projected; otherwise the two
+    frames are joined by domain (a domain without id keeps its row).
+    """
+    if set(scaled.columns) <= set(clustered.columns):
+        return clustered.select(*scaled.columns, "cluster_label", "risk_tier")
+    return by_domain(scaled, clustered.select("domain_id", "cluster_label", "risk_tier"))
 
 
 def recent_audit(audit: DataFrame, n: int = 20) -> DataFrame:
@@ -111,7 +130,7 @@ def recent_audit(audit: DataFrame, n: int = 20) -> DataFrame:
 
 def feature_correlation(features: DataFrame, scores: DataFrame) -> DataFrame:
     """Pearson correlation of each KPI with the composite score."""
-    joined = features.join(scores.select("domain_id", "composite_score"), "domain_id")
+    joined = _with_scores(features, scores, "composite_score")
     agg = joined.agg(*[F.corr(c, "composite_score").alias(c) for c in FEATURES])
     pairs = ", ".join(f"'{c}', {c}" for c in FEATURES)
     return agg.selectExpr(f"stack({len(FEATURES)}, {pairs}) AS (kpi, corr_with_score)")
@@ -119,7 +138,7 @@ def feature_correlation(features: DataFrame, scores: DataFrame) -> DataFrame:
 
 def tier_analysis(features: DataFrame, scores: DataFrame) -> DataFrame:
     """Per final tier (all four listed): count, mean score, mean KPIs."""
-    joined = features.join(scores.select("domain_id", "composite_score", "risk_tier"), "domain_id")
+    joined = _with_scores(features, scores, "composite_score", "risk_tier")
     stats = joined.groupBy("risk_tier").agg(
         F.count(F.lit(1)).alias("domains"),
         F.avg("composite_score").alias("avg_score"),
@@ -144,7 +163,7 @@ def similar_domains(scaled: DataFrame, clustered: DataFrame, n: int = 5, digits:
     from domainpulse.operators.features import SCALED
     from domainpulse.operators.similarity import similar_domains as knn
 
-    pts = scaled.join(clustered.select("domain_id", "cluster_label"), "domain_id")
+    pts = feature_points(scaled, clustered).select("domain_id", "cluster_label", *SCALED)
     if digits is not None:
         pts = pts.select("domain_id", "cluster_label", *[
             F.round(F.col(c).cast("decimal(28,12)"), digits).cast(f"decimal({6 + digits},{digits})").alias(c)

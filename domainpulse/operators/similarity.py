@@ -12,8 +12,8 @@ Instead:
    ("heads") can ever be needed, so the join fans out to at most N+1 rows per
    member.
 3. **Other sites.** Sites with at most N members need ``r = N - (m - 1)`` more
-   neighbours.  They are searched on a grid that doubles its cell size each
-   round: a site is joined with the sites of the 3^d cells around its own cell,
+   neighbours.  They are searched on a grid that starts with cells small
+   enough for the crowd (``start_cell``) and doubles its cell size each round: a site is joined with the sites of the 3^d cells around its own cell,
    candidate heads are ranked by (distance, id), and the answer is accepted
    when the r-th candidate is closer than the edge of the searched block
    (then every closer point is inside it, so the answer is exact).  Unresolved sites go
@@ -37,6 +37,10 @@ from domainpulse.operators.ordinal import number_rows
 from domainpulse.session import cut_lineage
 
 
+#: Sites of a first-round cell, as a multiple of n, and the most halvings to get there.
+CROWD, HALVINGS = 4, 40
+
+
 def _sqdist(a: Sequence[str], b: Sequence[str]) -> F.Column:
     return sum((F.col(x) - F.col(y)) * (F.col(x) - F.col(y)) for x, y in zip(a, b))
 
@@ -87,19 +91,37 @@ def similar_domains(points: DataFrame, cols: Sequence[str], n: int = 5, group: s
     return same.unionByName(expanded).withColumn("neighbor_rank", F.col("neighbor_rank").cast("int"))
 
 
-def _grid_search(sites: DataFrame, heads: DataFrame, needy: DataFrame, cols, group, id_col, n) -> DataFrame:
-    """Per needy site: its r nearest members of other sites, as (site key, neighbor_id, crank, distance)."""
-    spark = sites.sparkSession
-    key = [group, *cols]
+def start_cell(sites: DataFrame, cols: Sequence[str], group: str, n: int) -> tuple[float, float]:
+    """(cell edge of the first round, extent).
+
+    A uniform spread would put about ``n`` points within the edge.  Where few far points stretch the
+    extent, such a cell holds nearly everything; so it is halved until a site shares its cell with at
+    most ``CROWD * n`` sites on average.  Each halving is one aggregate over the sites.
+    """
     d = len(cols)
     ext = sites.agg(*[F.min(c) for c in cols], *[F.max(c) for c in cols], F.count(F.lit(1))).first()
     extent = float(max((ext[d + j] - ext[j]) for j in range(d))) if ext[2 * d] else 0.0
     n_sites = ext[2 * d] or 1
     if extent <= 0:
         extent = 1.0
-    # start where a uniform spread would put ~n points in a ball of radius `cell`
     unit_ball = math.pi ** (d / 2) / math.gamma(d / 2 + 1)
     cell = extent * (n / (unit_ball * n_sites)) ** (1.0 / d)
+    for _ in range(HALVINGS):
+        held = sites.groupBy(group, *[F.floor(F.col(c) / F.lit(cell)).cast("long").alias(f"k{j}") for j, c in enumerate(cols)]).agg(
+            F.count(F.lit(1)).cast("double").alias("c"))
+        meetings = held.agg(F.sum(F.col("c") * F.col("c"))).first()[0] or 0.0
+        if meetings <= CROWD * n * n_sites:
+            break
+        cell /= 2.0
+    return cell, extent
+
+
+def _grid_search(sites: DataFrame, heads: DataFrame, needy: DataFrame, cols, group, id_col, n) -> DataFrame:
+    """Per needy site: its r nearest members of other sites, as (site key, neighbor_id, crank, distance)."""
+    spark = sites.sparkSession
+    key = [group, *cols]
+    d = len(cols)
+    cell, extent = start_cell(sites, cols, group, n)
     offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in itertools.product((-1, 0, 1), repeat=d)])
     cand_heads = heads.select(*[F.col(c).alias(f"u_{c}") for c in key], F.col(id_col).alias("neighbor_id"))
 
@@ -126,7 +148,9 @@ def _grid_search(sites: DataFrame, heads: DataFrame, needy: DataFrame, cols, gro
             edge.alias("edge"))
         w = Window.partitionBy(*key).orderBy("sq", "neighbor_id")
         # at most r rows per probe: small, materialised once per round
-        ranked = cut_lineage(cand.withColumn("crank", F.row_number().over(w)).where(F.col("crank") <= F.col("r")))
+        # (r <= n; the literal bound lets each task drop a probe's farther candidates before the shuffle)
+        ranked = cut_lineage(cand.withColumn("crank", F.row_number().over(w)).where(
+            (F.col("crank") <= n) & (F.col("crank") <= F.col("r"))))
         # accepted: r candidates found and the r-th one inside the searched block (or the
         # last, all-covering level); the margin absorbs rounding in the cell arithmetic
         stats = ranked.groupBy(*key, "r").agg(F.count(F.lit(1)).alias("found"), F.max("sq").alias("far"),

@@ -23,6 +23,12 @@ def frames(spark, base):
     return feats, scaled, clustered, scores
 
 
+def scored(spark, base):
+    """(features, features with components, score, tiers and driver): one row per domain, no join."""
+    feats = events_features(spark, base)
+    return feats, score_ops.score_domains(cluster_ops.label_features(feats, DEMO_CENTROIDS), EVENTS.score)
+
+
 def enriched(spark, base):
     return rep.enrich(frames(spark, base)[3], bridges.events_domains(spark, base))
 
@@ -75,8 +81,9 @@ def q_report_cluster_scores(spark, base):
 
 @query("report_feature_points")
 def q_report_feature_points(spark, base):
-    _, scaled, clustered, _ = frames(spark, base)
-    return r6(rep.feature_points(scaled, clustered), feature_ops.SCALED)
+    feats = events_features(spark, base)
+    points = cluster_ops.label_points(feats, DEMO_CENTROIDS)
+    return r6(rep.feature_points(feature_ops.standardise(feats), points), feature_ops.SCALED)
 
 
 @query("recent_audit")
@@ -86,18 +93,19 @@ def q_recent_audit(spark, base):
 
 @query("report_feature_corr")
 def q_report_feature_corr(spark, base):
-    feats, _, _, scores = frames(spark, base)
+    feats, scores = scored(spark, base)
     return r6(rep.feature_correlation(feats, scores), ("corr_with_score",))
 
 
 @query("report_tier_analysis")
 def q_report_tier_analysis(spark, base):
-    feats, _, _, scores = frames(spark, base)
+    feats, scores = scored(spark, base)
     return r6(rep.tier_analysis(feats, scores), ("avg_score", *[f"avg_{c}" for c in FEATURES]))
 
 
 
 @query("report_similar_domains")
 def q_report_similar_domains(spark, base):
-    _, scaled, clustered, _ = frames(spark, base)
+    feats = events_features(spark, base)
+    scaled, clustered = feature_ops.standardise(feats), cluster_ops.label_points(feats, DEMO_CENTROIDS)
     return r6(rep.similar_domains(scaled, clustered, n=5, digits=9), ("distance",))
