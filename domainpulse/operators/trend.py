@@ -81,6 +81,13 @@ def risk_alerts(trend: DataFrame) -> DataFrame:
     )
 
 
+def run_alerts(scores: DataFrame) -> DataFrame:
+    """Alert rows over stored runs: HIGH/CRITICAL tier, or a tier higher than in the domain's run before."""
+    prev = Window.partitionBy("domain_id").orderBy("run_date")
+    runs = scores.withColumn("prev_tier", F.lag("risk_tier").over(prev))
+    return risk_alerts(runs.withColumnRenamed("run_date", "snapshot_date")).withColumnRenamed("snapshot_date", "run_date")
+
+
 def latest_alerts(trend: DataFrame) -> DataFrame:
     """Alerts as of each domain's latest reported day (max per domain, a partial aggregate)."""
     last = trend.groupBy("domain_id").agg(F.max("snapshot_date").alias("snapshot_date"))

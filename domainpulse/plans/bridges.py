@@ -57,6 +57,11 @@ def lineitem_metrics(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def lineitem_dates(spark: SparkSession, base: str) -> DataFrame:
+    """The days of ``lineitem_metrics`` from the line items alone: each belongs to an order, so no join is needed."""
+    return read_table(spark, base, "lineitem").select(F.to_date("l_shipdate").alias("snapshot_date"))
+
+
 def lineitem_domains(spark: SparkSession, base: str) -> DataFrame:
     """Suppliers with a positive balance only: plants the orphans that the quality checks look for."""
     return lineitem_suppliers(spark, base, F.col("s_acctbal") > 0)

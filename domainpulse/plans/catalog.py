@@ -41,7 +41,8 @@ def events_kpi(spark: SparkSession, base: str, cfg=EVENTS) -> DataFrame:
 
 
 def lineitem_kpi(spark: SparkSession, base: str, cfg=LINEITEM) -> DataFrame:
-    return kpi_ops.kpi_summary(bridges.lineitem_metrics(spark, base), cfg.window_days)
+    return kpi_ops.kpi_summary(
+        bridges.lineitem_metrics(spark, base), cfg.window_days, bridges.lineitem_dates(spark, base))
 
 
 def stored_kpi(kpi: DataFrame) -> DataFrame:
@@ -148,6 +149,15 @@ def q_features_imputed(spark, base):
     return feature_ops.impute_median(feature_ops.raw_features(stored_kpi(events_kpi(spark, base))))
 
 
+@query("features_imputed_nulls")
+def q_features_imputed_nulls(spark, base):
+    """Imputation with something to do: every feature is taken away from a fifth of the domains."""
+    feats = feature_ops.raw_features(stored_kpi(events_kpi(spark, base)))
+    return feature_ops.impute_median(feats.select("domain_id", *[
+        F.when(F.expr(f"CAST(substring(domain_id, 2) AS BIGINT) % 5 <> {j}"), F.col(c)).alias(c)
+        for j, c in enumerate(FEATURES)]))
+
+
 @query("features_scaled")
 def q_features_scaled(spark, base):
     return r6(feature_ops.standardise(events_features(spark, base)), feature_ops.SCALED)

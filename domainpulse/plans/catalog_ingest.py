@@ -15,16 +15,24 @@ from domainpulse.operators import ingest
 from domainpulse.operators.kpi import window_start
 from domainpulse.plans import bridges
 from domainpulse.plans.catalog import query
+from domainpulse.session import cut_lineage
 
 
-def stored_history(spark, base) -> DataFrame:
-    m = bridges.events_metrics(spark, base)
+def delivered(spark, base) -> DataFrame:
+    """The metrics, profiled once: both sides of a load and its counts read this."""
+    return cut_lineage(bridges.events_metrics(spark, base))
+
+
+def stored_history(m: DataFrame) -> DataFrame:
     return m.where(F.col("snapshot_date") < window_start(m, EVENTS.window_days))
 
 
 def incoming_domains(spark, base) -> DataFrame:
+    """Every domain twice: the second delivery has other names, and the first arrival must win."""
     cust = bridges.events_domains(spark, base)
-    return cust.withColumn("arrival", F.monotonically_increasing_id())
+    again = cust.withColumn("domain_name", F.concat("domain_name", F.lit(" (again)")))
+    arrival = lambda delivery: F.struct(F.lit(delivery).alias("delivery"), F.monotonically_increasing_id().alias("row"))
+    return again.withColumn("arrival", arrival(2)).unionByName(cust.withColumn("arrival", arrival(1)))
 
 
 def stored_domains(spark, base) -> DataFrame:
@@ -34,7 +42,8 @@ def stored_domains(spark, base) -> DataFrame:
 
 @query("ingest_new_metrics")
 def q_ingest_new_metrics(spark, base):
-    return ingest.new_metrics(bridges.events_metrics(spark, base), stored_history(spark, base))
+    incoming = delivered(spark, base)
+    return ingest.new_metrics(incoming, stored_history(incoming))
 
 
 @query("ingest_new_domains")
@@ -44,11 +53,11 @@ def q_ingest_new_domains(spark, base):
 
 @query("ingest_counts")
 def q_ingest_counts(spark, base):
-    incoming = bridges.events_metrics(spark, base)
-    stored = stored_history(spark, base)
+    incoming = delivered(spark, base)
+    stored = stored_history(incoming)
     return ingest.ingest_counts(stored, incoming, ingest.new_metrics(incoming, stored))
 
 
 @query("surrogate_key")
 def q_surrogate_key(spark, base):
-    return ingest.assign_metric_ids(bridges.events_metrics(spark, base))
+    return ingest.assign_metric_ids(delivered(spark, base))

@@ -289,6 +289,12 @@ register("feature_null_counts", query(bridge_ctes(EV), "SELECT COUNT(*) AS n_row
         FEATURES, ["avg_null_rate", "avg_stale_rate", "avg_update_lag_hrs", "total_missing_fields"])) + " FROM kpi"))
 register("features_raw", query(feature_ctes(EV), "SELECT * FROM features_raw"))
 register("features_imputed", query(feature_ctes(EV), "SELECT * FROM features"))
+_TAKEN = ", ".join(
+    f"CASE WHEN CAST(substr(domain_id, 2) AS BIGINT) % 5 <> {j} THEN {c} END AS {c}" for j, c in enumerate(FEATURES))
+register("features_imputed_nulls", query(
+    [cte for name, sql in feature_ctes(EV) for cte in (
+        [("features_all", sql), (name, f"SELECT domain_id, {_TAKEN} FROM features_all")] if name == "features_raw"
+        else [(name, sql)])], "SELECT * FROM features"))
 register("features_scaled", query(feature_ctes(EV), f"SELECT domain_id, {r6cols(SCALED_COLS)} FROM scaled"))
 register("features_scaled_lineitem", query(feature_ctes("lineitem"),
                                            f"SELECT domain_id, {r6cols(SCALED_COLS)} FROM scaled"))

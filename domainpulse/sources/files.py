@@ -58,6 +58,13 @@ def read_domains_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[present(c).alias(c) for c in REQUIRED_DOMAIN_COLUMNS])
 
 
+def with_arrival(df: DataFrame, name: str = "arrival") -> DataFrame:
+    """A read file frame with each row's place in the delivery: file path, split, row of the split."""
+    return df.withColumn(name, F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")))
+
+
 def metric_columns(columns: list[str], date_format: str = "yyyy-MM-dd") -> list[Column]:
     """The stored metric columns from delivered text; ``created_at`` may be absent."""
     kinds = {f.name: f.dataType.simpleString() for f in schemas.METRICS.fields}

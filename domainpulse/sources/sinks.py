@@ -99,6 +99,11 @@ def export(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | N
         writer.format(fmt).save(path)
 
 
+def append_scores(scores: DataFrame, path: str) -> None:
+    """Keep each run's scores: the run's ``run_date`` partition is written, other runs stay."""
+    scores.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
+
+
 def append_audit(spark: SparkSession, issues: DataFrame, path: str, run_ts=None) -> int:
     """Stamp issue rows with run ids after the stored maximum and append."""
     from domainpulse.operators.quality import audit_rows
