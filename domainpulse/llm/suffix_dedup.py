@@ -5,21 +5,21 @@
    minimiser).  The choice depends on the window's words alone, so two
    copies of a passage select the same places, at least one among its
    first ``WINDOW`` grams.
-2. The suffixes at selected places are sorted by their words (by the hash
-   of the first ``PREFIX`` words, then of the words after) and each is
-   compared with its neighbour in that order from another document: first
-   inside a task, which then hands on one suffix per distinct prefix, then
-   among what the tasks hand on.  A passage that stands in a third of all
-   documents so costs one row per task.
-3. Neighbours with the same first ``PREFIX`` words are extended left and
-   right, word by word, in the whole texts; matches of at least
-   ``MIN_WORDS`` words are the repeated passages.
-
-``PREFIX`` is what any passage of ``MIN_WORDS`` still has after its first
-selected place, so no such passage escapes step 2.  Its neighbour there is
-one of the documents that share these words; where documents share runs of
-different lengths around the same place, a run shorter than ``MIN_WORDS`` +
-``WINDOW`` - 1 words may meet a neighbour that shares less of its left side.
+2. The suffixes at selected places are sorted by the hash of their first
+   ``PREFIX`` words: what any passage of ``MIN_WORDS`` still has after its
+   first selected place.  Places whose prefix also stands in another
+   document are open; a repeated passage has open places in all its copies.
+3. Every run of ``MIN_WORDS`` words whose own selected place is open is
+   sorted by its hash, and each is tied to its neighbour with the same
+   words from another document.  So a run shared by few is not lost among
+   the many documents that share a shorter run inside it.
+4. Neighbours are extended left and right, word by word, in the whole
+   texts; matches of at least ``MIN_WORDS`` words, and their other copies
+   in the same document, are the repeated passages.
+
+Both sorts go first inside a task, which then hands on one place per
+distinct hash, then among what the tasks hand on: a passage that stands in a
+third of all documents costs one row per task.
 
 Defined results: words are runs of anything but the six ASCII blanks, case
 counts; null, empty and short texts have no spans; a repeat inside one
@@ -74,17 +74,26 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def selected(words: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
-    """Places of the minimisers; the leftmost of equal hashes."""
-    if len(words) < gram:
-        return np.zeros(0, np.int64)
+def _grams(words: np.ndarray, gram: int) -> np.ndarray:
     grams = np.full(len(words) - gram + 1, gram, dtype=np.uint64)
     for i in range(gram):
         grams = _mixed(grams * _MUL + words[i:len(words) - gram + 1 + i])
+    return grams
+
+
+def chosen(grams: np.ndarray, window: int) -> np.ndarray:
+    """The place that each window selects; the leftmost of equal hashes."""
+    return np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1) + np.arange(len(grams) - window + 1)
+
+
+def selected(words: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
+    """Places of the minimisers."""
+    if len(words) < gram:
+        return np.zeros(0, np.int64)
+    grams = _grams(words, gram)
     if len(grams) <= window:
         return np.array([int(grams.argmin())])
-    at = np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1) + np.arange(len(grams) - window + 1)
-    return np.unique(at)
+    return np.unique(chosen(grams, window))
 
 
 def extend(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
@@ -102,57 +111,81 @@ def _agree(x: np.ndarray, y: np.ndarray) -> int:
     return n
 
 
-SUFFIX = "prefix long, rest long, node long, place int, other long, other_place int"
+HANDED = "key long, node long, place int, other long, other_place int"
 
 
-def _neighbours(prefix, rest, node, place):
-    """Order of the suffixes, the first of each prefix, and each one's predecessor from another document (or -1)."""
-    order = np.lexsort((place, node, rest, prefix))
-    p, n = prefix[order], node[order]
-    first = np.concatenate([[True], p[1:] != p[:-1]])
-    # the last row before a run of the same document, if it has the same prefix
+def _neighbours(key, node, place):
+    """Order of the places, the first of each key, and each one's predecessor from another document (or -1)."""
+    order = np.lexsort((place, node, key))
+    k, n = key[order], node[order]
+    first = np.concatenate([[True], k[1:] != k[:-1]])
+    # the last row before a run of the same document, if it has the same key
     turn = np.concatenate([[True], n[1:] != n[:-1]]) | first
     start = np.flatnonzero(turn)[np.cumsum(turn) - 1]
     before = np.where(first[start], -1, start - 1)
     return order, first, before
 
 
-def _suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def settled(held):
-        prefix, rest, node, place = (np.concatenate(c) for c in zip(*held))
-        order, first, before = _neighbours(prefix, rest, node, place)
-        prefix, rest, node, place = prefix[order], rest[order], node[order], place[order]
-        tied = before >= 0
-        # a suffix that is handed on names itself as the other
-        yield pd.DataFrame({"prefix": prefix[first], "rest": rest[first], "node": node[first], "place": place[first],
-                            "other": node[first], "other_place": place[first]})
-        if tied.any():
-            yield pd.DataFrame({"prefix": _mixed(node[tied].view(np.uint64)).view(np.int64), "rest": 0, "node": node[tied],
-                                "place": place[tied], "other": node[before[tied]], "other_place": place[before[tied]]})
-
-    held, count = [], 0
-    for rows in batches:
-        for node, text in zip(rows["node"], rows["text"]):
-            words = word_hashes(text)
-            if len(words) < MIN_WORDS:
-                continue
-            at = selected(words)
-            at = at[at + PREFIX <= len(words)]
-            heads = _runs(words, PREFIX)
-            # the words that would complete MIN_WORDS, as far as there are any
-            tails = _runs(np.concatenate([words, np.zeros(MIN_WORDS - PREFIX, np.uint64)]), MIN_WORDS - PREFIX)
-            held.append((heads[at].view(np.int64), tails[at + PREFIX].view(np.int64),
-                         np.full(len(at), node, np.int64), at.astype(np.int32)))
-            count += len(at)
-            if count >= HELD:
-                yield from settled(held)
-                held, count = [], 0
-    if held:
-        yield from settled(held)
+def _settled(held: list) -> Iterator[pd.DataFrame]:
+    key, node, place = (np.concatenate(c) for c in zip(*held))
+    order, first, before = _neighbours(key, node, place)
+    key, node, place = key[order], node[order], place[order]
+    tied = before >= 0
+    # a place that is handed on names itself as the other
+    yield pd.DataFrame({"key": key[first], "node": node[first], "place": place[first],
+                        "other": node[first], "other_place": place[first]})
+    if tied.any():
+        yield pd.DataFrame({"key": _mixed(node[tied].view(np.uint64)).view(np.int64), "node": node[tied],
+                            "place": place[tied], "other": node[before[tied]],
+                            "other_place": place[before[tied]]}).drop_duplicates()
+
+
+def _handed(keyed):
+    """Ties inside a task, and the places it hands on, by what ``keyed`` says of a row: keys and their places."""
+
+    def hand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, count = [], 0
+        for rows in batches:
+            for row in zip(*(rows[c] for c in rows.columns)):
+                key, at = keyed(*row[1:])
+                if not len(at):
+                    continue
+                held.append((key.view(np.int64), np.full(len(at), row[0], np.int64), at.astype(np.int32)))
+                count += len(at)
+                if count >= HELD:
+                    yield from _settled(held)
+                    held, count = [], 0
+        if held:
+            yield from _settled(held)
+
+    return hand
+
+
+NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def prefixes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``PREFIX`` words at the selected places, and these places."""
+    words = word_hashes(text)
+    if len(words) < MIN_WORDS:
+        return NONE
+    at = selected(words)
+    at = at[at + PREFIX <= len(words)]
+    return _runs(words, PREFIX)[at], at
+
+
+def runs_at(text: str, open_places) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``MIN_WORDS`` words whose own selected place has an open prefix, and that place."""
+    words = word_hashes(text)
+    own = chosen(_grams(words, GRAM), WINDOW)[:len(words) - MIN_WORDS + 1]
+    heads = _runs(words, PREFIX)
+    # of the places with equal prefixes in one document, one may stand for all
+    held = np.flatnonzero(np.isin(heads[own], heads[np.asarray(open_places, dtype=np.int64)]))
+    return _runs(words, MIN_WORDS)[held], own[held]
 
 
 def _ties(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by prefix: the ties found before, and each handed-on suffix with its neighbour."""
+    """Rows sorted by key: the ties found before, and each handed-on place with its neighbour."""
     columns = ["a", "a_place", "b", "b_place"]
     last = None
     for rows in batches:
@@ -161,15 +194,25 @@ def _ties(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = rows[rows["other"] == rows["node"]]
         if not len(rows):
             continue
-        c = [rows[k].to_numpy() for k in ("prefix", "node", "place")]
+        c = [rows[k].to_numpy() for k in ("key", "node", "place")]
         if last is not None:
             c = [np.concatenate([[a], b]) for a, b in zip(last, c)]
-        prefix, node, place = c
-        tied = np.flatnonzero((prefix[1:] == prefix[:-1]) & (node[1:] != node[:-1])) + 1
+        key, node, place = c
+        tied = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != node[:-1])) + 1
         last = tuple(x[-1] for x in c)
         yield pd.DataFrame({"a": node[tied], "a_place": place[tied], "b": node[tied - 1], "b_place": place[tied - 1]})
 
 
+def _tied(rows: DataFrame, keyed) -> DataFrame:
+    """(a, a_place, b, b_place): each place of ``rows`` (node, ...) tied to one with the same key in another document.
+
+    Of a document's places with one key, at least one is tied.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.mapInPandas(_handed(keyed), HANDED).repartition(partitions, "key").sortWithinPartitions(
+        "key", "node", "place").mapInPandas(_ties, "a long, a_place int, b long, b_place int")
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, stop in sorted(spans):
@@ -180,6 +223,15 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _with_copies(words: np.ndarray, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``spans`` with what stands in them a second time in the same document."""
+    runs = _runs(words, MIN_WORDS)
+    if not spans or len(np.unique(runs)) == len(runs):
+        return spans
+    inside = np.concatenate([runs[s:e - MIN_WORDS + 1] for s, e in spans])
+    return merged([(int(i), int(i) + MIN_WORDS) for i in np.flatnonzero(np.isin(runs, inside))])
+
+
 def _extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         out = []
@@ -193,8 +245,8 @@ def _extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 left, right = extend(x, y, *p)
                 if left + right >= MIN_WORDS:
                     found.append((p[0] - left, p[0] + right, p[0] - p[1]))
-            mine = merged([f[:2] for f in found])
-            theirs = merged([(f[0] - f[2], f[1] - f[2]) for f in found])
+            mine = _with_copies(x, merged([f[:2] for f in found]))
+            theirs = _with_copies(y, merged([(f[0] - f[2], f[1] - f[2]) for f in found]))
             out += [(a, s, e, b) for s, e in mine] + [(b, s, e, a) for s, e in theirs]
         yield pd.DataFrame(out, columns=["node", "start", "stop", "other"])
 
@@ -222,12 +274,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     (one of those that share part of it).
     """
     docs = without(docs, *ADDED)
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select("doc_id", _node().alias("node"), text_or_empty().alias("text"))
-    handed = slim.select("node", "text").mapInPandas(_suffixes, SUFFIX)
-    ties = stored(
-        handed.repartition(partitions, "prefix").sortWithinPartitions("prefix", "rest", "node", "place")
-        .mapInPandas(_ties, "a long, a_place int, b long, b_place int").distinct(), "suffix-ties", batch=None)
+    same = _tied(slim.select("node", "text"), prefixes).select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("a_place").alias("place")),
+        F.struct(F.col("b").alias("node"), F.col("b_place").alias("place")))).alias("at")).select("at.*")
+    places = stored(same.groupBy("node").agg(F.collect_set("place").alias("places")), "suffix-places")
+    members = small(places.select(F.col("node").alias("m")))
+    texts = stored(slim.join(members, F.col("node") == F.col("m")).groupBy("node").agg(
+        F.min("doc_id").alias("id"), F.first("text").alias("text")).join(places, "node"), "suffix-texts")
+    ties = stored(_tied(texts.select("node", "text", "places"), runs_at).distinct(), "suffix-ties", batch=None)
     # one direction per pair of documents
     swap = F.col("a") > F.col("b")
     pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
@@ -235,9 +290,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         ties.select(pick("a", "b").alias("a"), pick("b", "a").alias("b"), F.struct(
             pick("a_place", "b_place").alias("a_place"), pick("b_place", "a_place").alias("b_place")).alias("p"))
         .groupBy("a", "b").agg(F.collect_set("p").alias("places")), "suffix-pairs")
-    members = stored(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "m"), "suffix-members")
-    texts = stored(slim.join(small(members), F.col("node") == F.col("m")).groupBy("node").agg(
-        F.min("doc_id").alias("id"), F.first("text").alias("text")), "suffix-texts")
     side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
     found = stored(
         pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "places", "a_text", "b_text").mapInPandas(

@@ -170,6 +170,28 @@ def test_repeated_passages_against_all_windows(spark):
         assert all(s["other_id"] != i for s in got[i]["spans"])
 
 
+def test_passages_around_a_shorter_hot_run(spark):
+    r = random.Random(21)
+    fresh = lambda n: [f"{r.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for size in range(41, 50):
+        hot = fresh(size)
+        rows += [fresh(r.randint(10, 20)) + hot + fresh(r.randint(10, 20)) for _ in range(30)]
+        for length in (50, 51, 54, 58, 62, 70):
+            left = r.randint(0, length - size)
+            shared = fresh(left) + hot + fresh(length - size - left)
+            rows += [fresh(r.randint(5, 20)) + shared + fresh(r.randint(5, 20)) for _ in range(2)]
+    twice = fresh(55)
+    rows += [twice + fresh(20) + twice + fresh(9), fresh(7) + twice + fresh(30)]
+    windows = [[tuple(x[i:i + 50]) for i in range(len(x) - 49)] for x in rows]
+    held = collections.Counter(w for x in windows for w in set(x))
+    want = {k: len({j for i, w in enumerate(x) if held[w] > 1 for j in range(i, i + 50)}) for k, x in enumerate(windows)}
+    r.shuffle(order := list(enumerate(rows)))
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in order], "doc_id long, text string").repartition(7)
+    got = {x["doc_id"]: x["repeated_words"] for x in suffix_dedup.repeated_passages(docs).collect()}
+    assert got == want
+
+
 def test_alignment_rises_and_covers():
     t = license_scan.TEXTS["ISC"]
     words = license_scan.words_of(t)
