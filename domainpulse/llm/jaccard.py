@@ -409,6 +409,11 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
 
 def jaccard_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs``."""
+    return _classes(docs, rule).drop("_one")
+
+
+def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
+    """Also _one: (doc_id is null, doc_id, text_hash) of the row that stands for its component; null without words."""
     described = _described(docs, rule)
     slim = described.select("doc_id", "text_hash", "n", "node")
     # A family is named by its smallest set; (a, b): set and family.
@@ -432,27 +437,28 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         found = _join_large(regions, large.select("node", "text"), rule, roots.limit(0), DEPTH)
         roots = roots.union(components(found))
     labelled = classes.join(small(stored(roots, "jaccard-roots")), F.col("node") == F.col("a"), "left").select(
-        "node", F.coalesce("b", "node").alias("root"), F.col("row.doc_id").alias("least"))
-    named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+        "node", F.coalesce("b", "node").alias("root"), "row")
+    named = labelled.groupBy("root").agg(F.min("row").alias("_one"))
     ids = stored(labelled.select("node", "root").join(named, "root").select(
-        F.col("node").alias("_node"), "component_id"), "jaccard-ids")
+        F.col("node").alias("_node"), "_one"), "jaccard-ids")
     joined = slim.join(ids, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
     return joined.select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("_one.doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "_one")
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each linked group does: the one with the smallest id.
 
-    Rows without words are groups of their own.  Of rows with the same id and text, all stay or none
-    (exact copies are another operator's task); a group without any id is kept whole.
+    Ids come before none, equal ids (or none) go by the hash of the text.  Rows without words are groups of their own.
+    Of rows with the same id and text, all stay or none (exact copies are another operator's task).
     """
-    classes = jaccard_classes(docs, rule).where("component_id <> doc_id").select(
+    classes = _classes(docs, rule).where(F.col("_one").isNotNull()).where(
+        ~(F.col("doc_id").eqNullSafe(F.col("_one.doc_id")) & (F.col("text_hash") == F.col("_one.text_hash")))).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     dropped = small(stored(classes, "jaccard-dropped"))
     return docs.join(
-        dropped, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash")), "left_anti")
+        dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash")), "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

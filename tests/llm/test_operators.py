@@ -124,6 +124,21 @@ def test_jaccard_regions_against_all_pairs(spark, rule, monkeypatch):
     assert got == {k: (len(sets[k]), want[k]) for k in want}
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    groups = [[f"g{g}w{i}" for i in range(60)] for g in range(4)]
+    near = lambda g, k: " ".join([*groups[g], f"end{k}"])
+    rows = [(None, near(0, 0)), (None, near(0, 1)), (5, near(0, 2)), (4, near(0, 3)),  # ids and none
+            (None, near(1, 0)), (None, near(1, 1)), (None, near(1, 2)),  # no id at all
+            (7, near(2, 0)), (7, near(2, 1)), (7, near(2, 2)),  # one id
+            (8, near(3, 0)), (8, near(3, 0).upper()), (9, "alone"), (9, None), (None, " "), (None, "apart")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard.one_of_each(docs).collect()]
+    of = lambda g: [k for k, t in kept if t and t.lower().startswith(f"g{g}w")]
+    assert [of(g) for g in range(4)] == [[4], [None], [7], [8]]
+    assert sorted((k or 0, t or "") for k, t in kept if not (t or "").lower().startswith("g")) == [
+        (0, " "), (0, "apart"), (9, ""), (9, "alone")]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r["a"]: r["b"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
