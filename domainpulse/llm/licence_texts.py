@@ -3,23 +3,48 @@
 Fixed values: wording of well-known public licences and of the usual lines that name them.
 """
 
-#: Short lines that name a licence; found when every word stands in order, close together.
+#: Short lines that name a licence; found when enough words stand in order, close together, and all words marked by a star.
 NOTICES = {
-    "MIT": ["Released under the MIT License", "Licensed under the MIT License", "SPDX-License-Identifier: MIT"],
+    "MIT": ["Released under the *MIT License", "Licensed under the *MIT License", "*SPDX-License-Identifier: *MIT"],
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0",
-        "Released under the Apache License 2.0"],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0",
-        "Released under the GNU General Public License version 3"],
-    "GPL-2.0": ["licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0"],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3"],
-    "MPL-2.0": ["subject to the terms of the Mozilla Public License, v. 2.0", "SPDX-License-Identifier: MPL-2.0"],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0", "licensed under a Creative Commons Attribution 4.0 International License"],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0"],
+        "Licensed under the *Apache License, Version *2.0", "*SPDX-License-Identifier: *Apache-2.0",
+        "Released under the *Apache License *2.0"],
+    "MPL-2.0": [
+        "subject to the terms of the *Mozilla *Public License, v. *2.0", "Licensed under the *Mozilla *Public License *2.0",
+        "Released under the *Mozilla *Public License Version *2.0", "*SPDX-License-Identifier: *MPL-2.0"],
+    "BSD-2-Clause": [
+        "Released under the *BSD *2-Clause License", "Licensed under the *BSD *2-Clause License",
+        "*SPDX-License-Identifier: *BSD-2-Clause"],
+    "BSD-3-Clause": [
+        "Released under the *BSD *3-Clause License", "Licensed under the *BSD *3-Clause License",
+        "*SPDX-License-Identifier: *BSD-3-Clause"],
+    "ISC": ["Released under the *ISC License", "Licensed under the *ISC License", "*SPDX-License-Identifier: *ISC"],
+    "Unlicense": ["Released under the *Unlicense", "*SPDX-License-Identifier: *Unlicense"],
+    "CC0-1.0": ["Released under *CC0 *1.0 Universal", "*SPDX-License-Identifier: *CC0-1.0"],
 }
+for _name, _words, _versions in (
+        ("GPL", "*GNU *General *Public License", ("2.0", "3.0")),
+        ("LGPL", "*GNU *Lesser *General *Public License", ("2.1", "3.0")),
+        ("AGPL", "*GNU *Affero *General *Public License", ("3.0",))):
+    for _v in _versions:
+        _short = _v.removesuffix(".0")
+        NOTICES[f"{_name}-{_v}"] = [
+            f"{_how} the {_words}{_version} *{_n}" for _how in ("Licensed under", "Released under")
+            for _version, _n in ((", version", _short), ("", f"v{_short}"), ("", f"v{_v}"), (", version", _v))] + [
+            f"*SPDX-License-Identifier: *{_name}-{_v}{_x}" for _x in ("", "-only", "-or-later")] + [
+            f"{_how} the *{_name}{_n}" for _how in ("Licensed under", "Released under")
+            for _n in (f"v{_short}", f"-{_v}", f" *v{_short}", f" version *{_short}")]
+NOTICES["GPL-3.0"].append("This work is licensed under the *GNU *General *Public License, version *3")
+for _kind, _long in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                     ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                     ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    NOTICES[f"CC-{_kind}-4.0"] = [
+        f"Licensed under *CC *{_kind} *4.0", f"Released under *CC *{_kind} *4.0", f"Licensed under *CC-{_kind}-4.0",
+        f"licensed under a *Creative *Commons *{_long} *4.0 International License",
+        f"*SPDX-License-Identifier: *CC-{_kind}-4.0"]
+
+#: Words that name another licence when they stand inside a finding and not in its template.
+OTHERS = {"lesser", "affero", "library", "sharealike", "noncommercial", "noderivatives", "noderivs"}
 
 #: Longer texts; found when enough of their words align.
 TEXTS = {

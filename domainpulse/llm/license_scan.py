@@ -9,8 +9,8 @@ aligned in the same way; a gap without such words is matched from its ends
 and then word by word in order.  Coverage is the share of the template's
 words that are aligned.
 
-Every place where a template reaches its coverage is a finding: the document
-is cut where template words stop for more than ``GAP`` words, and each
+Every place where a template reaches its coverage, and where the words that
+name its licence and version align, is a finding: the document is cut where template words stop for more than ``GAP`` words, and each
 stretch is aligned by itself.
 
 Defined results: null and empty texts have no findings; a document may have
@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.llm.common import TEXT_BATCH, documents, stored, text_or_empty, without
-from domainpulse.llm.licence_texts import NOTICES, TEXTS
+from domainpulse.llm.licence_texts import NOTICES, OTHERS, TEXTS
 
 #: Share of a template's words that must align, for short lines and for texts; words between stretches.
-NOTICE_COVERAGE, TEXT_COVERAGE, GAP = 1.0, 0.8, 12
+NOTICE_COVERAGE, TEXT_COVERAGE, GAP = 0.7, 0.8, 12
 #: Other words that may stand between the words of a short line.
 SLACK = 2
 ADDED = ("licenses",)
@@ -53,6 +53,8 @@ class Template:
     kind: str
     words: tuple[str, ...]
     coverage: float
+    #: Places of the words that name the licence and its version: these must align.
+    named: frozenset[int] = frozenset()
 
     @property
     def needed(self) -> int:
@@ -60,9 +62,16 @@ class Template:
         return -(-int(self.coverage * 100) * len(self.words) // 100)
 
 
+def template(license: str, kind: str, text: str, coverage: float) -> Template:
+    """The template of a text in which a star stands before each word that must align."""
+    marked = [(m[0], m.start() > 0 and text[m.start() - 1] == "*") for m in WORDS.finditer(text)]
+    return Template(license, kind, tuple(w.lower() for w, _ in marked), coverage,
+                    frozenset(j for j, (_, star) in enumerate(marked) if star))
+
+
 def templates() -> list[Template]:
-    short = [Template(k, "notice", tuple(words_of(t)), NOTICE_COVERAGE) for k, ts in NOTICES.items() for t in ts]
-    return short + [Template(k, "text", tuple(words_of(t)), TEXT_COVERAGE) for k, t in TEXTS.items()]
+    short = [template(k, "notice", t, NOTICE_COVERAGE) for k, ts in NOTICES.items() for t in ts]
+    return short + [template(k, "text", t, TEXT_COVERAGE) for k, t in TEXTS.items()]
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -142,7 +151,10 @@ def _windows(part: list[str], template: Template) -> list[tuple[int, int]]:
     if not short and len(part) <= 2 * n:
         return [(0, len(part))]
     counts = Counter(part)
-    rare = min((w for w in set(template.words) if counts[w]), key=lambda w: (counts[w], w))
+    wanted = {template.words[j] for j in template.named} or set(template.words)
+    rare = min((w for w in wanted if counts[w]), key=lambda w: (counts[w], w), default=None)
+    if rare is None:
+        return []
     at = template.words.index(rare)
     reach = (lambda k: k + SLACK) if short else (lambda k: 2 * k + GAP)
     around = {(max(0, i - reach(at)), min(len(part), i + reach(n - at))) for i, w in enumerate(part) if w == rare}
@@ -154,19 +166,24 @@ def scan(text: str, wanted: list[Template]) -> list[dict]:
     vocabulary = set(words)
     found: list[tuple] = []
     for t in wanted:
+        if len(words) < t.needed or not all(t.words[j] in vocabulary for j in t.named):
+            continue
         if sum(w in vocabulary for w in t.words) < t.needed:
             continue
+        others = (OTHERS & vocabulary).difference(t.words)
         for start, stop in _stretches(words, t):
             part = words[start:stop]
             if len(part) < t.needed:
                 continue
             for a, b in _windows(part, t):
                 pairs = align(part[a:b], t.words)
-                if len(pairs) >= t.needed:
+                if len(pairs) >= t.needed and t.named <= {j for _, j in pairs}:
                     i, j = pairs[0][0], pairs[-1][0]
                     # a short line must stand together, but for a few words in between
                     if t.kind == "notice" and j - i + 1 > len(t.words) + SLACK:
                         continue
+                    if others and not others.isdisjoint(part[a + i:a + j + 1]):
+                        continue
                     found.append((t.license, t.kind, len(pairs) / len(t.words), start + a + i, start + a + j + 1))
     best: list[tuple] = []
     for f in sorted(found, key=lambda f: (-f[2], f[3] - f[4], f[3], f[0])):

@@ -220,6 +220,22 @@ def test_alignment_rises_and_covers():
     assert license_scan.scan("a licence is granted under some terms", license_scan.templates()) == []
 
 
+@pytest.mark.parametrize("line, license", [
+    ("Licensed under the Apache License 2.0", "Apache-2.0"), ("Released under the Apache License, Version 2.0", "Apache-2.0"),
+    ("Licensed under the BSD 3-Clause License", "BSD-3-Clause"), ("licensed under BSD 2-Clause License", "BSD-2-Clause"),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0"), ("under the MIT License", "MIT"),
+    ("Released under the GNU Lesser General Public License version 3", "LGPL-3.0"),
+    ("Released under the GNU General Public License, version 2", "GPL-2.0"),
+    ("licensed under the GNU Affero General Public License v3", "AGPL-3.0"), ("Released under the GPLv3", "GPL-3.0"),
+    ("Licensed under the GNU General Public License v3.0", "GPL-3.0"), ("Released under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"),
+    ("Licensed under the Apache License 1.1", None), ("the license of the Apache foundation, version 2.0", None),
+    ("Licensed under CC BY 3.0", None), ("released under the license", None)])
+def test_reworded_licence_lines(line, license):
+    found = license_scan.scan(f"Some words stand before. {line}. Other words follow it here.", license_scan.templates())
+    assert {f["license"] for f in found} == ({license} if license else set())
+
+
 def test_license_query_against_the_lines_in_the_texts(spark):
     lines = ["Licensed under CC BY-NC 4.0", "This work is licensed under the GNU General Public License, version 3",
              "Licensed under the Apache License, Version 2.0", "Released under the MIT License"]
