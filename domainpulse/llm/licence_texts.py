@@ -3,6 +3,8 @@
 Fixed values: wording of well-known public licences and of the usual lines that name them.
 """
 
+from pathlib import Path
+
 #: Short lines that name a licence; found when enough words stand in order, close together, and all words marked by a star.
 NOTICES = {
     "MIT": ["Released under the *MIT License", "Licensed under the *MIT License", "*SPDX-License-Identifier: *MIT"],
@@ -46,7 +48,7 @@ for _kind, _long in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
 #: Words that name another licence when they stand inside a finding and not in its template.
 OTHERS = {"lesser", "affero", "library", "sharealike", "noncommercial", "noderivatives", "noderivs"}
 
-#: Longer texts; found when enough of their words align.
+#: Longer texts; found when enough of their words align, and all words marked by a star.
 TEXTS = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -68,11 +70,11 @@ TEXTS = {
         provided that the following conditions are met: 1. Redistributions of source code must retain the above
         copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
         must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
-        documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright
-        holder nor the names of its contributors may be used to endorse or promote products derived from this
+        documentation and/or other materials provided with the distribution. 3. *Neither the name of the copyright
+        holder nor the names of its contributors may be used to *endorse or *promote products derived from this
         software without specific prior written permission.""",
     "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+        General Public License as published by the Free Software Foundation, either version *3 of the License, or (at
         your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
         ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See
         the GNU General Public License for more details. You should have received a copy of the GNU General Public
@@ -85,3 +87,55 @@ TEXTS = {
         modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
         binary, for any purpose, commercial or non-commercial, and by any means.""",
 }
+
+_HEADER = TEXTS["GPL-3.0"].replace("*3 of", "{} of")
+_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+    WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+    ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+    SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+    LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+    CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+    SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_2 = TEXTS["BSD-3-Clause"].partition("3. *Neither")[0]
+_BODIES = {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "licences").glob("*.txt"))}
+#: Section 13, in which the AGPL's terms differ from the GPL's.
+_REMOTE = """13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any other provision of
+    this License, if you modify the Program, your modified version must prominently offer all users *interacting with it
+    *remotely through a computer network (if your version supports such interaction) an opportunity to receive the
+    Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge,
+    through some standard or customary means of facilitating copying of software. """
+
+
+def _affero() -> str:
+    head, _, rest = _BODIES["GPL-3.0"].partition("  13. Use with the GNU Affero")
+    return (head + _REMOTE + "  14. Revised" + rest.partition("  14. Revised")[2]).replace(
+        "GNU General Public License", "GNU Affero General Public License")
+
+
+#: Further texts and headers of a licence.  Headers of one family differ in a few words, which are marked.
+MORE_TEXTS = {
+    "GPL-2.0": [_HEADER.format("*2")],
+    "LGPL-2.1": [_HEADER.format("*2.1").replace("General Public", "*Lesser General Public")],
+    "LGPL-3.0": [_HEADER.format("*3").replace("General Public", "*Lesser General Public")],
+    "AGPL-3.0": [_HEADER.format("*3").replace("General Public", "*Affero General Public"), _affero()],
+    "BSD-2-Clause": [_BSD_2, _BSD_2 + _DISCLAIMER],
+    "BSD-3-Clause": [TEXTS["BSD-3-Clause"] + _DISCLAIMER],
+    "ISC": [TEXTS["ISC"] + """ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS
+        SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+        ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+        PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH
+        THE USE OR PERFORMANCE OF THIS SOFTWARE."""],
+    "Unlicense": [TEXTS["Unlicense"] + """ In jurisdictions that recognize copyright laws, the author or authors of this
+        software dedicate any and all copyright interest in the software to the public domain. We make this dedication for
+        the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be
+        an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+        OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""],
+    "CC-BY-4.0": ["""This work is licensed under the Creative Commons *Attribution *4.0 International License. To view a copy of
+        this license, visit http://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons, PO Box 1866,
+        Mountain View, CA 94042, USA."""],
+}
+for _k, _t in _BODIES.items():
+    MORE_TEXTS.setdefault(_k, []).append(_t)

@@ -14,8 +14,8 @@ name its licence and version align, is a finding: the document is cut where temp
 stretch is aligned by itself.
 
 Defined results: null and empty texts have no findings; a document may have
-several, also of one licence; overlapping findings of one licence are one,
-the best covered; repeated rows are scanned each; an empty table gives no
+several, also of one licence; of overlapping findings the best covered stays,
+by aligned less missing words; repeated rows are scanned each; an empty table gives no
 rows; input columns named like the added one are replaced.  All work is in
 one pass without a shuffle; only the templates (fixed, small) are shipped.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.llm.common import TEXT_BATCH, documents, stored, text_or_empty, without
-from domainpulse.llm.licence_texts import NOTICES, OTHERS, TEXTS
+from domainpulse.llm.licence_texts import MORE_TEXTS, NOTICES, OTHERS, TEXTS
 
 #: Share of a template's words that must align, for short lines and for texts; words between stretches.
 NOTICE_COVERAGE, TEXT_COVERAGE, GAP = 0.7, 0.8, 12
@@ -71,7 +71,8 @@ def template(license: str, kind: str, text: str, coverage: float) -> Template:
 
 def templates() -> list[Template]:
     short = [template(k, "notice", t, NOTICE_COVERAGE) for k, ts in NOTICES.items() for t in ts]
-    return short + [template(k, "text", t, TEXT_COVERAGE) for k, t in TEXTS.items()]
+    long = [*TEXTS.items(), *((k, t) for k, ts in MORE_TEXTS.items() for t in ts)]
+    return short + [template(k, "text", t, TEXT_COVERAGE) for k, t in long]
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -184,10 +185,11 @@ def scan(text: str, wanted: list[Template]) -> list[dict]:
                         continue
                     if others and not others.isdisjoint(part[a + i:a + j + 1]):
                         continue
-                    found.append((t.license, t.kind, len(pairs) / len(t.words), start + a + i, start + a + j + 1))
+                    found.append((t.license, t.kind, len(pairs) / len(t.words), start + a + i, start + a + j + 1,
+                                  2 * len(pairs) - len(t.words)))
     best: list[tuple] = []
-    for f in sorted(found, key=lambda f: (-f[2], f[3] - f[4], f[3], f[0])):
-        if not any(f[0] == g[0] and f[3] < g[4] and g[3] < f[4] for g in best):
+    for f in sorted(found, key=lambda f: (-f[5], -f[2], f[3] - f[4], f[3], f[0])):
+        if not any(f[3] < g[4] and g[3] < f[4] for g in best):
             best.append(f)
     return [dict(zip(("license", "kind", "coverage", "start", "stop"), f)) for f in sorted(best, key=lambda f: (f[3], f[0]))]
 

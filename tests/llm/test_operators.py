@@ -236,6 +236,24 @@ def test_reworded_licence_lines(line, license):
     assert {f["license"] for f in found} == ({license} if license else set())
 
 
+def test_licence_bodies_and_headers_are_told_apart():
+    def found(text):
+        return [f["license"] for f in license_scan.scan(f"words before it {text} and words after", license_scan.templates())]
+
+    gpl = license_scan.TEXTS["GPL-3.0"]
+    for version in ("2", "2.1", "3"):
+        for name, family in (("", "GPL"), ("Lesser ", "LGPL"), ("Affero ", "AGPL")):
+            license = f"{family}-{version if '.' in version else version + '.0'}"
+            if license in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+                assert found(gpl.replace("*3 of", f"{version} of").replace("General", f"{name}General")) == [license]
+    for license, texts in license_scan.MORE_TEXTS.items():
+        for text in texts:
+            words = text.split()
+            assert found(" ".join(w for i, w in enumerate(words) if i % 29 or w[0] == "*")) == [license], license
+            assert found(text) == [license], license
+    assert found(license_scan.TEXTS["MIT"]) == ["MIT"] and found(gpl.replace("*3 of", "9 of")) == []
+
+
 def test_license_query_against_the_lines_in_the_texts(spark):
     lines = ["Licensed under CC BY-NC 4.0", "This work is licensed under the GNU General Public License, version 3",
              "Licensed under the Apache License, Version 2.0", "Released under the MIT License"]
