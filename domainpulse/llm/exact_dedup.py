@@ -44,6 +44,8 @@ STREAM = {
 BLANKS = " \t\n\v\f\r"
 #: Files per micro-batch, and rows that one copy of a kept text is compared with.
 FILES_PER_BATCH, ROWS_PER_SALT = 1000, 500
+#: Files older than the newest by more than this are skipped by the stream: longer than any history.
+FILE_AGE = "365000d"
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -81,7 +83,7 @@ def update_state(spark: SparkSession, path: str, state: str, digest: Callable[[C
         spark.conf.set(k, v)
     try:
         rows = spark.readStream.schema(spark.read.parquet(path).schema).option(
-            "maxFilesPerTrigger", FILES_PER_BATCH).parquet(_any_one(path))
+            "maxFilesPerTrigger", FILES_PER_BATCH).option("maxFileAge", FILE_AGE).parquet(_any_one(path))
         entries = _located(rows, digest).select("_digest", "_at").groupBy("_digest").agg(
             F.min("_at").alias("keep"), F.count(F.lit(1)).alias("n"))
         query = entries.writeStream.format("noop").outputMode("update").option(

@@ -1,6 +1,7 @@
 """The training-data operators: brute force, SQL, hot groups, and odd rows."""
 
 import collections
+import os
 import random
 
 import numpy as np
@@ -81,6 +82,18 @@ def test_stream_state_goes_on_with_new_files(spark, scratch):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def test_stream_state_takes_new_files_with_old_times(spark, scratch):
+    path, state = f"{scratch}/d", f"{scratch}/state"
+    spark.createDataFrame([(2, "a"), (3, "b")], "doc_id long, text string").write.parquet(path)
+    exact_dedup.exact_dedup(spark, path, state)
+    before = set(os.listdir(path))
+    spark.createDataFrame([(1, "a "), (4, "b")], "doc_id long, text string").write.mode("append").parquet(path)
+    for name in set(os.listdir(path)) - before:
+        os.utime(f"{path}/{name}", (1_000_000_000, 1_000_000_000))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(spark, path, state).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (3, 2), 4: (3, 2)}
+
+
 def brute_components(sets, rule):
     up = {k: k for k in sets}
 
