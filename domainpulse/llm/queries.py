@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from domainpulse.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, jaccard, license_scan, mixing, sharding, suffix_dedup, token_files, toxicity,
+    byte_bpe, embedding_dedup, exact_dedup, filter_audit, jaccard, license_scan, mixing, sharding, suffix_dedup, token_files,
+    toxicity, vector_codes,
 )
 
 QUERIES = {
@@ -18,6 +19,8 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,6 +29,8 @@ ORACLE = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op8_embedding_dedup": embedding_dedup.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
