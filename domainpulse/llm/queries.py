@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from domainpulse.llm import (
-    byte_bpe, embedding_dedup, exact_dedup, filter_audit, jaccard, license_scan, mixing, sharding, suffix_dedup, token_files,
-    toxicity, vector_codes,
+    byte_bpe, embedding_dedup, exact_dedup, filter_audit, jaccard, license_scan, maxent_lm, mixing, sharding, suffix_dedup,
+    token_files, toxicity, vector_codes,
 )
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_lm_scoring": maxent_lm.op13_lm_scoring,
     "pipeline": corpus_pipeline.run,
 }
 
