@@ -153,19 +153,19 @@ def tier_analysis(features: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def similar_domains(scaled: DataFrame, clustered: DataFrame, n: int = 5, digits: int | None = None) -> DataFrame:
+def similar_domains(clustered: DataFrame, n: int = 5) -> DataFrame:
     """The n nearest domains in standardised feature space, within the same cluster.
 
-    Exact and pair-free (see ``operators.similarity``).  ``digits`` fixes the
-    coordinates to that many decimals as DECIMAL values, so distances (and
-    their ties) are exact and engine-independent.
+    Exact and pair-free (see ``operators.similarity``).  ``clustered`` holds
+    the raw features and the cluster label.  Standardised coordinates differ
+    by the raw difference over the population std, so the squared raw
+    differences are weighted by 1 / variance: raw features are decimal
+    numbers, whose differences are exact and tie exactly.
     """
-    from domainpulse.operators.features import SCALED
+    from domainpulse.operators.features import scaler_stats
     from domainpulse.operators.similarity import similar_domains as knn
 
-    pts = feature_points(scaled, clustered).select("domain_id", "cluster_label", *SCALED)
-    if digits is not None:
-        pts = pts.select("domain_id", "cluster_label", *[
-            F.round(F.col(c).cast("decimal(28,12)"), digits).cast(f"decimal({6 + digits},{digits})").alias(c)
-            for c in SCALED])
-    return knn(pts, SCALED, n=n)
+    std = scaler_stats(clustered).first()
+    weights = [1.0 / (std[f"std_{c}"] * std[f"std_{c}"]) if std[f"std_{c}"] else 0.0 for c in FEATURES]
+    points = clustered.select("domain_id", "cluster_label", *[F.col(c).cast("decimal(28,12)").alias(c) for c in FEATURES])
+    return knn(points, FEATURES, n=n, weights=weights)

@@ -103,9 +103,7 @@ def q_report_tier_analysis(spark, base):
     return r6(rep.tier_analysis(feats, scores), ("avg_score", *[f"avg_{c}" for c in FEATURES]))
 
 
-
 @query("report_similar_domains")
 def q_report_similar_domains(spark, base):
-    feats = events_features(spark, base)
-    scaled, clustered = feature_ops.standardise(feats), cluster_ops.label_points(feats, DEMO_CENTROIDS)
-    return r6(rep.similar_domains(scaled, clustered, n=5, digits=9), ("distance",))
+    clustered = cluster_ops.label_features(events_features(spark, base), DEMO_CENTROIDS)
+    return r6(rep.similar_domains(clustered, n=5), ("distance",))

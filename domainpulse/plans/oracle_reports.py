@@ -69,14 +69,16 @@ LEFT JOIN (SELECT s.risk_tier, COUNT(*) AS domains, AVG(s.composite_score) AS av
   FROM features f JOIN risk_scores s ON f.domain_id = s.domain_id GROUP BY s.risk_tier) x
 ON t.risk_tier = x.risk_tier"""))
 
-_PTS = ("pts", "SELECT s.domain_id, c.cluster_label, " + ", ".join(
-    f"CAST(ROUND(CAST(s.{c}_scaled AS DECIMAL(28,12)), 9) AS DECIMAL(15,9)) AS {c}" for c in FEATURES)
-    + " FROM scaled s JOIN clustered c ON s.domain_id = c.domain_id")
-_SQ = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in FEATURES)
-register("report_similar_domains", query(BASE + [_PTS], f"""
-SELECT domain_id, cluster_label, neighbor_id, CAST(rn AS INTEGER) AS neighbor_rank,
-       {r('SQRT(CAST(sq AS DOUBLE))', 6)} AS distance
+# The raw features are decimals; the variance weighs their exact differences.
+_PTS = ("pts", "SELECT f.domain_id, c.cluster_label, " + ", ".join(f"CAST(f.{c} AS DECIMAL(28,12)) AS {c}" for c in FEATURES)
+        + " FROM features f JOIN clustered c ON f.domain_id = c.domain_id")
+_WEIGHTS = ("weights", "SELECT " + ", ".join(
+    f"CASE WHEN STDDEV_POP({c}) = 0 THEN 0.0::DOUBLE ELSE 1.0 / (STDDEV_POP({c}) * STDDEV_POP({c})) END AS w_{c}"
+    for c in FEATURES) + " FROM features")
+_SQ = " + ".join(f"CAST(p.{c} - q.{c} AS DOUBLE) * CAST(p.{c} - q.{c} AS DOUBLE) * w_{c}" for c in FEATURES)
+register("report_similar_domains", query(BASE + [_PTS, _WEIGHTS], f"""
+SELECT domain_id, cluster_label, neighbor_id, CAST(rn AS INTEGER) AS neighbor_rank, {r('SQRT(sq)', 6)} AS distance
 FROM (SELECT p.domain_id, p.cluster_label, q.domain_id AS neighbor_id, {_SQ} AS sq,
              ROW_NUMBER() OVER (PARTITION BY p.domain_id ORDER BY {_SQ}, q.domain_id) AS rn
-      FROM pts p JOIN pts q ON p.cluster_label = q.cluster_label AND p.domain_id <> q.domain_id)
+      FROM pts p JOIN pts q ON p.cluster_label = q.cluster_label AND p.domain_id <> q.domain_id, weights)
 WHERE rn <= 5"""))

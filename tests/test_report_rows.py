@@ -1,12 +1,9 @@
-"""Report rows come from one projection, keep the domain without id, and similar domains start in small cells."""
-
-import random
+"""Report rows come from one projection and keep the domain without id."""
 
 from pyspark.sql import functions as F
 
 from domainpulse.config import FEATURES
 from domainpulse.operators import cluster, features, reports, score
-from domainpulse.operators.similarity import CROWD, start_cell
 
 CENTERS = [[-1.0] * 4, [0.0] * 4, [1.0] * 4, [2.0] * 4]
 
@@ -37,15 +34,3 @@ def test_reports_of_scored_features_have_no_join(spark):
     for frame in (reports.feature_points(features.standardise(feats), cluster.label_points(feats, CENTERS)),
                   reports.feature_correlation(feats, scores)):
         assert "Join" not in frame._jdf.queryExecution().executedPlan().toString()
-
-
-def test_outliers_do_not_crowd_the_first_cells(spark):
-    rnd = random.Random(5)
-    rows = [(0, *(round(rnd.gauss(0, 1), 6) for _ in range(4))) for _ in range(2000)]
-    rows += [(0, 500.0, 0.0, 0.0, 0.0), (0, 0.0, 90000.0, 0.0, 0.0)]
-    cols = ["a", "b", "c", "d"]
-    sites = spark.createDataFrame(rows, ["cluster_label", *cols]).cache()
-    cell, _ = start_cell(sites, cols, "cluster_label", 5)
-    held = sites.groupBy(*[F.floor(F.col(c) / cell) for c in cols]).count()
-    assert held.agg(F.sum(F.col("count") * F.col("count"))).first()[0] <= CROWD * 5 * len(rows)
-    sites.unpersist()

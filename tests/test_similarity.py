@@ -6,7 +6,8 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from domainpulse.operators.similarity import similar_domains
+from domainpulse.operators.similarity import LEAF, build_tree, nearest_sites, similar_domains
+from domainpulse.session import cut_lineage
 
 COLS = ["a", "b", "c", "d"]
 
@@ -57,3 +58,42 @@ def test_matches_brute_force_random_clumps(spark, seed, n):
     got = sorted((r.domain_id, r.cluster_label, r.neighbor_id, r.neighbor_rank, round(r.distance, 9))
                  for r in similar_domains(df, COLS, n=n).collect())
     assert got == _brute(rows, n)
+
+
+def _sites(spark, rows):
+    df = spark.createDataFrame(rows, ["domain_id", "cluster_label", *COLS])
+    return cut_lineage(df.withColumn("site", F.monotonically_increasing_id()).withColumn("q", F.lit(0)).withColumn("m", F.lit(1)))
+
+
+def test_clump_and_far_sites_meet_few_others_in_few_rounds(spark):
+    """A tight clump next to far sites a million times wider: neither meets a share of all sites."""
+    rnd = random.Random(4)
+    rows = [(f"C{i}", 0, *(rnd.gauss(0, 1e-3) for _ in range(4))) for i in range(2000)]
+    rows += [(f"F{i}", 0, *(rnd.gauss(0, 1e3) for _ in range(4))) for i in range(1000)]
+    found = nearest_sites(_sites(spark, rows), COLS, 5)
+    met = found.found.agg(F.count(F.lit(1)), F.sum("met"), F.max("met")).first()
+    assert met[0] == len(rows) and found.rounds <= 12
+    assert met[1] < len(rows) * 400 and met[2] < 1000  # all pairs: 9,000,000
+    pts = dict((r[0], r[2:]) for r in rows)
+    ids = {r.site: r.domain_id for r in _sites(spark, rows).select("site", "domain_id").collect()}
+    for r in found.found.where("site % 97 = 0").collect():
+        own = ids[r.site]
+        near = sorted((sum((a - b) ** 2 for a, b in zip(pts[own], p)), o) for o, p in pts.items() if o != own)[:5]
+        assert [b.id for b in r.best] == [o for _, o in near]
+
+
+def test_tree_parts_values_that_mostly_tie(spark):
+    """Nine tenths of all sites share three of four coordinates; leaves hold at most LEAF sites all the same."""
+    rows = [(f"T{i}", 0, 1.0, 1.0, 1.0, float(i)) for i in range(900)] + [
+        (f"V{i}", 0, float(i % 3), float(i % 5), 0.5, float(i)) for i in range(100)]
+    sites = _sites(spark, rows).select("site", F.lit("0").alias("tree"), F.array(*COLS).alias("x"))
+    tree = build_tree(sites, 4)
+    held = tree.leaves.select(F.size("members").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    assert held[0] == len(rows) and held[1] <= LEAF and tree.depth <= 8
+
+
+def test_weights_scale_the_differences(spark):
+    df = spark.createDataFrame([("A", 0, 0.0, 0.0), ("B", 0, 3.0, 0.0), ("C", 0, 0.0, 4.0)], "domain_id string, cluster_label int, a double, b double")
+    plain = {r.domain_id: r.neighbor_id for r in similar_domains(df, ["a", "b"], n=1).collect()}
+    scaled = {r.domain_id: (r.neighbor_id, r.distance) for r in similar_domains(df, ["a", "b"], n=1, weights=[4.0, 0.25]).collect()}
+    assert plain["A"] == "B" and scaled["A"] == ("C", 2.0)
