@@ -1,76 +1,153 @@
 """K-means over the standardised features, cluster -> tier mapping.
 
-Fitting uses MLlib ``KMeans`` (distributed Lloyd iterations over the
-cached, assembled feature vectors).  Only the k centroids reach the
-driver; assignment is then plain column arithmetic against those k
-literal centroids, so scoring never calls back into Python.
+Fitting collapses identical feature rows to weighted points and advances all
+restarts together: a step is one grouped aggregate over (seed, nearest
+centroid), with the centroids of every seed as a small joined table.  Only
+the k centroids per seed reach the driver; assignment is then plain column
+arithmetic against those k literal centroids, so neither fitting nor scoring
+calls into Python.
 """
 
 from __future__ import annotations
 
-import math
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.config import FEATURES, TIER_LABELS, ClusterParams
 from domainpulse.operators.features import SCALED, standardise
 from domainpulse.functions.tiers import tier_rank
-
-
-def assemble(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(SCALED), outputCol="features").transform(scaled).select("features")
-
-
-def mllib_tolerance(tol: float, mean_variance: float, k: int) -> float:
-    """Translate a relative, summed convergence tolerance into MLlib's.
-
-    The original criterion stops when the summed squared centre shift is at
-    most ``tol`` times the mean feature variance; MLlib stops when every
-    centre moves at most ``eps``.  With eps = sqrt(tol * var / k) MLlib's stop
-    implies the original one, so fits never stop earlier than it would.
+from domainpulse.session import cut_lineage
+
+Centers = list[list[float]]
+
+
+def weighted_points(scaled: DataFrame, cols: Sequence[str] = SCALED) -> DataFrame:
+    """(x0, x1, ..., w): the distinct feature rows with their number of copies."""
+    return scaled.groupBy(*cols).agg(F.count(F.lit(1)).alias("w")).select(
+        *[F.col(c).alias(f"x{j}") for j, c in enumerate(cols)], "w")
+
+
+def _centroids(spark: SparkSession, centers: dict[int, Centers], k: int, dims: int) -> DataFrame:
+    """One row per seed: its centroids' coordinates, null for those it has not drawn yet."""
+    fields = ["seed int", *[f"c{i}_{j} double" for i in range(k) for j in range(dims)]]
+    none = [None] * dims
+    rows = [(seed, *[v for i in range(k) for v in (cs[i] if i < len(cs) else none)]) for seed, cs in centers.items()]
+    return spark.createDataFrame(rows, ", ".join(fields))
+
+
+def _nearest(k: int, dims: int) -> Column:
+    """(d, i): squared distance to and index of the nearest of a row's centroids (ties: the lower index)."""
+    def squared(i: int) -> Column:
+        return sum(((F.col(f"x{j}") - F.col(f"c{i}_{j}")) * (F.col(f"x{j}") - F.col(f"c{i}_{j}")) for j in range(1, dims)),
+                   (F.col("x0") - F.col(f"c{i}_0")) * (F.col("x0") - F.col(f"c{i}_0")))
+
+    return F.least(*[F.when(F.col(f"c{i}_0").isNotNull(), F.struct(squared(i).alias("d"), F.lit(i).alias("i"))) for i in range(k)])
+
+
+@dataclass
+class KMeansFit:
+    """Best of all restarts, the steps that all restarts took together, and each restart's cost."""
+
+    centers: Centers
+    cost: float
+    seed: int
+    steps: int
+    costs: dict[int, float]
+
+
+class _Restarts:
+    """All restarts over one table of weighted points."""
+
+    def __init__(self, points: DataFrame, k: int, dims: int):
+        self.points, self.k, self.dims = points, k, dims
+        self.x = [F.col(f"x{j}") for j in range(dims)]
+
+    def placed(self, centers: dict[int, Centers]) -> DataFrame:
+        """Every point once per seed, with its nearest centroid of that seed."""
+        seeds = F.array(*[F.lit(s) for s in centers])
+        table = _centroids(self.points.sparkSession, centers, self.k, self.dims)
+        near = self.points.withColumn("seed", F.explode(seeds)).join(F.broadcast(table), "seed").withColumn(
+            "near", _nearest(self.k, self.dims))
+        return near.select("seed", *self.x, "w", "near")
+
+    def draw(self, centers: dict[int, Centers], step: int) -> dict[int, Centers]:
+        """One more centroid per seed, drawn by weight times squared distance to the seed's centroids so far.
+
+        The least of exponential variates with these rates belongs to a point with probability in
+        proportion to its rate, so the draw is a grouped minimum; the variates are hashes of point and seed.
+        """
+        rate = F.col("w") * (F.lit(1.0) if step == 0 else F.col("near.d"))
+        bits = F.shiftrightunsigned(F.xxhash64(*self.x, F.col("seed"), F.lit(step)), 11)
+        uniform = (bits + F.lit(0.5)) / F.lit(float(1 << 53))
+        drawn = self.placed(centers).where(rate > 0).groupBy("seed").agg(
+            F.min(F.struct((-F.log(uniform) / rate).alias("t"), *[c.alias(f"x{j}") for j, c in enumerate(self.x)])).alias("p"))
+        points = {r["seed"]: list(r["p"])[1:] for r in drawn.collect()}  # one row per seed
+        return {s: [*cs, points[s]] for s, cs in centers.items()}
+
+    def step(self, centers: dict[int, Centers]) -> tuple[dict[int, Centers], dict[int, float]]:
+        """(means of the points nearest to each centroid, cost of the given centroids) per seed.
+
+        A centroid without points moves to the point farthest from its own centroid.
+        """
+        means = [F.sum(F.col("w") * c).alias(f"s{j}") for j, c in enumerate(self.x)]
+        far = F.struct(F.col("near.d").alias("d"), *[c.alias(f"x{j}") for j, c in enumerate(self.x)])
+        rows = self.placed(centers).groupBy("seed", F.col("near.i").alias("i")).agg(
+            F.sum("w").alias("w"), *means, F.sum(F.col("w") * F.col("near.d")).alias("cost"), F.max(far).alias("far")).collect()
+        moved = {s: [None] * self.k for s in centers}
+        cost = dict.fromkeys(centers, 0.0)
+        farthest = {s: [] for s in centers}
+        for r in rows:  # at most k rows per seed
+            moved[r["seed"]][r["i"]] = [r[f"s{j}"] / r["w"] for j in range(self.dims)]
+            cost[r["seed"]] += r["cost"]
+            farthest[r["seed"]].append(tuple(r["far"]))
+        for s, found in moved.items():
+            spare = sorted(farthest[s], reverse=True)
+            for i, c in enumerate(found):
+                if c is None:
+                    found[i] = list(spare.pop(0)[1:]) if spare else centers[s][i]
+        return moved, cost
+
+
+def fit_points(points: DataFrame, k: int, seeds: Sequence[int], max_iter: int, tolerance: float, dims: int) -> KMeansFit:
+    """Restarts for ``seeds`` over ``points`` (x0, x1, ..., w).
+
+    A restart stops when the summed squared shift of its centroids is at most ``tolerance``.
     """
-    return math.sqrt(max(tol * mean_variance, 0.0) / k) or tol
-
-
-def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams(), parallelism: int | None = None,
-               cache_input: bool = True):
-    """Best of ``params.restarts`` MLlib k-means fits -> (centers, cost, seed).
-
-    Seeds run from ``params.seed`` upwards (k-means|| init), ``parallelism``
-    fits at a time (default: all restarts at once; each iteration is a tiny
-    job, so concurrent fits keep the executors busy) on the shared, cached
-    feature vectors.  Lowest cost
-    wins, then the lowest seed.  Raises ValueError when there are fewer
-    distinct points than clusters (MLlib would fail obscurely).
+    restarts = _Restarts(points, k, dims)
+    centers: dict[int, Centers] = {s: [] for s in seeds}
+    for step in range(k):
+        centers = restarts.draw(centers, step)
+    moving, steps = dict(centers), 0
+    while moving and steps < max_iter:
+        steps += 1
+        moved, _ = restarts.step(moving)
+        shift = {s: sum((a - b) ** 2 for old, new in zip(moving[s], moved[s]) for a, b in zip(old, new)) for s in moving}
+        centers.update(moved)
+        moving = {s: c for s, c in moved.items() if shift[s] > tolerance}
+    _, costs = restarts.step(centers)
+    seed = min(costs, key=lambda s: (costs[s], s))
+    return KMeansFit(centers[seed], costs[seed], seed, steps, costs)
+
+
+def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams()) -> tuple[Centers, float, int]:
+    """Best of ``params.restarts`` k-means fits -> (centers, cost, seed).
+
+    Seeds run from ``params.seed`` upwards.  Lowest cost wins, then the lowest
+    seed.  Raises ValueError when there are fewer distinct points than clusters.
     """
-    stats = scaled.agg(F.count_distinct(*SCALED).alias("points"),
-                       *[F.var_pop(c).alias(c) for c in SCALED]).first()
+    points = cut_lineage(weighted_points(scaled))
+    x = [f"x{j}" for j in range(len(SCALED))]
+    total = F.sum("w")
+    variance = [(F.sum(F.col("w") * F.col(c) * F.col(c)) / total - (F.sum(F.col("w") * F.col(c)) / total) ** 2).alias(c) for c in x]
+    stats = points.agg(F.count(F.lit(1)).alias("points"), *variance).first()
     if stats["points"] < params.k:
         raise ValueError(f"need at least k={params.k} distinct feature rows, found {stats['points']}")
-    mean_var = sum(stats[c] or 0.0 for c in SCALED) / len(SCALED)
-    eps = mllib_tolerance(params.tol, mean_var, params.k)
-    vectors = assemble(scaled)
-    if cache_input:
-        vectors = vectors.persist()
-
-    def fit(seed: int):
-        km = KMeans(k=params.k, seed=seed, maxIter=params.max_iter, tol=eps, featuresCol="features")
-        model = km.fit(vectors)
-        return model.summary.trainingCost, seed, model
-
-    try:
-        seeds = range(params.seed, params.seed + params.restarts)
-        with ThreadPoolExecutor(max_workers=max(1, parallelism or params.restarts)) as pool:
-            fits = list(pool.map(fit, seeds))
-    finally:
-        if cache_input:
-            vectors.unpersist()
-    cost, seed, model = min(fits, key=lambda t: (t[0], t[1]))
-    return [[float(v) for v in c] for c in model.clusterCenters()], cost, seed
+    spread = sum(stats[c] or 0.0 for c in x) / len(x)
+    fit = fit_points(points, params.k, range(params.seed, params.seed + params.restarts), params.max_iter, params.tol * spread, len(x))
+    return fit.centers, fit.cost, fit.seed
 
 
 def centroid_table(spark: SparkSession, centers) -> DataFrame:

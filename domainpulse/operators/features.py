@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domainpulse.config import FEATURES
-from domainpulse.operators.ordinal import exact_median
+from domainpulse.functions.missing import known
+from domainpulse.operators.ordinal import exact_medians
 
 SOURCE = {"avg_update_lag": "avg_update_lag_hrs"}
 
@@ -20,7 +21,7 @@ def null_counts(kpi: DataFrame) -> DataFrame:
     """One row: total rows and nulls per feature source column."""
     return kpi.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(SOURCE.get(c, c)).isNull()).alias(f"nulls_{c}") for c in FEATURES],
+        *[F.count_if(known(SOURCE.get(c, c)).isNull()).alias(f"nulls_{c}") for c in FEATURES],
     )
 
 
@@ -45,20 +46,19 @@ def guard_features(kpi: DataFrame) -> dict[str, int]:
 
 def raw_features(kpi: DataFrame) -> DataFrame:
     """domain_id + the four features as doubles (lag renamed)."""
-    return kpi.select("domain_id", *[F.col(SOURCE.get(c, c)).cast("double").alias(c) for c in FEATURES])
+    return kpi.select("domain_id", *[known(SOURCE.get(c, c)).alias(c) for c in FEATURES])
 
 
 def impute_median(features: DataFrame, nulls: dict[str, int] | None = None) -> DataFrame:
-    """Fill nulls with the column's interpolated median (only where needed)."""
+    """Fill nulls with the column's interpolated median (only where needed, all columns in one pass)."""
     if nulls is None:
         row = features.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FEATURES]).first()
         nulls = row.asDict()
-    out = features
-    for c in FEATURES:
-        if nulls.get(c):
-            med = exact_median(features, c)
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(med)))
-    return out
+    gaps = [c for c in FEATURES if nulls.get(c)]
+    if not gaps:
+        return features
+    medians = exact_medians(features, gaps)
+    return features.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c])) for c in gaps})
 
 
 def build_features(kpi: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from domainpulse.functions.missing import known
 from domainpulse.functions.rounding import round_half_up
 
 FEATURE_SOURCE_COLUMNS = ("avg_null_rate", "avg_stale_rate", "avg_update_lag_hrs", "total_missing_fields")
@@ -29,17 +30,17 @@ def window_filter(metrics: DataFrame, window_days: int = 7, dates: DataFrame | N
 
 
 def kpi_summary(metrics: DataFrame, window_days: int = 7, dates: DataFrame | None = None) -> DataFrame:
-    """One row per domain over the trailing window (nulls form a group)."""
+    """One row per domain over the trailing window (nulls form a group; values that are not numbers are missing)."""
     return window_filter(metrics, window_days, dates).groupBy("domain_id").agg(
         F.max("snapshot_date").alias("latest_snapshot"),
         F.count(F.lit(1)).alias("snapshot_count"),
-        round_half_up(F.avg("null_rate"), 4).alias("avg_null_rate"),
-        round_half_up(F.avg("stale_rate"), 4).alias("avg_stale_rate"),
-        round_half_up(F.avg("update_lag_hrs"), 2).alias("avg_update_lag_hrs"),
+        round_half_up(F.avg(known("null_rate")), 4).alias("avg_null_rate"),
+        round_half_up(F.avg(known("stale_rate")), 4).alias("avg_stale_rate"),
+        round_half_up(F.avg(known("update_lag_hrs")), 2).alias("avg_update_lag_hrs"),
         F.sum("missing_fields").alias("total_missing_fields"),
-        round_half_up(F.max("null_rate"), 4).alias("max_null_rate"),
-        round_half_up(F.max("stale_rate"), 4).alias("max_stale_rate"),
-        round_half_up(F.max("update_lag_hrs"), 2).alias("max_update_lag_hrs"),
+        round_half_up(F.max(known("null_rate")), 4).alias("max_null_rate"),
+        round_half_up(F.max(known("stale_rate")), 4).alias("max_stale_rate"),
+        round_half_up(F.max(known("update_lag_hrs")), 2).alias("max_update_lag_hrs"),
     )
 
 

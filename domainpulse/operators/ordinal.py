@@ -17,9 +17,13 @@ Boundaries only balance the buckets; any boundaries give the same result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from domainpulse.session import cut_lineage
+
 OrderSpec = tuple[str, bool, bool]  # (column, descending, nulls_last)
 
 
@@ -114,24 +118,36 @@ def number_rows(df: DataFrame, order: list[str], out: str = "row_id", start: int
     return numbered.withColumn(out, F.col("rows_before") + F.lit(start)).drop("_w", "rows_before")
 
 
-def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> float | None:
-    """Interpolated median of the non-null values (pandas ``median``).
+def exact_medians(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> dict[str, float | None]:
+    """Interpolated medians of the non-null values of several columns (pandas ``median``), in one pass.
 
-    Only the (at most two) middle distinct values reach the driver.
+    All columns are turned into (column, value, count) rows and numbered together
+    in the order of column and value, so the number of jobs does not
+    depend on the number of columns.  Per column, one total and at most two
+    middle values reach the driver.  A column without values has no median.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
-    n = counts.agg(F.sum("_w")).first()[0]
-    if not n:
-        return None
-    lo, hi = (n - 1) // 2, n // 2
-    pos = rows_before(counts, [(col, False, False)], "_w", partitions)
-
-    def hit(p: int) -> Column:
-        return (F.col("rows_before") <= p) & (F.col("rows_before") + F.col("_w") > p)
-
-    picked = {r["k"]: r[col] for r in pos.select(
-        col, F.when(hit(lo), F.lit("lo")).otherwise(F.lit("hi")).alias("k")
-    ).where(hit(lo) | hit(hi)).collect()}
-    a = float(picked["lo"])
-    b = float(picked.get("hi", picked["lo"]))
-    return a + (b - a) / 2.0
+    cols = list(cols)
+    named = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    values = df.select(F.explode(named).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
+    counts = cut_lineage(values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("_w")))
+    held = {r["c"]: r["n"] for r in counts.groupBy("c").agg(F.sum("_w").alias("n")).collect()}  # one row per column
+    if not held:
+        return dict.fromkeys(cols)
+    middle, start = [], 0
+    for c in sorted(held):  # the order in which the columns are numbered
+        n = held[c]
+        middle += [(c, start + (n - 1) // 2), (c, start + n // 2)]
+        start += n
+    pos = rows_before(counts, [("c", False, False), ("v", False, False)], "_w", partitions)
+    wanted = F.filter(F.array(*[F.lit(p) for _, p in middle]),
+                      lambda p: (F.col("rows_before") <= p) & (F.col("rows_before") + F.col("_w") > p))
+    picked = {r["p"]: r["v"] for r in pos.select("v", F.explode(F.array_distinct(wanted)).alias("p")).collect()}
+    out: dict[str, float | None] = dict.fromkeys(cols)
+    for (c, lo), (_, hi) in zip(middle[::2], middle[1::2]):
+        out[cols[c]] = picked[lo] + (picked[hi] - picked[lo]) / 2.0
+    return out
+
+
+def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> float | None:
+    """Interpolated median of the non-null values of one column."""
+    return exact_medians(df, [col], partitions)[col]

@@ -81,11 +81,49 @@ def risk_alerts(trend: DataFrame) -> DataFrame:
     )
 
 
+def previous_runs(scores: DataFrame) -> DataFrame:
+    """(run_date, prev_run): every stored run and the run stored before it (one row per run, bounded by runs)."""
+    order = Window.orderBy("run_date")
+    return scores.select("run_date").distinct().withColumn("prev_run", F.lag("run_date").over(order))
+
+
+def run_over_run(current: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Scores of ``current`` (with ``prev_run``) next to the same domain's scores in that run.
+
+    A domain without id matches the domain without id.  A domain that the
+    run before did not score has no previous score.
+    """
+    before = earlier.select(
+        F.col("domain_id").alias("_domain"), F.col("run_date").alias("_run"), F.col("composite_score").alias("prev_score"),
+        F.col("risk_tier").alias("prev_tier"), F.col("top_driver").alias("prev_driver"))
+    same = current["domain_id"].eqNullSafe(before["_domain"]) & (current["prev_run"] == before["_run"])
+    return current.join(before, same, "left").drop("_domain", "_run").withColumn(
+        "score_change", round_half_up(F.col("composite_score") - F.col("prev_score"), 1))
+
+
 def run_alerts(scores: DataFrame) -> DataFrame:
-    """Alert rows over stored runs: HIGH/CRITICAL tier, or a tier higher than in the domain's run before."""
-    prev = Window.partitionBy("domain_id").orderBy("run_date")
-    runs = scores.withColumn("prev_tier", F.lag("risk_tier").over(prev))
-    return risk_alerts(runs.withColumnRenamed("run_date", "snapshot_date")).withColumnRenamed("snapshot_date", "run_date")
+    """Alert rows over all stored runs: HIGH/CRITICAL tier, or a tier higher than in the previous stored run."""
+    runs = previous_runs(scores)
+    return _alerts(run_over_run(scores.join(F.broadcast(runs), "run_date"), scores))
+
+
+def alerts_of_run(scores: DataFrame, stored: DataFrame, run_date) -> DataFrame:
+    """Alert rows of one run, ``scores``, against the run stored last before ``run_date``.
+
+    Only that run's partition of the store is read: its date comes from the partition values.
+    """
+    last = stored.where(F.col("run_date") < F.lit(run_date).cast("date")).agg(F.max("run_date")).first()[0]
+    previous = stored.where(F.col("run_date") == F.lit(last).cast("date"))
+    return _alerts(run_over_run(scores.withColumn("prev_run", F.lit(last).cast("date")), previous))
+
+
+def _alerts(compared: DataFrame) -> DataFrame:
+    high = F.col("risk_tier").isin("HIGH", "CRITICAL")
+    rose = F.col("prev_tier").isNotNull() & (tier_rank("risk_tier") > tier_rank("prev_tier"))
+    return compared.where(high | rose).select(
+        "domain_id", "run_date", "prev_run", "composite_score", "prev_score", "score_change", "risk_tier", "prev_tier",
+        "top_driver", "prev_driver",
+        F.concat_ws(",", F.when(high, F.lit("high_tier")), F.when(rose, F.lit("tier_rose"))).alias("alert_reason"))
 
 
 def latest_alerts(trend: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ unrounded.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,9 +59,23 @@ def lineitem_metrics(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def lineitem_dates(spark: SparkSession, base: str) -> DataFrame:
-    """The days of ``lineitem_metrics`` from the line items alone: each belongs to an order, so no join is needed."""
-    return read_table(spark, base, "lineitem").select(F.to_date("l_shipdate").alias("snapshot_date"))
+def lineitem_dates(spark: SparkSession, base: str, days: int = 7) -> DataFrame:
+    """The last day of ``lineitem_metrics``, as one row: the newest line item that has its order.
+
+    Only the newest days' order keys meet the orders.  If none of them has
+    one, the next days before are taken, eight times as many each time.
+    """
+    shipped = F.to_date("l_shipdate")
+    li = read_table(spark, base, "lineitem").select("l_orderkey", shipped.alias("snapshot_date"))
+    orders = read_table(spark, base, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    first, upto = li.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    last = None
+    while last is None and upto is not None and upto >= first:
+        since = max(first, upto - dt.timedelta(days=days - 1)) if days < (upto - first).days else first
+        recent = li.where(F.col("snapshot_date").between(F.lit(since), F.lit(upto)))
+        last = recent.join(orders, "l_orderkey", "left_semi").agg(F.max("snapshot_date")).first()[0]
+        upto, days = since - dt.timedelta(days=1), days * 8
+    return spark.createDataFrame([(last,)], "snapshot_date date")
 
 
 def lineitem_domains(spark: SparkSession, base: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.config import DEMO_CENTROIDS, EVENTS, FEATURES, LINEITEM, REFERENCE, PipelineConfig
+from domainpulse.config import DEMO_CENTROIDS, EVENTS, FEATURES, LINEITEM, REFERENCE, TIER_LABELS, PipelineConfig
 from domainpulse.functions.rounding import round_half_up
 from domainpulse.operators import cluster as cluster_ops
 from domainpulse.operators import features as feature_ops
@@ -213,6 +213,28 @@ def q_cluster_tiers(spark, base):
     return cents.withColumn("training_cost", F.lit(cost)).withColumn("seed", F.lit(seed))
 
 
+@query("kmeans_invariants")
+def q_kmeans_invariants(spark, base):
+    """What must hold of any converged fit, per domain: its label is one of k, no other cluster's mean is much
+    nearer than its own, its tier goes by the rank of its cluster's mean, and the fit costs no more than fixed centroids."""
+    scaled = cut_lineage(feature_ops.standardise(events_features(spark, base)))
+    centers, cost, _ = cluster_ops.fit_kmeans(scaled, EVENTS.cluster)
+    labelled = cluster_ops.assign_clusters(scaled, centers)
+    means = labelled.groupBy("cluster_label").agg(*[F.avg(c).alias(c) for c in feature_ops.SCALED]).orderBy("cluster_label").collect()
+    means = [[r[c] for c in feature_ops.SCALED] for r in means]  # k rows
+    severity = [sum(m) for m in means]
+    fixed = cluster_ops.assign_by_original_id(scaled, DEMO_CENTROIDS).agg(F.sum("dist")).first()[0]
+    near = cluster_ops.assign_by_original_id(labelled, means)
+    own = F.element_at(F.array(*[
+        sum((F.col(c) - F.lit(v)) * (F.col(c) - F.lit(v)) for c, v in zip(feature_ops.SCALED, m)) for m in means]), F.col("cluster_label") + 1)
+    return near.select(
+        "domain_id", F.lit(len(means)).alias("clusters"),
+        F.col("cluster_label").between(0, EVENTS.cluster.k - 1).alias("label_known"),
+        (F.sqrt(own) <= F.sqrt("dist") + F.lit(0.05)).alias("own_mean_nearest"),
+        (F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS]), F.col("cluster_label") + 1) == F.col("risk_tier")).alias("tier_by_rank"),
+        F.lit(severity == sorted(severity)).alias("ranked_by_severity"), F.lit(cost <= fixed).alias("cheaper_than_fixed"))
+
+
 @query("tier_profile")
 def q_tier_profile(spark, base):
     prof = cluster_ops.tier_profile(events_clustered(spark, base))

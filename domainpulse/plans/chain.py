@@ -3,8 +3,9 @@
 validate -> KPI rollup -> gaps -> features -> k-means -> scores.  Frames are
 passed along (no file hand-offs between stages); the KPI rollup, which
 every later stage reads, is checkpointed into the shared checkpoint folder
-so its lineage back to the raw scan is cut, and the feature matrix is
-cached for the k-means restarts.
+so its lineage back to the raw scan is cut; features and standardised
+features are projections of it.  Nothing is cached.  Checkpoints last as
+long as the result is read: ``session.intermediates`` bounds their life.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from domainpulse.config import PipelineConfig, REFERENCE
 from domainpulse.operators import cluster as cluster_ops
@@ -37,6 +39,7 @@ class ChainResult:
     centers: list
     cost: float | None
     seed: int | None
+    alerts: DataFrame | None = None
 
 
 def run_chain(
@@ -46,7 +49,6 @@ def run_chain(
     centers=None,
     run_date: str | dt.date | None = None,
     validate: bool = True,
-    parallel_fits: int | None = None,
     report: DataFrame | None = None,
 ) -> ChainResult:
     """Score every domain of ``metrics``.
@@ -60,11 +62,11 @@ def run_chain(
         quality.raise_on_failure(report)
     kpi = cut_lineage(kpi_ops.kpi_summary(metrics, cfg.window_days))
     gaps = gap_ops.gap_candidates(kpi, domains, cfg.gaps)
-    feats = feature_ops.build_features(kpi).cache()
-    scaled = feature_ops.standardise(feats).cache()
+    feats = feature_ops.build_features(kpi)
+    scaled = feature_ops.standardise(feats)
     cost = seed = None
     if centers is None:
-        centers, cost, seed = cluster_ops.fit_kmeans(scaled, cfg.cluster, parallelism=parallel_fits)
+        centers, cost, seed = cluster_ops.fit_kmeans(scaled, cfg.cluster)
     clustered = cluster_ops.label_features(feats, centers)
     scores = score_ops.risk_scores(clustered, cfg.score, run_date)
     return ChainResult(report, kpi, gaps, feats, scaled, clustered, scores, centers, cost, seed)
@@ -124,13 +126,28 @@ def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_
 
 
 def run_stored(spark: SparkSession, store_dir: str, cfg: PipelineConfig = REFERENCE, **kwargs) -> ChainResult:
-    """The chain over the stores written by ``ingest_stage``; validation is audited."""
+    """The chain over the stores written by ``ingest_stage``; validation is audited.
+
+    The stores are checked as their files are: a column that no file holds is
+    a FAILED issue.  The scores are kept per run (``risk_scores``, by
+    ``run_date``); ``alerts`` compares them with the run stored before, and
+    is appended to ``risk_alerts``.
+    """
     from domainpulse import schemas
+    from domainpulse.operators import trend
     from domainpulse.sources import sinks
 
     base = store_dir.rstrip("/")
-    domains = sinks.read_store(spark, f"{base}/domains", schemas.DOMAINS)
-    metrics = sinks.read_store(spark, f"{base}/coverage_metrics", schemas.METRICS)
+    domains = sinks.read_as_found(spark, f"{base}/domains", schemas.DOMAINS)
+    metrics = sinks.read_as_found(spark, f"{base}/coverage_metrics", schemas.METRICS)
     report = quality.validation_report(domains, metrics)
     sinks.append_audit(spark, report, f"{base}/audit_log")
-    return run_chain(domains, metrics, cfg, validate=True, report=report, **kwargs)
+    result = run_chain(domains, metrics, cfg, validate=True, report=report, **kwargs)
+    # materialised: the run's rows are compared and stored as one result
+    result.scores = cut_lineage(result.scores)
+    run_date = result.scores.agg(F.max("run_date")).first()[0]
+    stored = sinks.read_store(spark, f"{base}/risk_scores", schemas.RISK_SCORES)
+    result.alerts = cut_lineage(trend.alerts_of_run(result.scores, stored, run_date))
+    sinks.append_runs(result.scores, f"{base}/risk_scores")
+    sinks.append_runs(result.alerts, f"{base}/risk_alerts")
+    return result

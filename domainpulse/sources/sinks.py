@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse import schemas
@@ -21,6 +21,22 @@ def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
+def read_as_found(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stored table with those of its schema's columns that its files hold, in order; an absent table is empty.
+
+    ``read_store`` reads a column that no file holds as nulls.  Here the files'
+    own footers tell the columns (merged over all files, a distributed pass
+    over the footers), so that a check of the contract sees what is missing.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+    return found.select(*[f.name for f in schema.fields if f.name in found.columns])
+
+
 def with_metric_columns(df: DataFrame) -> DataFrame:
     """Stored metric columns in order; a missing created_at becomes the load time."""
     if "created_at" not in df.columns:
@@ -62,7 +78,9 @@ def append_metrics(spark: SparkSession, incoming: DataFrame, path: str, domains:
     stored = stored_for_dates(read_store(spark, path, schemas.METRICS), incoming)
     # Reliable checkpoint: the append never re-reads the path it is writing to,
     # even if executors (and cached blocks) are lost mid-write.
-    fresh = cut_lineage(new_metrics(incoming, stored.select("domain_id", "snapshot_date")))
+    counted = Observation()
+    fresh = cut_lineage(new_metrics(incoming, stored.select("domain_id", "snapshot_date")).observe(
+        counted, F.count(F.lit(1)).alias("rows")))
     if strict_fk:
         if domains is None:
             raise ValueError("strict_fk needs the domains table")
@@ -72,7 +90,7 @@ def append_metrics(spark: SparkSession, incoming: DataFrame, path: str, domains:
         if found["ids"]:
             raise ValueError(f"foreign key violation: {found['rows']} metric row(s) reference "
                              f"{found['ids']} unknown domain_id(s)")
-    n = fresh.count()
+    n = counted.get["rows"]
     if n:
         fresh.write.mode("append").partitionBy("snapshot_date").parquet(path)
     return n
@@ -81,8 +99,9 @@ def append_metrics(spark: SparkSession, incoming: DataFrame, path: str, domains:
 def append_domains(spark: SparkSession, incoming: DataFrame, path: str, arrival: str = "arrival") -> int:
     """W1 + I2: insert-or-ignore into the domain store."""
     stored = read_store(spark, path, schemas.DOMAINS)
-    fresh = cut_lineage(new_domains(incoming, stored, arrival))
-    n = fresh.count()
+    counted = Observation()
+    fresh = cut_lineage(new_domains(incoming, stored, arrival).observe(counted, F.count(F.lit(1)).alias("rows")))
+    n = counted.get["rows"]
     if n:
         fresh.write.mode("append").parquet(path)
     return n
@@ -99,9 +118,9 @@ def export(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | N
         writer.format(fmt).save(path)
 
 
-def append_scores(scores: DataFrame, path: str) -> None:
-    """Keep each run's scores: the run's ``run_date`` partition is written, other runs stay."""
-    scores.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
+def append_runs(rows: DataFrame, path: str) -> None:
+    """Keep each run's rows: the run's ``run_date`` partition is written, other runs stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
 
 
 def append_audit(spark: SparkSession, issues: DataFrame, path: str, run_ts=None) -> int:
@@ -111,8 +130,9 @@ def append_audit(spark: SparkSession, issues: DataFrame, path: str, run_ts=None)
     stored = read_store(spark, path, schemas.AUDIT_LOG)
     last = stored.agg(F.max("run_id")).first()[0] or 0
     # Materialised once, so the stamped run_ts and ids are the ones written.
-    rows = cut_lineage(audit_rows(issues, first_run_id=last + 1, run_ts=run_ts))
-    n = rows.count()
+    counted = Observation()
+    rows = cut_lineage(audit_rows(issues, first_run_id=last + 1, run_ts=run_ts).observe(counted, F.count(F.lit(1)).alias("rows")))
+    n = counted.get["rows"]
     if n:
         rows.write.mode("append").parquet(path)
     return n

@@ -5,7 +5,7 @@ import pytest
 from domainpulse.config import DEMO_CENTROIDS, FEATURES, ClusterParams
 from domainpulse.operators import cluster as co
 from domainpulse.operators import features as fo
-from domainpulse.operators.ordinal import exact_median, rank_by
+from domainpulse.operators.ordinal import exact_median, exact_medians, rank_by
 
 
 def _kpi(spark, rows):
@@ -28,6 +28,27 @@ def test_exact_median_odd_even(spark):
     assert exact_median(df2, "x") == 3.0
 
 
+def test_medians_of_several_columns_in_a_constant_number_of_jobs(spark):
+    import random
+    import statistics
+
+    rnd = random.Random(9)
+    rows = [tuple(rnd.choice([None, 7.0, rnd.randint(-20, 20) / 4, rnd.gauss(0, 50)]) for _ in range(5)) + (None,) for _ in range(700)]
+    df = spark.createDataFrame(rows, ", ".join(f"x{j} double" for j in range(6))).cache()
+    df.count()
+    want = {f"x{j}": statistics.median([r[j] for r in rows if r[j] is not None]) for j in range(5)} | {"x5": None}
+    sc, jobs = spark.sparkContext, {}
+    for n in (1, 6):
+        sc.setJobGroup(f"medians-{n}", "")
+        got = exact_medians(df, [f"x{j}" for j in range(n)], partitions=4)
+        jobs[n] = len(sc.statusTracker().getJobIdsForGroup(f"medians-{n}"))
+        assert got == {f"x{j}": want[f"x{j}"] for j in range(n)}
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    df.unpersist()
+    assert jobs[6] <= jobs[1] + 1  # the plan may part one exchange more
+    assert exact_medians(df.limit(0), ["x0", "x1"]) == {"x0": None, "x1": None}
+
+
 def test_guard(spark):
     with pytest.raises(ValueError):
         fo.build_features(_kpi(spark, []))
