@@ -44,18 +44,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse.llm.common import TEXT_BATCH, documents, stored, text_or_empty
 
-LOOKUP_BITS, HEAD_BITS, TAILS = 19, 15, 128
+LOOKUP_BITS, HEAD_BITS, TAILS = 20, 13, 256
 #: Rows of the class table and of the member table (powers of two), rows of a block that is handed on.
 CLASS_ROWS, MEMBER_ROWS, BLOCK = 1 << 14, 1 << 15, 64
 #: Slices of the training documents; round k learns from those of its range.
-SLICES, ROUND_ENDS = 16, (1, 4, 16)
+SLICES, ROUND_ENDS = 16, (2, 16)
 #: Tokens of a minibatch, of a scored batch, and of a training task; step width; tasks per averaging group.
-STEP, BATCH, TASK_TOKENS, RATE, FAN_IN = 1024, 1 << 17, 4_000_000, 0.25, 64
+STEP, BATCH, TASK_TOKENS, RATE, FAN_IN = 2048, 1 << 17, 4_000_000, 0.25, 64
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 300_000
 #: The end of a text: not a word, as words hold no white space.
@@ -114,7 +115,8 @@ class Vocabulary:
         self.tail_tokens = np.array([tails.get(t, (0, 0))[0] for t in range(TAILS)], dtype=np.float64)
         self.tail_words = np.array([tails.get(t, (0, 0))[1] for t in range(TAILS)], dtype=np.float64)
         # member before ranking: a head's own index, else heads + its tail group
-        raw = np.array([i if i < heads else heads + tail_group(w) for i, (w, _) in enumerate(words)], dtype=np.int64)
+        raw = np.arange(len(words))
+        raw[heads:] = heads + tail_groups_of(w for w, _ in words[heads:])
         mass = np.concatenate([self.counts[:heads], self.tail_tokens]) + PRIOR
         order = np.argsort(-mass, kind="stable")
         rank = np.empty(self.members, dtype=np.int64)
@@ -138,18 +140,20 @@ class Vocabulary:
         self.word_share[heads:] = np.log10(self.counts[heads:]) - self.tail_size[inside]
         self.base_unit = math.log10(train_tokens + 0.5 * (distinct + 1))
 
-    def number(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(dictionary index or -1, member) of each word, and the words of index -1 in order."""
+    def number(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """(dictionary index or -1, member) of each word, and the words of index -1 in order with their tail groups."""
         found = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
         member = self.word_member[found] if len(self.word_member) else np.zeros(len(words), dtype=np.int64)
         at = np.flatnonzero(found < 0)
         rare = [words[i] for i in at]
-        member[at] = self.tail_member[np.fromiter(map(tail_group, rare), dtype=np.int64, count=len(rare))]
-        return found, member, rare
+        groups = tail_groups_of(rare)
+        member[at] = self.tail_member[groups]
+        return found, member, rare, groups
 
 
-def tail_group(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % TAILS
+def tail_groups_of(words: Iterable[bytes]) -> np.ndarray:
+    crc = zlib.crc32
+    return np.array([crc(w[-2:]) for w in words], dtype=np.int64) % TAILS
 
 
 def tail_groups(word: str = "word") -> Column:
@@ -188,9 +192,9 @@ class Tables:
                                    np.zeros((MEMBER_ROWS, vocabulary.width), np.float32))
 
     def rows(self, features: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = (features & np.uint64(CLASS_ROWS - 1)).astype(np.int64)
+        first = (features & np.uint64(CLASS_ROWS - 1)).astype(np.uint16)  # 16 bits sort by radix
         second = _mix(features + (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB))
-        return first, (second & np.uint64(MEMBER_ROWS - 1)).astype(np.int64)
+        return first, (second & np.uint64(MEMBER_ROWS - 1)).astype(np.uint16)
 
     @staticmethod
     def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,11 +243,15 @@ class Tables:
                 gradient[here, pick] += 1.0
                 flat = rows.ravel()
                 order = np.argsort(flat, kind="stable")
-                row, begin = np.unique(flat[order], return_index=True)
+                placed = flat[order]
+                begin = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]]))
+                row = placed[begin]
                 added = np.add.reduceat(np.take(gradient, order % len(m), axis=0), begin, axis=0)
-                squares[t][row] += np.einsum("ij,ij->i", added, added) / added.shape[1]
-                touched[t][row] += np.diff([*begin, len(flat)]).astype(np.float32)
-                self.weights[t][row] += added * (RATE / np.sqrt(squares[t][row] + 1.0))[:, None]
+                past = squares[t][row] + np.einsum("ij,ij->i", added, added) / added.shape[1]
+                squares[t][row] = past
+                touched[t][row] += np.diff(begin, append=len(flat))
+                added *= (RATE / np.sqrt(past + 1.0))[:, None]
+                self.weights[t][row] += added
 
 
 def _token_batches(frames: Iterable[pd.DataFrame], size: int = BATCH):
@@ -279,7 +287,7 @@ def _train(shipped):
         squares = [np.zeros(len(w), np.float32) for w in before]
         touched = [np.zeros(len(w), np.float32) for w in before]
         for _, words, lengths in _token_batches(frames):
-            _, member, _ = tables.vocabulary.number(words)
+            member = tables.vocabulary.number(words)[1]
             learned.learn(member, context_features(member, _starts(lengths)[1]), squares, touched)
         task = uuid.uuid4().int >> 65
         for t in range(len(before)):
@@ -348,19 +356,21 @@ class LanguageModel:
         spark = docs.sparkSession
         kind = docs.schema["doc_id"].dataType.simpleString()
         shipped = spark.sparkContext.broadcast(self.tables)
-        first = docs.select("doc_id", "text").mapInPandas(
+        first = docs.select("doc_id", "text").mapInArrow(
             _score(shipped), f"row string, doc_id {kind}, n_tokens long, n_known long, base double, own double, "
-                             "rare array<struct<word:binary,n:int,fresh:double>>")
+                             "rare array<binary>, times array<int>")
         first = stored(first, "lm-scores", TEXT_BATCH)
         shipped.destroy()
-        rare = first.select("row", F.explode("rare").alias("r")).select("row", "r.*")
+        rare = first.select("row", F.explode(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("n"))).alias("r")).select(
+            "row", "r.*")
+        fresh = F.array(*[F.lit(float(v)) for v in self.tables.vocabulary.tail_new])  # TAILS numbers
         counts = self.counts.select(F.col("word").alias("_word"), F.col("n").alias("c"))
         met = rare.join(counts, F.col("word") == F.col("_word"), "left")
         n, c = F.col("n"), F.col("c")
         added = met.groupBy(F.col("row").alias("_row")).agg(
             F.sum(F.when(c.isNotNull(), n).otherwise(0)).alias("known"),
             F.sum(n * F.log10(F.coalesce(c, F.lit(0)) + 0.5)).alias("rare_base"),
-            F.sum(n * F.coalesce(F.log10(c.cast("double")), F.col("fresh"))).alias("rare_own"))
+            F.sum(n * F.coalesce(F.log10(c.cast("double")), F.element_at(fresh, tail_groups() + 1))).alias("rare_own"))
         unit = self.tables.vocabulary.base_unit
         plus = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
         return first.join(added, F.col("row") == F.col("_row"), "left").select(
@@ -371,33 +381,39 @@ class LanguageModel:
 
 
 def _score(shipped):
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each row's scores as far as the dictionary goes, and its other words with how often it holds them."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: Tables = shipped.value
         v = tables.vocabulary
         task, k = uuid.uuid4().hex, 0
         count_log = np.append(np.log10(v.counts + 0.5), 0.0)  # the last one stands for index -1
         share = np.append(v.word_share, 0.0)
-        for rows, words, lengths in _token_batches(frames):
-            found, member, rare = v.number(words)
-            begin, marks = _starts(lengths)
-            own = tables.log_probabilities(member, context_features(member, marks)) / LOG10 + share[found]
-            rest, at = [], 0
-            missing = np.add.reduceat((found < 0).astype(np.int64), begin)
-            for m in missing.tolist():
-                some = []
-                for w, n in Counter(rare[at:at + m]).items():
-                    t = tail_group(w)
-                    # the word's share without its count, which the join brings; a new word's whole share
-                    some.append({"word": w, "n": n, "fresh": float(v.tail_new[t])})
-                rest.append(some)
-                at += m
-            groups = np.fromiter(map(tail_group, rare), dtype=np.int64, count=len(rare))
-            own[found < 0] -= v.tail_size[groups]
-            yield pd.DataFrame({
-                "row": [f"{task}{k + i}" for i in range(len(rows))], "doc_id": rows["doc_id"].to_numpy(), "n_tokens": lengths,
-                "n_known": np.add.reduceat((found >= 0).astype(np.int64), begin),
-                "base": np.add.reduceat(count_log[found], begin), "own": np.add.reduceat(own, begin), "rare": rest})
-            k += len(rows)
+        for batch in batches:
+            rows = pd.DataFrame({"text": batch.column("text").to_pylist()})
+            for some, words, lengths in _token_batches([rows]):
+                found, member, rare, groups = v.number(words)
+                begin, marks = _starts(lengths)
+                own = tables.log_probabilities(member, context_features(member, marks)) / LOG10 + share[found]
+                # a word's share of its tail group less its count, which the join brings
+                own[found < 0] -= v.tail_size[groups]
+                sums = lambda values: pa.array(np.add.reduceat(values, begin))
+                at, kept, times, ends = 0, [], [], [0]
+                for m in np.add.reduceat((found < 0).astype(np.int64), begin).tolist():
+                    held = Counter(rare[at:at + m])
+                    kept += held.keys()
+                    times += held.values()
+                    ends.append(len(kept))
+                    at += m
+                ends = pa.array(ends, pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f"{task}{k + i}" for i in range(len(some))]),
+                    batch.column("doc_id").slice(int(some.index[0]), len(some)), pa.array(lengths),
+                    sums((found >= 0).astype(np.int64)), sums(count_log[found]), sums(own),
+                    pa.ListArray.from_arrays(ends, pa.array(kept, pa.binary())),
+                    pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))],
+                    ["row", "doc_id", "n_tokens", "n_known", "base", "own", "rare", "times"])
+                k += len(some)
 
     return score
 
