@@ -7,9 +7,9 @@ A token's probability is a product:
 Members are the frequent training words, one each, and ``TAILS`` groups of all
 other words by their last two bytes.  Members are ranked by count and cut
 into classes of equal size.  Both softmaxes start from the members' counts
-and add one weight row per context feature: the word before, the pair before,
-and the skips to the second and third word before, hashed into tables of
-fixed size.  Inside a tail group a word has its Witten-Bell share, and the
+and add one weight row per context feature (``CLASS_GROUPS``,
+``MEMBER_GROUPS``): the word before, the pair before, and the skips to the
+second and third word before, hashed into tables of fixed size.  Inside a tail group a word has its Witten-Bell share, and the
 group's share for new words belongs to any word that training did not meet.
 
 1. Every training token is counted (per task, then summed by word): N, V and
@@ -56,14 +56,17 @@ CLASS_ROWS, MEMBER_ROWS, BLOCK = 1 << 14, 1 << 15, 64
 #: Slices of the training documents; round k learns from those of its range.
 SLICES, ROUND_ENDS = 16, (2, 16)
 #: Tokens of a minibatch, of a scored batch, and of a training task; step width; tasks per averaging group.
-STEP, BATCH, TASK_TOKENS, RATE, FAN_IN = 2048, 1 << 17, 4_000_000, 0.25, 64
+STEP, BATCH, TASK_TOKENS, RATE, FAN_IN = 4096, 1 << 17, 4_000_000, 0.25, 64
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 300_000
 #: The end of a text: not a word, as words hold no white space.
 END = b"\n"
 #: Mass added to each member's count.
 PRIOR = 0.5
-GROUPS = 4
+#: Which context features weigh on the class and on the member: the word before (0), the pair before (1), skips (2, 3).
+CLASS_GROUPS, MEMBER_GROUPS = [0, 1, 2], [0, 2, 3]
+#: Largest logit.
+TOP = np.float32(60.0)
 LOG10 = math.log(10.0)
 
 
@@ -167,7 +170,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def context_features(member: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(GROUPS, tokens) hashes of each token's context; ``starts`` marks the first token of each text."""
+    """(4, tokens) hashes of each token's context; ``starts`` marks the first token of each text."""
     n = len(member)
     place = np.arange(n) - np.maximum.accumulate(np.where(starts, np.arange(n), 0))
     back = []
@@ -192,64 +195,63 @@ class Tables:
                                    np.zeros((MEMBER_ROWS, vocabulary.width), np.float32))
 
     def rows(self, features: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = (features & np.uint64(CLASS_ROWS - 1)).astype(np.uint16)  # 16 bits sort by radix
-        second = _mix(features + (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB))
+        first = (features[CLASS_GROUPS] & np.uint64(CLASS_ROWS - 1)).astype(np.uint16)  # 16 bits sort by radix
+        second = _mix(features[MEMBER_GROUPS] + (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB))
         return first, (second & np.uint64(MEMBER_ROWS - 1)).astype(np.uint16)
 
-    @staticmethod
-    def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probabilities, log of their denominators)."""
-        top = logits.max(axis=1, keepdims=True)
-        np.exp(logits - top, out=logits)
-        total = logits.sum(axis=1, keepdims=True)
-        logits /= total
-        return logits, (np.log(total) + top)[:, 0]
-
-    def _logits(self, table: int, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def _exponentials(self, table: int, bias: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(e to the logits, their sums)."""
         out = np.take(self.weights[table], rows[0], axis=0)
         for r in rows[1:]:
             out += np.take(self.weights[table], r, axis=0)
         out += bias
-        return out
+        np.minimum(out, TOP, out=out)
+        np.exp(out, out=out)
+        return out, out @ np.ones(out.shape[1], np.float32)
+
+    def _factors(self, member: np.ndarray, features: np.ndarray):
+        """(table, weight rows, bias, the token's own column) of the class and of the member in it."""
+        cls, inside = np.divmod(member, self.vocabulary.width)
+        first, second = self.rows(features, cls)
+        return (0, first, self.vocabulary.class_bias, cls), (1, second, self.vocabulary.member_bias[cls], inside)
 
     def log_probabilities(self, member: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log P(member | context) of each token."""
-        out = np.empty(len(member))
-        width = self.vocabulary.width
+        out = np.zeros(len(member))
         for i in range(0, len(member), STEP):
-            m = member[i:i + STEP]
-            cls, inside = m // width, m % width
-            here = np.arange(len(m))
-            total = np.zeros(len(m))
-            for t, rows, bias, pick in zip((0, 1), self.rows(features[:, i:i + STEP], cls),
-                                           (self.vocabulary.class_bias, self.vocabulary.member_bias[cls]), (cls, inside)):
-                logits = self._logits(t, bias, rows)
-                own = logits[here, pick].astype(np.float64)
-                total += own - self._softmax(logits)[1]
-            out[i:i + STEP] = total
+            part = slice(i, i + STEP)
+            here = np.arange(len(member[part]))
+            for table, rows, bias, pick in self._factors(member[part], features[:, part]):
+                powers, total = self._exponentials(table, bias, rows)
+                # a member so unlikely that its power is 0 keeps the least number above 0
+                out[part] += np.log(np.maximum(powers[here, pick].astype(np.float64) / total, 1e-300))
         return out
 
     def learn(self, member: np.ndarray, features: np.ndarray, squares: list[np.ndarray], touched: list[np.ndarray]) -> None:
         """Gradient steps through the tokens, with a step width per row that shrinks with its past gradients."""
-        width = self.vocabulary.width
         for i in range(0, len(member), STEP):
-            m = member[i:i + STEP]
-            cls, inside = m // width, m % width
-            here = np.arange(len(m))
-            for t, rows, bias, pick in zip((0, 1), self.rows(features[:, i:i + STEP], cls),
-                                           (self.vocabulary.class_bias, self.vocabulary.member_bias[cls]), (cls, inside)):
-                gradient, _ = self._softmax(self._logits(t, bias, rows))
-                np.negative(gradient, out=gradient)
+            part = slice(i, i + STEP)
+            n = len(member[part])
+            here = np.arange(n)
+            for t, rows, bias, pick in self._factors(member[part], features[:, part]):
+                gradient, total = self._exponentials(t, bias, rows)
+                gradient *= (-1.0 / total)[:, None]
                 gradient[here, pick] += 1.0
                 flat = rows.ravel()
                 order = np.argsort(flat, kind="stable")
                 placed = flat[order]
                 begin = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]]))
-                row = placed[begin]
-                added = np.add.reduceat(np.take(gradient, order % len(m), axis=0), begin, axis=0)
+                row, times = placed[begin], np.diff(begin, append=len(flat))
+                source = order % n
+                added = np.take(gradient, source[begin], axis=0)  # rows met once are done
+                again = np.flatnonzero(times > 1)
+                if len(again):
+                    many = np.repeat(times > 1, times)
+                    starts = np.cumsum(times[again]) - times[again]
+                    added[again] = np.add.reduceat(np.take(gradient, source[many], axis=0), starts, axis=0)
                 past = squares[t][row] + np.einsum("ij,ij->i", added, added) / added.shape[1]
                 squares[t][row] = past
-                touched[t][row] += np.diff(begin, append=len(flat))
+                touched[t][row] += times
                 added *= (RATE / np.sqrt(past + 1.0))[:, None]
                 self.weights[t][row] += added
 
