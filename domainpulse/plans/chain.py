@@ -24,7 +24,7 @@ from domainpulse.operators import kpi as kpi_ops
 from domainpulse.operators import quality
 from domainpulse.operators import score as score_ops
 from domainpulse.session import cut_lineage
-from domainpulse.sources.files import read_domains_csv, read_metrics_csv, with_arrival
+from domainpulse.sources.files import read_domains_csv, read_metrics_csv
 
 
 @dataclass
@@ -113,7 +113,7 @@ def ingest_stage(spark: SparkSession, domains_csv: str, metrics_csv: str, store_
     base = store_dir.rstrip("/")
     audit = f"{base}/audit_log"
     try:
-        incoming = with_arrival(read_domains_csv(spark, domains_csv))
+        incoming = read_domains_csv(spark, domains_csv, arrival="arrival")
         n_domains = sinks.append_domains(spark, incoming, f"{base}/domains")
         sinks.append_audit(spark, sinks.audit_event(spark, "ingest.domains", "SUCCESS", n_domains), audit)
         n_metrics = sinks.append_metrics(spark, read_metrics_csv(spark, metrics_csv), f"{base}/coverage_metrics",

@@ -75,8 +75,19 @@ def intermediates(spark: SparkSession) -> Iterator[list[str]]:
     finally:
         _made.reset(token)
         for path in made:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, files = _in_files(spark, path)
+            files.delete(folder, True)
+
+
+def _in_files(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's own readers and writers reach it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _in_files(spark, path)
+    return files.exists(folder)
 
 
 def made_for_run(path: str) -> str:

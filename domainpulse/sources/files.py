@@ -1,12 +1,15 @@
 """File scans with explicit schemas (no inference).
 
 CSV columns are bound by the names in the header: any order, extra columns
-are dropped, missing ones raise.  Files of one delivery must have the same
-header (Spark checks each file's, and a differing one fails the read).
+are dropped, missing ones raise.  Files of one delivery may have different
+headers: they are grouped by header and each group is one scan.
 """
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,20 +49,52 @@ def number(name: str, kind: str) -> Column:
     return F.coalesce(present(name).try_cast("bigint"), F.when(value == F.floor(value), value.cast("bigint")))
 
 
-def read_headed_csv(spark: SparkSession, path: str, required, what: str) -> DataFrame:
-    """All columns as text under their header names, contract-checked."""
-    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    return schemas.require_columns(df, required, what)
+def headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(header line, files) of a delivery.
+
+    One pass over the lines, which parses nothing and keeps one line per
+    file.  What reaches the driver is the list of files, which it holds anyway
+    to plan the scan.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value")
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("header"))
+    same = F.regexp_replace("header", "^\ufeff|\r$", "")
+    grouped = first.groupBy(same.alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return sorted(((r["header"], [_literal(f) for f in r["files"]]) for r in grouped), key=lambda g: g[1])
+
+
+def _literal(file: str) -> str:
+    """A file's URL as a path that names just this file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+
+
+def read_headed_csv(spark: SparkSession, path: str, required, what: str, arrival: str | None = None) -> DataFrame:
+    """All columns as text under their header names, contract-checked per header; absent extra columns are null.
+
+    ``arrival`` names a column for each row's place in the delivery.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    groups = headers(spark, path)
+    if not groups:
+        return schemas.require_columns(reader.csv(path), required, what)
+    out = None
+    for _, files in groups:
+        rows = schemas.require_columns(reader.csv(files), required, f"{what} {files[0]}")
+        rows = with_arrival(rows, arrival) if arrival else rows
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
-def read_domains_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Domain dimension from CSV with a header, contract-checked and projected."""
-    df = read_headed_csv(spark, path, REQUIRED_DOMAIN_COLUMNS, "domains file")
-    return df.select(*[present(c).alias(c) for c in REQUIRED_DOMAIN_COLUMNS])
+def read_domains_csv(spark: SparkSession, path: str, arrival: str | None = None) -> DataFrame:
+    """Domain dimension from CSV with a header, contract-checked and projected (with ``arrival`` if named)."""
+    df = read_headed_csv(spark, path, REQUIRED_DOMAIN_COLUMNS, "domains file", arrival)
+    return df.select(*[present(c).alias(c) for c in REQUIRED_DOMAIN_COLUMNS], *([arrival] if arrival else []))
 
 
 def with_arrival(df: DataFrame, name: str = "arrival") -> DataFrame:
-    """A read file frame with each row's place in the delivery: file path, split, row of the split."""
+    """A frame of one file scan with each row's place in the delivery: file path, split, row of the split."""
     return df.withColumn(name, F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row")))

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from domainpulse.operators.cluster import cluster_features
-from domainpulse.sources.files import MISSING, read_domains_csv, read_metrics_csv
+from domainpulse.sources.files import MISSING, headers, read_domains_csv, read_metrics_csv
 from domainpulse.streaming.incremental import incremental_ingest
 
 NAMES = ["domain_id", "snapshot_date", "total_records", "null_rate", "stale_rate", "update_lag_hrs", "missing_fields"]
@@ -42,11 +42,45 @@ def test_a_missing_column_raises(spark, scratch, gone):
         incremental_ingest(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/ckpt")
 
 
-def test_files_of_different_headers_fail_and_never_swap(spark, scratch):
-    write(f"{scratch}/in", "a.csv", NAMES)
-    write(f"{scratch}/in", "b.csv", [*NAMES[:3], "stale_rate", "null_rate", *NAMES[5:]])
-    with pytest.raises(Exception, match="(?i)header"):
-        read_metrics_csv(spark, f"{scratch}/in").collect()
+def test_files_of_different_headers_load_by_name(spark, scratch):
+    """Three orders of columns, with and without the optional ones, in one delivery: batch and stream agree."""
+    write(f"{scratch}/in", "a.csv", NAMES, domain_id="A")
+    write(f"{scratch}/in", "b.csv", [*NAMES[:3], "stale_rate", "null_rate", *NAMES[5:], "created_at"], domain_id="B")
+    write(f"{scratch}/in", "c 1.csv", ["extra", *NAMES[::-1]], domain_id="C")
+    write(f"{scratch}/in", "d.csv", NAMES, domain_id="D")
+    batch = sorted(tuple(r)[:7] for r in read_metrics_csv(spark, f"{scratch}/in").collect())
+    assert batch == [(d, *WANT[1:]) for d in "ABCD"]
+    incremental_ingest(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/ckpt")
+    stream = spark.read.parquet(f"{scratch}/store")
+    assert sorted(tuple(r) for r in stream.select(*NAMES).collect()) == batch
+    assert {r.domain_id for r in stream.where("created_at is not null").collect()} == {"B"}
+
+
+def test_files_of_one_header_are_one_scan(spark, scratch):
+    for i in range(6):
+        write(f"{scratch}/in", f"m [{i}].csv", NAMES if i % 3 else NAMES[::-1], domain_id=f"D{i}")
+    assert [len(files) for _, files in headers(spark, f"{scratch}/in")] == [2, 4]
+    assert read_metrics_csv(spark, f"{scratch}/in").count() == 6
+    plan = read_metrics_csv(spark, f"{scratch}/in")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+
+
+def test_the_file_that_lacks_a_column_is_named(spark, scratch):
+    write(f"{scratch}/in", "good.csv", NAMES)
+    write(f"{scratch}/in", "short.csv", [c for c in NAMES if c != "stale_rate"])
+    with pytest.raises(ValueError, match="(?s)short.csv.*stale_rate"):
+        read_metrics_csv(spark, f"{scratch}/in")
+    with pytest.raises(ValueError, match="(?s)stale_rate.*short.csv"):
+        incremental_ingest(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/ckpt")
+
+
+def test_quoted_cells_and_line_ends_in_the_stream(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/m.csv", "wb") as f:
+        f.write(("\ufeff" + ",".join(NAMES) + "\r\n" + '"D,1",2024-01-02,10,0.1,0.2,"3.5",4\r\n\r\n').encode())
+    incremental_ingest(spark, f"{scratch}/in", f"{scratch}/store", f"{scratch}/ckpt")
+    rows = [tuple(r) for r in spark.read.parquet(f"{scratch}/store").select(*NAMES).collect()]
+    assert rows == [("D,1", *WANT[1:])] == [tuple(r)[:7] for r in read_metrics_csv(spark, f"{scratch}/in").collect()]
 
 
 @pytest.mark.parametrize("marker", [m for m in MISSING if m])

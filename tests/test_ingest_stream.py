@@ -1,5 +1,6 @@
 """Append-safe loads, sinks and the streaming incremental load."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -144,17 +145,73 @@ def test_stream_null_keys_load_once(spark, scratch):
     assert got == [("", "2024-01-01", 10), ("D1", "None", 10), ("D2", "2024-01-01", 10)]
 
 
-def test_stream_watermark_dedupe_is_optional(spark, scratch):
+def test_stream_can_load_one_row_per_key(spark, scratch):
     rows = HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n2,D1,2024-01-01,11,0.1,0.2,3,0,\n3,D2,2024-01-02,10,0.1,0.2,3,0,\n"
     counts = {}
-    for mode in ("plain", "dedupe"):
-        land, store, ck = (os.path.join(scratch, f"{x}_{mode}") for x in ("land", "store", "ck"))
+    for one in (False, True):
+        land, store, ck = (os.path.join(scratch, f"{x}_{one}") for x in ("land", "store", "ck"))
         os.makedirs(land)
         with open(os.path.join(land, "a.csv"), "w") as f:
             f.write(rows)
-        incremental_ingest(spark, land, store, ck, dedupe_watermark="7 days" if mode == "dedupe" else None)
-        counts[mode] = sorted(r.domain_id for r in spark.read.parquet(store).collect())
-    assert counts == {"plain": ["D1", "D1", "D2"], "dedupe": ["D1", "D2"]}
+        incremental_ingest(spark, land, store, ck, one_per_key=one)
+        counts[one] = sorted(r.domain_id for r in spark.read.parquet(store).collect())
+    assert counts == {False: ["D1", "D1", "D2"], True: ["D1", "D2"]}
+
+
+def test_restarts_with_overlapping_files_equal_the_batch_load(spark, scratch):
+    """Three deliveries that overlap, each a run of its own: what is stored equals the batch load's, late days included."""
+    land, store, ck, batch = (os.path.join(scratch, x) for x in ("land", "store", "ck", "batch"))
+    os.makedirs(land)
+    day = lambda d: str(dt.date(2023, 11, 1) + dt.timedelta(days=d))
+
+    def line(i, domain, d, records):
+        return f"{i},{domain},{d if isinstance(d, str) else day(d)},{records},0.1,0.2,3,0,\n"
+
+    files = [
+        [(f"D{k}", d, 1) for k in range(4) for d in range(60, 140)] + [("D0", 60, 7), ("", 61, 1), ("D1", "", 1)],
+        [(f"D{k}", d, 2) for k in range(2, 6) for d in range(130, 150)] + [("D0", 3, 2), ("", 61, 2), ("D1", "", 2)],
+        [(f"D{k}", d, 3) for k in range(6) for d in range(0, 150, 7)] + [("D0", 60, 9), ("D9", 2000, 3)],
+    ]
+    for run, rows in enumerate(files):
+        path = os.path.join(land, f"f{run}.csv")
+        with open(path, "w") as f:
+            f.write(HEADER + "".join(line(i, *r) for i, r in enumerate(rows)))
+        sinks.append_metrics(spark, read_metrics_csv(spark, path), batch)
+        query = incremental_ingest(spark, land, store, ck)
+    names = ["domain_id", "snapshot_date", "total_records"]
+    got, want = (sorted(map(repr, spark.read.parquet(p).select(*names).collect())) for p in (store, batch))
+    assert got == want
+    # one state row per domain and span of days, not per stored row; nothing of the store is read
+    keys = spark.read.parquet(store).select("domain_id", F.floor(F.unix_date("snapshot_date") / 64)).distinct().count()
+    state = [p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]
+    assert state["numRowsTotal"] == keys < len(got) / 10
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    assert "Join" not in plan
+
+
+def test_a_store_that_the_checkpoint_does_not_know_is_refused(spark, scratch):
+    import pytest
+
+    land, store = os.path.join(scratch, "land"), os.path.join(scratch, "store")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.csv"), "w") as f:
+        f.write(HEADER + "1,D1,2024-01-01,10,0.1,0.2,3,0,\n")
+    incremental_ingest(spark, land, store, os.path.join(scratch, "ck"))
+    with pytest.raises(ValueError, match="does not know"):
+        incremental_ingest(spark, land, store, os.path.join(scratch, "other"))
+
+
+def test_every_day_of_a_span_has_its_bit(spark, scratch):
+    land, store, ck = (os.path.join(scratch, x) for x in ("land", "store", "ck"))
+    os.makedirs(land)
+    days = [str(dt.date(1969, 10, 1) + dt.timedelta(days=d)) for d in range(200)]  # before and after 1970
+    for run, part in enumerate((days[::2], days)):
+        with open(os.path.join(land, f"{run}.csv"), "w") as f:
+            f.write(HEADER + "".join(f"1,D1,{d},{run},0.1,0.2,3,0,\n" for d in part))
+        incremental_ingest(spark, land, store, ck)
+    rows = spark.read.parquet(store).collect()
+    assert sorted(str(r.snapshot_date) for r in rows) == days
+    assert sum(r.total_records for r in rows) == 100
 
 
 def test_append_reads_only_the_dates_it_delivers(spark, scratch):
