@@ -8,17 +8,20 @@ divided.  Then
    quantiles become range boundaries (only the sample reaches the driver:
    ``OVERSAMPLE`` keys per range);
 2. every row finds its range by a two-level search over the boundaries;
-   ranges above twice the mean size are sampled again and subdivided;
+   ranges above twice the mean size are sampled again and subdivided, until
+   no sample parts them any more;
 3. running sizes inside a range (a window partitioned by range) plus the
    totals of the ranges before give each row its exact place, and the place
    gives its shard: shard i holds the i-th equal part of all bytes.
 
 The boundaries only spread the work; the shards depend on the key order
 alone.  A group of equal texts of at most 1/``GROUP_PART`` of a shard stays
-in one shard (by the group's middle); a larger one is divided by rows.
+in one shard (by the group's middle), also where boundaries divide it: the
+size and start of such a text come from an aggregate over all its rows.  A
+larger group is divided by rows, as it would leave the shards unequal.
 
 Law ``bytes``: sizes are near equal; a shard is off by at most half a row,
-or half such a small group, at each end.
+or half such a group, at each end.
 
 Defined results: null text has 0 bytes (size 1) and the digest of the
 empty text; null ids come first within a text; repeated rows get separate
@@ -33,14 +36,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import documents, id_text, stored, text_or_empty, without
+from domainpulse.llm.common import documents, id_text, small, stored, text_or_empty, without
 
 SHARDS = 16
 #: Sampled keys per range, ranges per shard, and the bytes above which there are more ranges.
-OVERSAMPLE, RANGES_PER_SHARD, RANGE_BYTES = 16, 8, 1 << 28
-GROUP_PART = 50
-#: Rounds in which overfull ranges are subdivided.
-ROUNDS = 4
+OVERSAMPLE, RANGES_PER_SHARD, RANGE_BYTES = 16, 8, 1 << 31
+GROUP_PART = 10
 ADDED = ("size", "law", "shard", "slot", "grown_shard")
 PREFIX = 15  # hex digits of each digest in the range key
 
@@ -55,16 +56,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _strings(values: list[str]) -> Column:
+    """An array of strings as one literal, however many there are."""
+    return F.split(F.lit(",".join(values)), ",") if values else F.array().cast("array<string>")
+
+
 def _range_of(key: Column, bounds: list[str]) -> Column:
     """How many of the sorted boundaries are at most ``key``: a search among every step-th, then inside one step."""
     if not bounds:
         return F.lit(0)
     step = max(1, math.isqrt(len(bounds)))
-    coarse = F.array(*[F.lit(b) for b in bounds[step - 1::step]])
-    fine = F.array(*[F.array(*[F.lit(b) for b in bounds[i:i + step - 1]]).cast("array<string>")
-                     for i in range(0, len(bounds) + 1, step)])
-    passed = F.size(F.filter(coarse, lambda b: b <= key))
-    return passed * step + F.size(F.filter(F.element_at(fine, passed + 1), lambda b: b <= key))
+    passed = F.size(F.filter(_strings(bounds[step - 1::step]), lambda b: b <= key))
+    inside = F.slice(_strings(bounds), passed * step + 1, F.lit(max(1, step - 1)))
+    return passed * step + (F.size(F.filter(inside, lambda b: b <= key)) if step > 1 else F.lit(0))
 
 
 def _boundaries(keys: list[tuple[str, float]], ranges: int) -> list[str]:
@@ -97,22 +101,29 @@ def splitters(keyed: DataFrame, shards: int) -> tuple[list[str], list[tuple[int,
     total = keyed.agg(F.sum("size")).first()[0] or 0
     ranges = max(shards * RANGES_PER_SHARD, math.ceil(total / RANGE_BYTES))
     bounds = _boundaries(_sample(keyed, total, ranges * OVERSAMPLE, 1), ranges) if total else []
-    for again in range(ROUNDS + 1):
+    again = 0
+    while True:
         rows = keyed.groupBy(_range_of(F.col("_key"), bounds).alias("_range")).agg(
-            F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.max("size").alias("m")).collect()
-        found = {r["_range"]: (r["b"], r["n"], r["m"]) for r in rows}
+            F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.max("size").alias("m"),
+            F.min("_key").alias("lo"), F.max("_key").alias("hi")).collect()
+        found = {r["_range"]: (r["b"], r["n"]) for r in rows}
         mean = total / ranges
-        over = {k: b for k, (b, n, m) in found.items() if b > 2 * mean and m < b}
-        if not over or again == ROUNDS:
-            return bounds, [found.get(i, (0, 0, 0))[:2] for i in range(len(bounds) + 1)]
+        over = {r["_range"]: r["b"] for r in rows if r["b"] > 2 * mean and r["lo"] < r["hi"]}
+        sizes = [found.get(i, (0, 0)) for i in range(len(bounds) + 1)]
+        if not over:
+            return bounds, sizes
+        again += 1
         inside = keyed.withColumn("_range", _range_of(F.col("_key"), bounds)).where(F.col("_range").isin(*over))
-        more = _sample(inside, sum(over.values()), OVERSAMPLE * (again + 2) * len(over) * 4, again + 2)
+        more = _sample(inside, sum(over.values()), OVERSAMPLE * (again + 1) * len(over) * 4, again + 1)
         added = set()
         edges = [""] + bounds + ["g"]
         for k, b in over.items():
             own = [(key, w) for key, w in more if edges[k] <= key < edges[k + 1]]
             added.update(_boundaries(own, max(2, math.ceil(b / mean))))
-        bounds = sorted({*bounds, *added})
+        finer = sorted({*bounds, *added})
+        if len(finer) == len(bounds):
+            return bounds, sizes
+        bounds = finer
 
 
 def _placed(keyed: DataFrame, bounds: list[str], sizes: list[tuple[int, int]], shards: int) -> DataFrame:
@@ -123,22 +134,27 @@ def _placed(keyed: DataFrame, bounds: list[str], sizes: list[tuple[int, int]], s
         bytes_before.append(b)
         rows_before.append(n)
         b, n = b + own_b, n + own_n
-    split = [t for t in {x[:PREFIX] for x in bounds if len(x) > PREFIX}]
+    split = sorted({x[:PREFIX] for x in bounds if len(x) > PREFIX})
     order = ["_text_key", "_id_key", F.col("doc_id").asc_nulls_first(), "size"]
     in_range = Window.partitionBy("_range").orderBy(*order)
     of_text = Window.partitionBy("_range", "_text_key")
-    at = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_range") + 1)
+    at = lambda values: F.element_at(F.split(F.lit(",".join(map(str, values))), ","), F.col("_range") + 1).cast("long")
     placed = (
         keyed.withColumn("_range", _range_of(F.col("_key"), bounds))
         .withColumn("_start", F.coalesce(
             F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + at(bytes_before))
         .withColumn("_row", F.row_number().over(in_range) + at(rows_before))
-        .withColumn("_group", F.sum("size").over(of_text))
-        .withColumn("_group_start", F.min("_start").over(of_text))
     )
-    whole = F.col("_group") * F.lit(GROUP_PART * shards) <= F.lit(total)
+    group, start = F.sum("size").over(of_text), F.min("_start").over(of_text)
     if split:
-        whole = whole & ~F.substring("_text_key", 1, PREFIX).isin(*split)
+        divided = F.array_contains(_strings(split), F.substring("_text_key", 1, PREFIX))
+        sums = placed.where(divided).groupBy(F.col("_text_key").alias("_divided")).agg(
+            F.sum("size").alias("_all"), F.min("_start").alias("_first"))
+        # at most one row per boundary
+        placed = placed.join(small(stored(sums, "shard-divided")), F.col("_text_key") == F.col("_divided"), "left")
+        group, start = F.coalesce("_all", group), F.coalesce("_first", start)
+    placed = placed.withColumn("_group", group).withColumn("_group_start", start)
+    whole = F.col("_group") * F.lit(GROUP_PART * shards) <= F.lit(total)
     middle = F.when(whole, F.col("_group_start") * 2 + F.col("_group")).otherwise(F.col("_start") * 2 + F.col("size"))
     shard = F.expr(f"cast(least(_middle * {shards} div {2 * max(total, 1)}, {shards - 1}) as int)")
     return placed.withColumn("_middle", middle).withColumn("shard", shard)
@@ -158,7 +174,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("slot", F.col("_row") - F.element_at(starts, F.col("shard") + 1))
         .withColumn("law", F.lit("bytes"))
         .withColumn("grown_shard", F.lit(None).cast("int"))
-        .drop("_text_key", "_id_key", "_key", "_range", "_start", "_row", "_group", "_group_start", "_middle")
+        .drop("_text_key", "_id_key", "_key", "_range", "_start", "_row", "_group", "_group_start", "_middle", "_divided",
+              "_all", "_first")
     )
 
 
@@ -181,7 +198,7 @@ placed AS (
   FROM keyed WINDOW ord AS (ORDER BY tk, ik, doc_id NULLS FIRST, size)),
 grouped AS (SELECT *, min(s) OVER (PARTITION BY tk) AS gs FROM placed),
 sharded AS (
-  SELECT *, least(((CASE WHEN g * 800 <= total THEN gs * 2 + g ELSE s * 2 + size END) * 16) // (2 * total), 15)::INT
+  SELECT *, least(((CASE WHEN g * 160 <= total THEN gs * 2 + g ELSE s * 2 + size END) * 16) // (2 * total), 15)::INT
     AS shard
   FROM grouped),
 -- CRC-32 by nibbles: table entry i is i shifted right four times, each time folding the polynomial in
