@@ -8,12 +8,15 @@
 3. every document is emitted floor(rate) times plus once more if a draw
    from the digest of its seed and id falls below rate - floor(rate).
 
-The draw depends on the seed and the document alone: reruns, other
-partitionings and recomputed tasks give the same copies.
+The draw depends on the seed and the document's id alone: reruns, other
+partitionings and recomputed tasks give the same copies.  Rows that share an
+id (or a text, without one) would all go or all stay by one draw, far off the
+target if they are many; so their draws also take their place in the input:
+reruns over the same files agree, other layouts may choose others of them.
 
 Defined results: a null text has size 0; null sources are one source,
 last in order; rows without doc_id draw by their text; repeated rows are
-separate rows that share a draw; an empty table gives no rows; a source of
+separate rows with draws of their own; an empty table gives no rows; a source of
 size 0 has target 0 and takes nothing; input columns named like the added
 ones are replaced.
 """
@@ -63,14 +66,19 @@ def source_targets(sized: DataFrame, source: str = "source", weights=WEIGHTS, li
 
 def plan_mix(docs: DataFrame, weights=WEIGHTS, limit: int = LIMIT, seed: str = SEED) -> DataFrame:
     """Every row of ``docs`` with size, source_size, target, rate and the copies that the mix takes."""
-    sized = without(docs, *ADDED).withColumn("size", word_count())
+    sized = without(docs, *ADDED).withColumn("size", word_count()).withColumn("_key", id_text()).withColumn(
+        "_row", F.monotonically_increasing_id())
+    shared = sized.groupBy(F.col("_key").alias("_shared")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_shared")
+    shared = small(stored(shared, "mix-shared-ids"))
     targets = small(stored(source_targets(sized, "source", weights, limit), "mix-sources"))
-    draw = hex_fraction(F.md5(F.concat(F.lit(f"{seed}:"), id_text())))
+    place = F.when(F.col("_shared").isNull(), F.lit("")).otherwise(F.concat(F.lit(":"), F.col("_row").cast("string")))
+    draw = hex_fraction(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_key"), place)))
     whole = F.floor("rate")
     return (
         sized.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source")
+        .join(shared, F.col("_key") == F.col("_shared"), "left")
         .withColumn("copies", (whole + (draw < F.col("rate") - whole).cast("long")).cast("long"))
+        .drop("_source", "_key", "_row", "_shared")
     )
 
 
