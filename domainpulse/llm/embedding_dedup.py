@@ -15,8 +15,10 @@ in proportion to the block's dimensions.  So
    cell;
 3. cells above ``CHUNK`` rows are split into pairs of chunks, each joined in
    a task of its own; a task computes block distances, takes the pairs within
-   the block's budget as candidates, drops those that an earlier block
-   already holds, and checks each one's cosine in double precision;
+   the block's budget as candidates and checks each one's cosine in double
+   precision.  A link counts in the first block whose budget it keeps, by
+   sums over the pair's own numbers in a fixed order: they come out alike in
+   every task, so each link counts exactly once;
 4. a task returns counts per vector and a spanning set of its links, never
    pairs; components come from the links.
 
@@ -48,6 +50,8 @@ BLOCK, GRID, CHUNK, TILE = 8, 3, 4096, 1024
 SEED = 17
 #: Room for rounding in candidate search; the cosine itself is checked exactly.
 SLACK = 1e-9
+#: Pairs whose first block is looked for at a time.
+PAIRS = 1 << 15
 
 
 @lru_cache(maxsize=4)
@@ -63,6 +67,19 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def turned(units: np.ndarray) -> np.ndarray:
+    """Rotated rows.  Each row's sums run over its own numbers in a fixed order, whatever other rows are with it."""
+    return np.einsum("ij,jk->ik", units, rotation(units.shape[1]))
+
+
+def first_blocks(u: np.ndarray, v: np.ndarray, cosine: float) -> np.ndarray:
+    """For each pair of rotated rows, the first block within its budget (the number of blocks if there is none)."""
+    dims = u.shape[1]
+    apart = (u - v) ** 2
+    within = np.stack([np.einsum("ij->i", apart[:, p]) <= budget(p, dims, cosine) for p in blocks(dims)] + [np.ones(len(u), bool)])
+    return within.argmax(axis=0)
+
+
 def blocks(dims: int) -> list[slice]:
     return [slice(i, min(i + BLOCK, dims)) for i in range(0, dims, BLOCK)]
 
@@ -78,12 +95,12 @@ def _cells(cosine: float):
         for rows in batches:
             for dims, same in rows.groupby(rows["vector"].map(len)):
                 dims = int(dims)
-                turned = unit(np.stack(same["vector"].to_numpy()).astype(np.float64)) @ rotation(dims)
+                rows_turned = turned(unit(np.stack(same["vector"].to_numpy()).astype(np.float64)))
                 node = same["node"].to_numpy()
                 for b, part in enumerate(blocks(dims)):
                     radius = np.sqrt(budget(part, dims, cosine))
                     grid = min(GRID, part.stop - part.start)
-                    at = turned[:, part.start:part.start + grid] / (2 * radius)
+                    at = rows_turned[:, part.start:part.start + grid] / (2 * radius)
                     cell = np.floor(at).astype(np.int64)
                     # with cells two radii wide, one neighbour per dimension is in reach; exactly on
                     # the middle either would do, so both sides count as reached
@@ -117,7 +134,8 @@ def _join_chunks(cosine: float):
         parts = blocks(dims)
         x = unit(np.stack(left["vector"].to_numpy()).astype(np.float64))
         y = x if within else unit(np.stack(right["vector"].to_numpy()).astype(np.float64))
-        tx, ty = x @ rotation(dims), y @ rotation(dims)
+        tx = turned(x)
+        ty = tx if within else turned(y)
         wx, wy = left["copies"].to_numpy(), right["copies"].to_numpy()
         nx, ny = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
         sets = Sets(len(x) + (0 if within else len(y)))
@@ -126,7 +144,7 @@ def _join_chunks(cosine: float):
         def near(b: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             u, v = tx[i, parts[b]], ty[j, parts[b]]
             d = (u * u).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2 * (u @ v.T)
-            return d <= budget(parts[b], dims, cosine)
+            return d <= budget(parts[b], dims, cosine) + SLACK  # the pairs that stay are measured again
 
         for i0 in range(0, len(x), TILE):
             i = np.arange(i0, min(i0 + TILE, len(x)))
@@ -139,14 +157,16 @@ def _join_chunks(cosine: float):
                     continue
                 i_, j_ = i[found.any(1)], j[found.any(0)]
                 found = found[np.ix_(i_ - i0, j_ - j0)]
-                for earlier in range(block):
-                    found &= ~near(earlier, i_, j_)
                 found &= x[i_] @ y[j_].T >= cosine
-                nx[i_] += found @ wy[j_]
-                ny[j_] += found.T @ wx[i_]
-                for u in np.flatnonzero(found.any(1)):
-                    for v in np.flatnonzero(found[u]):
-                        sets.join(int(i_[u]), base + int(j_[v]))
+                us, vs = np.nonzero(found)
+                us, vs = i_[us], j_[vs]
+                own = np.concatenate([
+                    first_blocks(tx[us[k:k + PAIRS]], ty[vs[k:k + PAIRS]], cosine) == block for k in range(0, len(us), PAIRS)] or [[]])
+                us, vs = us[own.astype(bool)], vs[own.astype(bool)]
+                np.add.at(nx, us, wy[vs])
+                np.add.at(ny, vs, wx[us])
+                for u, v in zip(us.tolist(), vs.tolist()):
+                    sets.join(u, base + v)
         if within:
             nx = nx + ny
             node, count = left["node"].to_numpy(), nx
