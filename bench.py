@@ -1,8 +1,9 @@
-"""Benchmark the headline queries; prints ONE JSON line.
+"""Benchmark the registered headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (timed runs per query, median reported; default 3).
-Each query is forced with a no-op sink (full execution, no collect).
+Each query is built and forced with a no-op sink (full execution, no
+collect); what it checkpoints is removed after each run.
 """
 
 from __future__ import annotations
@@ -16,75 +17,26 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from domainpulse.config import EVENTS, LINEITEM  # noqa: E402
-from domainpulse.operators import kpi as kpi_ops  # noqa: E402
-from domainpulse.operators import quality, trend  # noqa: E402
-from domainpulse.operators.gaps import gap_candidates  # noqa: E402
-from domainpulse.plans import bridges  # noqa: E402
-from domainpulse.plans.chain import run_chain  # noqa: E402
-from domainpulse.session import local_session  # noqa: E402
-
-
-def sink(df):
-    df.write.format("noop").mode("overwrite").save()
-
-
-def q_events_kpi(spark, base):
-    sink(kpi_ops.kpi_summary(bridges.events_metrics(spark, base), EVENTS.window_days))
-
-
-def q_lineitem_kpi(spark, base):
-    sink(kpi_ops.kpi_summary(bridges.lineitem_metrics(spark, base), LINEITEM.window_days))
-
-
-def q_lineitem_gaps(spark, base):
-    kpi = kpi_ops.kpi_summary(bridges.lineitem_metrics(spark, base), LINEITEM.window_days)
-    sink(gap_candidates(kpi, bridges.lineitem_domains(spark, base), LINEITEM.gaps))
-
-
-def q_dq_report(spark, base):
-    metrics = bridges.lineitem_metrics(spark, base).cache()
-    try:
-        sink(quality.validation_report(bridges.lineitem_domains(spark, base), metrics))
-    finally:
-        metrics.unpersist()
-
-
-def q_events_trend(spark, base):
-    rolling = trend.kpi_rolling(bridges.events_metrics(spark, base), EVENTS.window_days)
-    sink(trend.risk_alerts(trend.score_trend(rolling, EVENTS.score)))
-
-
-def _chain(spark, base, metrics, domains, cfg):
-    m = metrics(spark, base).cache()
-    try:
-        res = run_chain(domains(spark, base), m, cfg, run_date="2024-02-01", validate=False)
-        sink(res.scores)
-        res.features.unpersist()
-        res.scaled.unpersist()
-    finally:
-        m.unpersist()
-
-
-def q_events_chain(spark, base):
-    """Raw events -> metrics -> KPI -> features -> 20 k-means fits -> scores."""
-    _chain(spark, base, bridges.events_metrics, bridges.events_domains, EVENTS)
-
-
-def q_lineitem_chain(spark, base):
-    """lineitem JOIN orders -> metrics -> KPI -> features -> 20 k-means fits -> scores."""
-    _chain(spark, base, bridges.lineitem_metrics, bridges.lineitem_domains, LINEITEM)
+from domainpulse.plans.registry import QUERIES  # noqa: E402
+from domainpulse.session import intermediates, local_session  # noqa: E402
+
+#: Name in the report: the registered query that it times.
+TIMED = {
+    "events_kpi": "kpi_summary",
+    "lineitem_kpi": "kpi_lineitem",
+    "lineitem_gaps": "gap_lineitem",
+    "dq_report": "dq_report_lineitem",
+    "events_trend_alerts": "risk_alerts",
+    "events_chain_scores": "risk_scores_fitted",
+    "lineitem_chain_scores": "risk_scores_fitted_lineitem",
+}
 
 
-QUERIES = {
-    "events_kpi": q_events_kpi,
-    "lineitem_kpi": q_lineitem_kpi,
-    "lineitem_gaps": q_lineitem_gaps,
-    "dq_report": q_dq_report,
-    "events_trend_alerts": q_events_trend,
-    "events_chain_scores": q_events_chain,
-    "lineitem_chain_scores": q_lineitem_chain,
-}
+def timed(spark, name: str, base: str) -> float:
+    with intermediates(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main():
@@ -93,22 +45,17 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="domainpulse-bench")
     spark.sparkContext.setLogLevel("ERROR")
-    for fn in QUERIES.values():  # warm-up: JIT, file listing, Python workers
-        fn(spark, base)
-    times = {}
-    for name, fn in QUERIES.items():
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, base)
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+    for query in TIMED.values():  # warm-up: JIT, file listing
+        timed(spark, query, base)
+    samples = {name: [timed(spark, query, base) for _ in range(runs)] for name, query in TIMED.items()}
+    times = {name: round(statistics.median(s), 3) for name, s in samples.items()}
     sf = Path(base).name.replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "range": {name: [round(min(s), 3), round(max(s), 3)] for name, s in samples.items()},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "runs": runs,

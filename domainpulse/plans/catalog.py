@@ -315,3 +315,13 @@ def q_risk_scores_fitted(spark, base):
     metrics = bridges.events_metrics(spark, base)
     res = run_chain(bridges.events_domains(spark, base), metrics, EVENTS, run_date=RUN_DATE, validate=False)
     return res.scores
+
+
+@query("risk_scores_fitted_lineitem")
+def q_risk_scores_fitted_lineitem(spark, base):
+    """The same over line items joined to their orders."""
+    from domainpulse.plans.chain import run_chain
+
+    metrics = cut_lineage(bridges.lineitem_metrics(spark, base))
+    res = run_chain(bridges.lineitem_suppliers(spark, base), metrics, LINEITEM, run_date=RUN_DATE, validate=False)
+    return res.scores

@@ -10,7 +10,7 @@ def dup_issue_sql(src: str) -> str:
     return f"""SELECT * FROM (
 SELECT CAST(400 AS INTEGER) AS check_order, 'validate.coverage_metrics.duplicate_keys' AS stage,
        'WARNING' AS status, CAST(SUM(copies) AS BIGINT) AS rows_affected,
-       printf('Duplicate (domain_id, snapshot_date) pairs found: %d', COUNT(*)) AS notes
+       printf('%d keys (domain_id, snapshot_date) stand in more than one row', COUNT(*)) AS notes
 FROM (SELECT domain_id, snapshot_date, COUNT(*) AS copies FROM {src}
       GROUP BY domain_id, snapshot_date HAVING COUNT(*) > 1)) WHERE rows_affected > 0"""
 
@@ -19,7 +19,7 @@ def null_issue_sql(src: str, table: str, cols, base: int) -> str:
     parts = []
     for i, c in enumerate(cols):
         n = f"(SELECT COUNT(*) FILTER (WHERE {c} IS NULL) FROM {src})"
-        note = f"printf('Column ''{c}'' has %d null value(s).', {n})"
+        note = f"printf('%d rows without {c}', {n})"
         parts.append(f"SELECT CAST({base + i} AS INTEGER) AS check_order, 'validate.{table}.nulls.{c}' AS stage, "
                      f"'WARNING' AS status, CAST({n} AS BIGINT) AS rows_affected, {note} AS notes")
     return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE rows_affected > 0"
@@ -29,11 +29,11 @@ def range_issue_sql(src: str) -> str:
     parts = []
     for i, (c, lo, hi, desc) in enumerate(RANGE_CHECKS):
         v = f"TRY_CAST({c} AS DOUBLE)"
-        for off, bound, op, word in ((0, lo, "<", "below minimum"), (1, hi, ">", "above maximum")):
+        for off, bound, op, word in ((0, lo, "<", "less than"), (1, hi, ">", "more than")):
             if bound is None:
                 continue
             n = f"(SELECT COUNT(*) FILTER (WHERE {v} {op} {float(bound)}) FROM {src})"
-            note = "printf('" + f"''{c}'' has %d row(s) {word} {bound} ({desc})." + f"', {n})"
+            note = f"printf('%d rows with {c}, {desc}, {word} {bound}', {n})"
             parts.append(
                 f"SELECT CAST({600 + 2 * i + off} AS INTEGER) AS check_order, "
                 f"'validate.coverage_metrics.range.{c}' AS stage, 'WARNING' AS status, "
@@ -52,7 +52,7 @@ def orphan_issue_sql(metrics: str, domains: str) -> str:
     return f"""SELECT * FROM (
 SELECT CAST(700 AS INTEGER) AS check_order, 'validate.coverage_metrics.referential_integrity' AS stage,
        'WARNING' AS status, CAST(SUM(rows) AS BIGINT) AS rows_affected,
-       printf('Orphaned domain_ids in coverage_metrics (not in domains table): %d', COUNT(*)) AS notes
+       printf('%d domain ids of the metrics belong to no domain', COUNT(*)) AS notes
 FROM ({orphan_ids_sql(metrics, domains)})) WHERE rows_affected > 0"""
 
 
@@ -68,7 +68,7 @@ def all_issues_sql(metrics: str = "metrics", domains: str = "domains") -> str:
 
 def report_sql(metrics: str = "metrics") -> str:
     return f"""SELECT * FROM issues UNION ALL
-SELECT CAST(0 AS INTEGER), 'validate', 'SUCCESS', CAST(COUNT(*) AS BIGINT), 'All validation checks passed.'
+SELECT CAST(0 AS INTEGER), 'validate', 'SUCCESS', CAST(COUNT(*) AS BIGINT), 'no issue in any check'
 FROM {metrics} HAVING (SELECT COUNT(*) FROM issues) = 0"""
 
 

@@ -41,7 +41,7 @@ NOT_IN_PLANS = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroup
 
 
 def test_plans_stay_in_the_jvm_without_pairs(spark):
-    fitted = {"kmeans_clusters", "cluster_tiers", "risk_scores_fitted"}  # same scoring path as risk_scores
+    fitted = {"kmeans_clusters", "cluster_tiers", "risk_scores_fitted", "risk_scores_fitted_lineitem"}  # same scoring path as risk_scores
     found = {}
     for name, fn in QUERIES.items():
         if name in fitted:
