@@ -3,7 +3,7 @@
 Fixed values: wording of well-known public licences and of the usual lines that name them.
 """
 
-from pathlib import Path
+from importlib.resources import files
 
 #: Short lines that name a licence; found when enough words stand in order, close together, and all words marked by a star.
 NOTICES = {
@@ -97,7 +97,9 @@ _DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBU
     CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
     SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 _BSD_2 = TEXTS["BSD-3-Clause"].partition("3. *Neither")[0]
-_BODIES = {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "licences").glob("*.txt"))}
+#: As package data, which is also found where the package is imported from an archive.
+_BODIES = {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8") for f in sorted(
+    (files("domainpulse.llm") / "licences").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
 #: Section 13, in which the AGPL's terms differ from the GPL's.
 _REMOTE = """13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any other provision of
     this License, if you modify the Program, your modified version must prominently offer all users *interacting with it

@@ -29,6 +29,7 @@ read, whatever other columns there are.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -72,6 +73,25 @@ _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9{_L
 _WIDE = [chr(c) for c in range(0x80, 0x180) if re.match(f"[{_LETTERS}]", chr(c))]
 #: What may begin a special token of the file.
 _SPECIAL = "<|"
+#: The settings that cutting texts into words and pieces relies on (fixed values of the tokenizer file).
+_NORMALIZERS = [("NFC", None, None), ("Replace", "\\s+", " "), ("Lowercase", None, None)]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def parts_by_words(path: str) -> bool:
+    """Whether a tokenizer file has those settings; texts of any other are encoded whole."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    normalizer, split, model = file.get("normalizer") or {}, file.get("pre_tokenizer") or {}, file.get("model") or {}
+    steps = [(n.get("type"), (n.get("pattern") or {}).get("Regex"), n.get("content")) for n in normalizer.get("normalizers", [])]
+    cuts = split.get("pretokenizers", [])
+    return (
+        steps == _NORMALIZERS and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0].get("pattern") == {"Regex": _SPLIT} and cuts[0].get("behavior") == "Removed" and bool(cuts[0].get("invert"))
+        and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex")
+        and model.get("type") == "BPE" and model.get("dropout") is None and model.get("unk_token") is None
+        and all(t["content"].startswith(_SPECIAL) and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])
+                for t in file.get("added_tokens", [])))
 
 
 class WordEncoder:
@@ -89,6 +109,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = parts_by_words(path)
+        if not self.by_words:
+            return
         (self.between,) = self._whole(BETWEEN)
         self.ids: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
@@ -118,6 +141,9 @@ class WordEncoder:
         return b"".join([known(piece) or self._piece(piece) for piece in _PIECE.findall(word.lower())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_words:
+            return [np.asarray(e.ids, dtype="<u4").tobytes()
+                    for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         met = set().union(*split)
         new = met.difference(self.ids)

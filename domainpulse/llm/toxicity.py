@@ -39,9 +39,10 @@ from pyspark.sql import functions as F
 
 from domainpulse.llm.common import TEXT_BATCH, documents, small, stored, text_or_empty, without
 
-#: Bound on the labelled rows that are learned from, and on learned lexicon entries.
-TRAIN_ROWS, LEXICON_SIZE = 20_000, 4_000
-#: A lexicon entry stands in at least this share of the toxic texts, and is this much likelier there (log odds).
+#: Bound on the labelled rows that are learned from.
+TRAIN_ROWS = 20_000
+#: A lexicon entry stands in at least this share of the toxic texts, so there are at most 1 / SUPPORT times as many as an
+#: average text holds, and is this much likelier there (log odds).
 SUPPORT, LOG_ODDS = 0.01, 2.5
 #: Texts whose entries are gathered at a time.
 ENTRY_TEXTS = 64
@@ -171,7 +172,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     top = (
         counts.withColumn("odds", odds)
         .where((F.col("p") >= max(3, math.ceil(SUPPORT * toxic))) & (F.col("odds") >= LOG_ODDS))
-        .orderBy(F.col("odds").desc(), "entry", "kind").limit(LEXICON_SIZE).collect()  # the model: bounded by LEXICON_SIZE
+        .collect()  # the model: bounded by SUPPORT
     )
     return Lexicon({r["entry"]: r["odds"] for r in top if r["kind"] == 0},
                    {r["entry"]: r["odds"] for r in top if r["kind"] == 1})

@@ -89,3 +89,20 @@ def test_nulls_repeats_clashes_and_empty(spark, scratch):
     assert ids[0] == whole("a a") + [1] and ids[1] == [1]
     assert sorted(ids[2:]) == sorted([whole("b") + [1], [1], whole("b") + [1]])
     assert tf.write_token_files(docs.limit(0), f"{scratch}/e", PATH, files=2).count() == 0
+
+
+def test_files_with_other_settings_are_encoded_whole(scratch):
+    """Cutting texts into words holds for one kind of file only; any other is run on whole texts."""
+    import json
+
+    other = tok.path("byte_bpe_50k.json")
+    file = json.load(open(PATH, encoding="utf-8"))
+    file["normalizer"]["normalizers"].pop()  # no lower-casing
+    cased = f"{scratch}/cased.json"
+    json.dump(file, open(cased, "w", encoding="utf-8"))
+    assert tf.parts_by_words(PATH) and not tf.parts_by_words(other) and not tf.parts_by_words(cased)
+    texts = ["", "Two  Words\nand It's END", "naïve Σ <|endoftext|> x"]
+    for path in (other, cased):
+        one = Tokenizer.from_file(path)
+        got = [np.frombuffer(b, "<u4").tolist() for b in tf.WordEncoder(path).encode(texts)]
+        assert got == [one.encode(t, add_special_tokens=False).ids for t in texts]
