@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import contextlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.session import checkpoint_dir
+from domainpulse.session import run_folder
 
 #: Largest row count of a small table that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -19,8 +18,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under the folder that ``spark.checkpoint.dir`` names."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under the folder that ``spark.checkpoint.dir`` names; deleted at the end of an ``intermediates`` scope."""
+    return run_folder(spark, name)
 
 
 #: Rows per Arrow batch where whole texts go to Python, so that a batch of long texts fits in memory.

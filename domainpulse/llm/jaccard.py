@@ -64,6 +64,8 @@ LEAF, PIVOTS, CHUNK, DEPTH = 512, 16, 256, 2
 STEP, SPARE = 1.5, 1.2
 #: Sets whose blocks are pre-aggregated together in a task.
 BLOCK_SETS = 2048
+#: Bytes of a large family's texts that a task takes, and the share of its sets (one in ...) that makes a shingle frequent.
+PIECE, SHARE = 8 << 20, 64
 #: Splitting a region is given up when its parts would hold more than this many times its sets.
 REPLICAS = 4
 ADDED = ("n_shingles", "component_id")
@@ -326,28 +328,60 @@ def _chunk_by_chunk(large: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame
         _renewed(other.join(texts, "node")).groupBy("region", "i", "j")).applyInPandas(_chunk_links(rule), "a long, b long")
 
 
+def _frequent(rule: Rule):
+    """The shingles that at least ``least`` sets of a piece of a family hold, with their counts."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingle_set(t, rule.words) for t in rows["text"]]
+        shingle, held = np.unique(np.concatenate(sets), return_counts=True)
+        many = held >= rows["least"].iloc[0]
+        return pd.DataFrame({"family": rows["family"].iloc[0], "shingle": _signed(shingle[many]), "held": held[many]})
+
+    return count
+
+
+def _rarer_blocks(rule: Rule):
+    """Block signatures of the sets of a piece of a family, by the shingles that are not in the family's frequent ones."""
+
+    def sign(rows: pd.DataFrame, frequent: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.asarray(x, dtype=np.int64) for x in frequent["frequent"]]
+        common = np.unique(np.concatenate(lists).view(np.uint64)) if lists else np.zeros(0, np.uint64)
+        blocks = []
+        for text in rows["text"]:
+            shingles = shingle_set(text, rule.words)
+            blocks.append(_signed(block_signatures(shingles, rule, ~np.isin(shingles, common, assume_unique=True))))
+        return pd.DataFrame({"node": rows["node"].to_numpy(), "blocks": blocks})
+
+    return sign
+
+
 def _without_frequent(texts: DataFrame, rule: Rule) -> DataFrame:
     """Candidate edges inside large families (node, family, text), by their blocks of rarer content.
 
-    Shingles that more than ``LEAF`` sets of a family hold (a passage that thousands of documents
-    quote) do not count when the blocks to sign are chosen, so blocks of such shingles alone are signed
-    only by sets that have little else.
-    """
-    pieces = F.pandas_udf(lambda c: pd.Series([_signed(shingle_set(t, rule.words)) for t in c]), "array<long>")
-    rows = stored(texts.select("family", "node", F.explode(pieces("text")).alias("shingle")), "family-shingles", batch=TEXT_BATCH)
-    frequent = stored(rows.groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > LEAF).select(
-        F.col("family").alias("f"), F.col("shingle").alias("s")), "family-frequent")
-    marked = rows.join(small(frequent), (F.col("family") == F.col("f")) & (F.col("shingle") == F.col("s")), "left")
-    parts = marked.groupBy("node").agg(
-        F.collect_list("shingle").alias("all"), F.collect_list(F.col("s").isNull()).alias("rare"))
+    Shingles that many sets of a family hold (a passage that thousands of documents quote) do not count
+    when the blocks to sign are chosen, so blocks of such shingles alone are signed only by sets that have
+    little else.  Any choice of frequent shingles finds all links, if it is the same for a whole family.
 
-    @F.pandas_udf("array<long>")
-    def sign(shingles: pd.Series, rare: pd.Series) -> pd.Series:
-        return pd.Series([
-            _signed(block_signatures(np.asarray(x, dtype=np.int64).view(np.uint64), rule, np.asarray(r, dtype=bool)))
-            for x, r in zip(shingles, rare)])
-
-    return _candidates(parts.select("node", sign("all", "rare").alias("blocks")))
+    A family is dealt into pieces of ``PIECE`` bytes of text.  Each piece counts its shingles in its task and
+    hands on those that may be frequent in the family; a family's frequent ones are one array.  They are in more
+    than ``1 / (4 * SHARE)`` of its sets, so there are at most ``4 * SHARE`` times as many as an average set holds.
+    """
+    sizes = stored(texts.groupBy("family").agg(
+        F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("text").cast("long")).alias("bytes")), "family-bytes")
+    need = F.greatest(F.lit(LEAF // 2), F.ceil(F.col("members") / SHARE))
+    pieces = F.ceil(F.col("bytes") / PIECE).cast("int")
+    sizes = sizes.select("family", pieces.alias("pieces"), need.alias("need"),
+                         F.greatest(F.lit(2), F.floor(need / pieces)).alias("least"))
+    dealt = texts.join(small(sizes), "family").withColumn(
+        "piece", F.pmod(F.xxhash64("node", F.lit("p")), F.col("pieces")).cast("int"))
+    counted = dealt.groupBy("family", "piece").applyInPandas(_frequent(rule), "family long, shingle long, held long")
+    frequent = counted.groupBy("family", "shingle").agg(F.sum("held").alias("held")).join(small(sizes), "family").where(
+        F.col("held") * 4 >= F.col("need"))
+    arrays = stored(frequent.groupBy("family", "pieces").agg(F.collect_list("shingle").alias("frequent")), "family-frequent")
+    per_piece = arrays.select("family", "frequent", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    signed = dealt.groupBy("family", "piece").cogroup(_renewed(per_piece).groupBy("family", "piece")).applyInPandas(
+        _rarer_blocks(rule), "node long, blocks array<long>")
+    return _candidates(stored(signed, "family-blocks"))
 
 
 def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFrame, depth: int) -> DataFrame:
@@ -426,8 +460,9 @@ def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     hashed = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
     texts = hashed.join(small(members), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     sizes = small(stored(members.groupBy("family").agg(F.count(F.lit(1)).alias("members")), "family-sizes"))
-    texts = texts.select("node", "family", "text").join(sizes, "family")
-    large = stored(texts.where(F.col("members") > LEAF).dropDuplicates(["node"]), "family-texts")
+    # repeated rows of one id and text are one row per task before they are shuffled
+    texts = texts.select("node", "family", "text").dropDuplicates(["node"]).join(sizes, "family")
+    large = stored(texts.where(F.col("members") > LEAF), "family-texts")
     leaves = texts.where(F.col("members") <= LEAF).withColumn("seed", F.lit(True))
     roots = stored(leaves.groupBy("family").applyInPandas(_leaf(rule), "a long, b long"), "family-links", batch=None)
     if not large.isEmpty():
