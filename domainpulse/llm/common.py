@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from domainpulse.session import run_folder
 
-#: Largest row count of a small table that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Largest number of rows, and of bytes in files, of a small table that may be broadcast; beyond them the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +54,16 @@ def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _bytes_in_files(df: DataFrame) -> int:
+    """Bytes of the files that a written table is read from; 0 for any other frame."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) if plan.nodeName() == "LogicalRelation" else 0
+
+
 def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is counted to at most ``limit`` rows, else as it is."""
+    """``df`` marked for broadcast if it is counted to at most ``limit`` rows and its files are small, else as it is."""
+    if _bytes_in_files(df) > BROADCAST_BYTES:
+        return df
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
 
 

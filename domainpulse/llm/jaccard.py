@@ -17,20 +17,21 @@ cut exactly in another way, and pivots work where distances spread:
    block, so a block of a third of all documents costs one row per task.
    Families above ``LEAF`` are cut once more, by blocks that hold more than
    the shingles that are frequent in them.
-2. *Regions.*  A family of at most ``LEAF`` sets is joined in one task:
-   each set is a pivot in turn and meets all sets not yet known to be in its
-   component.  A larger family gets sampled pivots: every set's distance to
-   each is computed in bounded chunks (sets within eps of a pivot link to
-   it), and each set belongs to the Voronoi region of its nearest pivot.
-   Sets of the largest component found so far need not meet each other; the
-   remaining sets are the region's seeds, and any set y is replicated into
-   the region of pivot p if some seed may be within eps of it: d(y, p) lies
-   in the region's window [min - eps, max + eps] of seed distances, and
-   d(y, p) <= d(y, its nearest pivot) + 2 eps.
-3. Regions still above ``LEAF`` are split again in the same way around new
-   pivots (``DEPTH`` rounds); where windows no longer part them, they are
-   compared chunk by chunk: seeds against members, each pair of chunks in a
-   task of its own.
+2. *Regions.*  A family gets pivots: every set's distance to each is
+   computed (sets within eps of a pivot link to it), and each set belongs to
+   the Voronoi region of its nearest pivot.  Sets of the largest component
+   found by the first pivots need not meet each other; the remaining sets are
+   seeds, and any set y is replicated into the region of pivot p if some seed
+   there may be within eps of it: d(y, p) lies in the region's window
+   [min - eps, max + eps] of seed distances, and
+   d(y, p) <= d(y, its nearest pivot) + 2 eps.  Regions are joined in the
+   same way around new pivots.
+3. A family of at most ``LEAF`` sets is joined so in one task, around
+   ``LEAF_PIVOTS`` pivots at a time, far from each other, down to ``DIRECT``
+   sets, or to where windows no longer part them, which are compared one by
+   one.  Larger ones are measured in bounded chunks around sampled pivots, for
+   ``DEPTH`` rounds; where windows no longer part them, they are compared
+   chunk by chunk: seeds against members, each pair of chunks in a task of its own.
 
 Sets are held as 64-bit shingle hashes (a chance of 2^-64 for a given pair
 of shingles to be taken for one), all comparisons are on whole sets, and
@@ -60,6 +61,8 @@ from domainpulse.llm.components import Sets, components
 
 #: Sets joined in one task, pivots of a larger region, sets per chunk, rounds of splitting.
 LEAF, PIVOTS, CHUNK, DEPTH = 512, 16, 256, 2
+#: Pivots of a region inside a task, and the sets that are compared without pivots.
+LEAF_PIVOTS, DIRECT = 4, 24
 #: Step between the block counts of two levels, and blocks per block that may differ.
 STEP, SPARE = 1.5, 1.2
 #: Sets whose blocks are pre-aggregated together in a task.
@@ -246,19 +249,98 @@ class Region:
     def linked(self, i: int) -> np.ndarray:
         return self.rule.linked(self.shared(i), self.n[i], self.n)
 
+    def part(self, index: np.ndarray) -> Region:
+        """The region of some of these sets."""
+        out = object.__new__(Region)
+        out.rule, out.n, out.mark = self.rule, self.n[index], self.mark
+        out.dense = np.concatenate([self.dense[self.starts[i]:self.ends[i]] for i in index])
+        out.ends = np.cumsum(out.n)
+        out.starts = out.ends - out.n
+        return out
+
+
+def cells_around(distances: np.ndarray, open_: np.ndarray, eps: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(members, seeds) of the Voronoi cells around pivots, from each set's distances to the pivots.
+
+    A cell's seeds are the open sets nearest to its pivot; its members are all sets that may be within
+    ``eps`` of a seed by the triangle inequality.
+    """
+    near = distances.argmin(axis=1)
+    own = distances[np.arange(len(near)), near]
+    out = []
+    for p in range(distances.shape[1]):
+        seeds = open_ & (near == p)
+        if seeds.any():
+            d = distances[:, p]
+            members = (d >= own[seeds].min() - eps) & (d <= own[seeds].max() + eps) & (d <= own + 2 * eps)
+            out.append((np.flatnonzero(members), seeds[members]))
+    return out
+
+
+@dataclass
+class Work:
+    """What a region's join did: links found by pivots, and by comparing sets one by one; sets compared."""
+
+    by_pivots: int = 0
+    one_by_one: int = 0
+    compared: int = 0
+
+
+def join_in_task(region: Region, names: np.ndarray, seeds: np.ndarray, sets: Sets, work: Work, main: int | None = None) -> None:
+    """Ties every linked pair of a region with a seed in it that its components need; ``names`` are its sets' places in ``sets``.
+
+    Sets of one component, that of ``main``, need not meet each other, so they are seeds no more; every other seed stays
+    one until it joins it.  Where all sets are seeds, that is the largest component that the first pivots found.  It stays
+    the same for all parts: were it chosen anew, a seed of it and a set that is no seed might never meet.
+    """
+    n = len(names)
+    root = lambda i: sets.root(int(i))
+
+    def tie(i: int, found: np.ndarray) -> int:
+        before = sets.groups
+        for j in found:
+            sets.join(int(names[i]), int(names[j]))
+        work.compared += n
+        return before - sets.groups
+
+    def one_by_one() -> None:
+        for i in np.flatnonzero(seeds):
+            if sets.groups == 1:
+                return
+            if main is None or root(names[i]) != root(main):
+                work.one_by_one += tie(i, np.flatnonzero(region.linked(i)))
+
+    if n <= DIRECT:
+        return one_by_one()
+    # pivots far from each other, the first one by its hash
+    distances, pivot = [], 0
+    for _ in range(LEAF_PIVOTS):
+        both = region.shared(pivot)
+        distances.append(1 - both / (region.n + region.n[pivot] - both))
+        work.by_pivots += tie(pivot, np.flatnonzero(region.rule.linked(both, region.n[pivot], region.n)))
+        pivot = int(np.min(distances, axis=0).argmax())
+    colours = np.array([root(i) for i in names])
+    if main is None and seeds.all():
+        found, counts = np.unique(colours, return_counts=True)
+        main = int(found[counts.argmax()])
+    open_ = seeds if main is None else seeds & (colours != root(main))
+    cells = cells_around(np.stack(distances, axis=1), open_, region.rule.eps + 1e-9)
+    if any(len(members) == n for members, _ in cells) or sum(len(members) for members, _ in cells) > REPLICAS * n:
+        return one_by_one()  # distances do not spread
+    for members, own in cells:
+        join_in_task(region.part(members), names[members], own, sets, work, main)
+
 
 def _leaf(rule: Rule):
     """All links of a small region that matter for its components, as (a, b) to each component's smallest set."""
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
-        region, sets = Region(rows["text"], rule), Sets(len(rows))
-        seeds = np.flatnonzero(rows["seed"].to_numpy())
-        for i in seeds:
-            if sets.groups == 1:
-                break
-            for j in np.flatnonzero(region.linked(i)):
-                sets.join(int(i), int(j))
+        sets, core = Sets(len(rows)), np.flatnonzero(rows["core"].to_numpy(bool))
+        for i in core:
+            sets.join(int(core[0]), int(i))
+        join_in_task(Region(rows["text"], rule), np.arange(len(rows)), rows["seed"].to_numpy(bool), sets, Work(),
+                     int(core[0]) if len(core) else None)
         node = rows["node"].to_numpy()
         roots = np.array([sets.root(i) for i in range(len(rows))], dtype=np.int64)
         tied = roots != np.arange(len(rows))
@@ -385,7 +467,10 @@ def _without_frequent(texts: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFrame, depth: int) -> DataFrame:
-    """Links of regions (region, node, seed) above ``LEAF``; ``known`` are links found before."""
+    """Links of regions (region, node, seed, core); ``known`` are links found before.
+
+    Core sets are those of the component whose sets need not meet each other.
+    """
     sizes = small(stored(regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum(
         F.col("seed").cast("long")).alias("seeds")), "region-sizes"))
     sized = regions.join(sizes, "region")
@@ -404,6 +489,7 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
         "region", F.col("node").alias("pivot"), "text",
         F.explode(F.sequence(F.lit(0), (F.ceil(F.col("members") / CHUNK) - 1).cast("int"))).alias("chunk"))
     rows = with_text(large.withColumn("chunk", _in_chunks(F.col("members"), "m")))
+    core = stored(large.where("core").select("region", F.col("node").alias("core")), "region-core")
     measured = stored(
         rows.groupBy("region", "chunk").cogroup(_renewed(pivots).groupBy("region", "chunk")).applyInPandas(
             _pivot_distances(rule),
@@ -412,13 +498,20 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
         little.union(measured.select(F.col("node").alias("a"), F.explode("links").alias("b"))).union(known).distinct(),
         "region-links")
     found = components(links)
-    coloured = measured.join(small(found), F.col("node") == F.col("a"), "left").withColumn(
-        "colour", F.coalesce("b", "node")).drop("a", "b", "links")
-    counts = stored(coloured.groupBy("region", "colour").agg(F.count(F.lit(1)).alias("c")), "region-colours")
-    main = small(stored(counts.groupBy("region").agg(
-        F.max_by("colour", F.struct("c", "colour")).alias("main"), F.count(F.lit(1)).alias("colours")), "region-main"))
-    open_ = stored(coloured.join(main, "region").where("colours > 1").withColumn(
-        "seed", F.col("seed") & (F.col("colour") != F.col("main"))), "regions-open")
+    coloured = stored(measured.join(small(found), F.col("node") == F.col("a"), "left").withColumn(
+        "colour", F.coalesce("b", "node")).drop("a", "b", "links"), "region-colours")
+    counts = coloured.groupBy("region", "colour").agg(F.count(F.lit(1)).alias("c"), F.min("seed").alias("only_seeds"))
+    largest = counts.groupBy("region").agg(
+        F.max_by("colour", F.struct("c", "colour")).alias("largest"), F.count(F.lit(1)).alias("colours"),
+        F.min("only_seeds").alias("only_seeds"))
+    # known core sets share a component; the first time, where all sets are seeds, the largest becomes the core
+    held = core.join(small(found), F.col("core") == F.col("a"), "left").groupBy(F.col("region").alias("r")).agg(
+        F.max(F.coalesce("b", "core")).alias("held"))
+    main = small(stored(largest.join(held, F.col("region") == F.col("r"), "left").select(
+        "region", "colours", F.coalesce("held", F.when(F.col("only_seeds"), F.col("largest"))).alias("main")), "region-main"))
+    in_core = F.coalesce(F.col("colour") == F.col("main"), F.lit(False))
+    open_ = stored(coloured.join(main, "region").where("colours > 1").withColumn("core", in_core).withColumn(
+        "seed", F.col("seed") & ~F.col("core")), "regions-open")
     own = F.element_at("distances", F.col("near") + 1)
     windows = small(stored(open_.where("seed").groupBy("region", "near").agg(
         F.min(own).alias("lo"), F.max(own).alias("hi")).withColumnsRenamed({"region": "r", "near": "cell"}), "region-windows"))
@@ -428,7 +521,7 @@ def _join_large(regions: DataFrame, texts: DataFrame, rule: Rule, known: DataFra
         (d >= F.col("lo") - eps) & (d <= F.col("hi") + eps) & (d <= own + 2 * eps))
     nested = stored(cells.select(
         F.concat_ws("/", "region", F.col("cell").cast("string")).alias("region"), "node",
-        (F.col("seed") & (F.col("near") == F.col("cell"))).alias("seed")), "regions")
+        (F.col("seed") & (F.col("near") == F.col("cell"))).alias("seed"), "core"), "regions")
     replicas = nested.count()
     if not replicas:
         return links
@@ -463,12 +556,13 @@ def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     # repeated rows of one id and text are one row per task before they are shuffled
     texts = texts.select("node", "family", "text").dropDuplicates(["node"]).join(sizes, "family")
     large = stored(texts.where(F.col("members") > LEAF), "family-texts")
-    leaves = texts.where(F.col("members") <= LEAF).withColumn("seed", F.lit(True))
+    leaves = texts.where(F.col("members") <= LEAF).withColumns({"seed": F.lit(True), "core": F.lit(False)})
     roots = stored(leaves.groupBy("family").applyInPandas(_leaf(rule), "a long, b long"), "family-links", batch=None)
     if not large.isEmpty():
         finer = components(_without_frequent(large.select("node", "family", "text"), rule))
         finer = finer.union(finer.select("b", "b").distinct())
-        regions = finer.select(F.col("b").cast("string").alias("region"), F.col("a").alias("node"), F.lit(True).alias("seed"))
+        regions = finer.select(F.col("b").cast("string").alias("region"), F.col("a").alias("node"), F.lit(True).alias("seed"),
+                                F.lit(False).alias("core"))
         found = _join_large(regions, large.select("node", "text"), rule, roots.limit(0), DEPTH)
         roots = roots.union(components(found))
     labelled = classes.join(small(stored(roots, "jaccard-roots")), F.col("node") == F.col("a"), "left").select(
