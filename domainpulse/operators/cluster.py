@@ -2,7 +2,7 @@
 
 Fitting collapses identical feature rows to weighted points and advances all
 restarts together: a step is one grouped aggregate over (seed, nearest
-centroid), with the centroids of every seed as a small joined table.  Only
+centroid), with the centroids of all seeds as one constant table.  Only
 the k centroids per seed reach the driver; assignment is then plain column
 arithmetic against those k literal centroids, so neither fitting nor scoring
 calls into Python.
@@ -10,6 +10,7 @@ calls into Python.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -30,12 +31,15 @@ def weighted_points(scaled: DataFrame, cols: Sequence[str] = SCALED) -> DataFram
         *[F.col(c).alias(f"x{j}") for j, c in enumerate(cols)], "w")
 
 
-def _centroids(spark: SparkSession, centers: dict[int, Centers], k: int, dims: int) -> DataFrame:
-    """One row per seed: its centroids' coordinates, null for those it has not drawn yet."""
-    fields = ["seed int", *[f"c{i}_{j} double" for i in range(k) for j in range(dims)]]
-    none = [None] * dims
-    rows = [(seed, *[v for i in range(k) for v in (cs[i] if i < len(cs) else none)]) for seed, cs in centers.items()]
-    return spark.createDataFrame(rows, ", ".join(fields))
+def _centroids(centers: dict[int, Centers], k: int, dims: int) -> Column:
+    """An array with one struct per seed: its centroids' coordinates, null for those it has not drawn yet.
+
+    It is one constant of the plan, which generated code refers to and does not spell out: the steps differ in
+    its value only, so they share their compiled code, and a step needs no join and no job of its own for it.
+    """
+    fields = ", ".join(["seed: int", *[f"c{i}_{j}: double" for i in range(k) for j in range(dims)]])
+    table = [{"seed": seed, **{f"c{i}_{j}": v for i, c in enumerate(cs) for j, v in enumerate(c)}} for seed, cs in centers.items()]
+    return F.from_json(F.lit(json.dumps(table)), f"array<struct<{fields}>>")
 
 
 def _nearest(k: int, dims: int) -> Column:
@@ -64,14 +68,18 @@ class _Restarts:
     def __init__(self, points: DataFrame, k: int, dims: int):
         self.points, self.k, self.dims = points, k, dims
         self.x = [F.col(f"x{j}") for j in range(dims)]
+        # built once, as the steps differ in the centroids only
+        self.near = _nearest(k, dims).alias("near")
+        far = F.struct(F.col("near.d").alias("d"), *[c.alias(f"x{j}") for j, c in enumerate(self.x)])
+        self.moments = [
+            F.sum("w").alias("w"), *[F.sum(F.col("w") * c).alias(f"s{j}") for j, c in enumerate(self.x)],
+            F.sum(F.col("w") * F.col("near.d")).alias("cost"), F.max(far).alias("far")]
 
     def placed(self, centers: dict[int, Centers]) -> DataFrame:
         """Every point once per seed, with its nearest centroid of that seed."""
-        seeds = F.array(*[F.lit(s) for s in centers])
-        table = _centroids(self.points.sparkSession, centers, self.k, self.dims)
-        near = self.points.withColumn("seed", F.explode(seeds)).join(F.broadcast(table), "seed").withColumn(
-            "near", _nearest(self.k, self.dims))
-        return near.select("seed", *self.x, "w", "near")
+        per_seed = self.points.select("*", F.explode(_centroids(centers, self.k, self.dims)).alias("c")).select(
+            *self.points.columns, "c.*")
+        return per_seed.select("seed", *self.x, "w", self.near)
 
     def draw(self, centers: dict[int, Centers], step: int) -> dict[int, Centers]:
         """One more centroid per seed, drawn by weight times squared distance to the seed's centroids so far.
@@ -92,10 +100,7 @@ class _Restarts:
 
         A centroid without points moves to the point farthest from its own centroid.
         """
-        means = [F.sum(F.col("w") * c).alias(f"s{j}") for j, c in enumerate(self.x)]
-        far = F.struct(F.col("near.d").alias("d"), *[c.alias(f"x{j}") for j, c in enumerate(self.x)])
-        rows = self.placed(centers).groupBy("seed", F.col("near.i").alias("i")).agg(
-            F.sum("w").alias("w"), *means, F.sum(F.col("w") * F.col("near.d")).alias("cost"), F.max(far).alias("far")).collect()
+        rows = self.placed(centers).groupBy("seed", F.col("near.i").alias("i")).agg(*self.moments).collect()
         moved = {s: [None] * self.k for s in centers}
         cost = dict.fromkeys(centers, 0.0)
         farthest = {s: [] for s in centers}
