@@ -279,56 +279,67 @@ def cells_around(distances: np.ndarray, open_: np.ndarray, eps: float) -> list[t
 
 @dataclass
 class Work:
-    """What a region's join did: links found by pivots, and by comparing sets one by one; sets compared."""
+    """What a region's join did: links found by pivots, and by comparing sets one by one; sets compared; cells made."""
 
     by_pivots: int = 0
     one_by_one: int = 0
     compared: int = 0
+    cells: int = 0
 
 
-def join_in_task(region: Region, names: np.ndarray, seeds: np.ndarray, sets: Sets, work: Work, main: int | None = None) -> None:
-    """Ties every linked pair of a region with a seed in it that its components need; ``names`` are its sets' places in ``sets``.
+def join_in_task(whole: Region, seeds: np.ndarray, sets: Sets, work: Work, main: int | None = None) -> None:
+    """Ties in ``sets`` every linked pair of a region with a seed in it that its components need.
 
     Sets of one component, that of ``main``, need not meet each other, so they are seeds no more; every other seed stays
     one until it joins it.  Where all sets are seeds, that is the largest component that the first pivots found.  It stays
     the same for all parts: were it chosen anew, a seed of it and a set that is no seed might never meet.
-    """
-    n = len(names)
-    root = lambda i: sets.root(int(i))
-
-    def tie(i: int, found: np.ndarray) -> int:
-        before = sets.groups
-        for j in found:
-            sets.join(int(names[i]), int(names[j]))
-        work.compared += n
-        return before - sets.groups
 
-    def one_by_one() -> None:
+    A region is parted into cells only where that leaves fewer comparisons than one by one, and each of them
+    at most three quarters of its sets.  The shingles of one part at a time are held next to the whole region's.
+    """
+    todo = [(np.arange(len(whole.n)), seeds)]
+    while todo:
+        names, seeds = todo.pop()
+        if sets.groups == 1:
+            return
+        n = len(names)
+        region = whole if n == len(whole.n) else whole.part(names)
+
+        def tie(i: int, found: np.ndarray) -> int:
+            before = sets.groups
+            for j in found:
+                sets.join(int(names[i]), int(names[j]))
+            work.compared += n
+            return before - sets.groups
+
+        cells: list[tuple[np.ndarray, np.ndarray]] = []
+        if n > DIRECT:
+            # pivots far from each other, the first one by its hash
+            distances, pivot = [], 0
+            for _ in range(LEAF_PIVOTS):
+                both = region.shared(pivot)
+                distances.append(1 - both / (region.n + region.n[pivot] - both))
+                work.by_pivots += tie(pivot, np.flatnonzero(region.rule.linked(both, region.n[pivot], region.n)))
+                pivot = int(np.min(distances, axis=0).argmax())
+            colours = np.array([sets.root(int(i)) for i in names])
+            if main is None and seeds.all():
+                found, counts = np.unique(colours, return_counts=True)
+                main = int(found[counts.argmax()])
+            if main is not None:
+                seeds = seeds & (colours != sets.root(main))
+            cells = cells_around(np.stack(distances, axis=1), seeds, region.rule.eps + 1e-9)
+            cost = sum((int(own.sum()) + LEAF_PIVOTS) * len(members) for members, own in cells)
+            if cost >= n * int(seeds.sum()) or any(4 * len(members) > 3 * n for members, _ in cells):
+                cells = []  # distances do not spread
+        if cells:
+            work.cells += len(cells)
+            todo += [(names[members], own) for members, own in cells]
+            continue
         for i in np.flatnonzero(seeds):
+            if main is None or sets.root(int(names[i])) != sets.root(main):
+                work.one_by_one += tie(i, np.flatnonzero(region.linked(i)))
             if sets.groups == 1:
                 return
-            if main is None or root(names[i]) != root(main):
-                work.one_by_one += tie(i, np.flatnonzero(region.linked(i)))
-
-    if n <= DIRECT:
-        return one_by_one()
-    # pivots far from each other, the first one by its hash
-    distances, pivot = [], 0
-    for _ in range(LEAF_PIVOTS):
-        both = region.shared(pivot)
-        distances.append(1 - both / (region.n + region.n[pivot] - both))
-        work.by_pivots += tie(pivot, np.flatnonzero(region.rule.linked(both, region.n[pivot], region.n)))
-        pivot = int(np.min(distances, axis=0).argmax())
-    colours = np.array([root(i) for i in names])
-    if main is None and seeds.all():
-        found, counts = np.unique(colours, return_counts=True)
-        main = int(found[counts.argmax()])
-    open_ = seeds if main is None else seeds & (colours != root(main))
-    cells = cells_around(np.stack(distances, axis=1), open_, region.rule.eps + 1e-9)
-    if any(len(members) == n for members, _ in cells) or sum(len(members) for members, _ in cells) > REPLICAS * n:
-        return one_by_one()  # distances do not spread
-    for members, own in cells:
-        join_in_task(region.part(members), names[members], own, sets, work, main)
 
 
 def _leaf(rule: Rule):
@@ -339,8 +350,7 @@ def _leaf(rule: Rule):
         sets, core = Sets(len(rows)), np.flatnonzero(rows["core"].to_numpy(bool))
         for i in core:
             sets.join(int(core[0]), int(i))
-        join_in_task(Region(rows["text"], rule), np.arange(len(rows)), rows["seed"].to_numpy(bool), sets, Work(),
-                     int(core[0]) if len(core) else None)
+        join_in_task(Region(rows["text"], rule), rows["seed"].to_numpy(bool), sets, Work(), int(core[0]) if len(core) else None)
         node = rows["node"].to_numpy()
         roots = np.array([sets.root(i) for i in range(len(rows))], dtype=np.int64)
         tied = roots != np.arange(len(rows))
