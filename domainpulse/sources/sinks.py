@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from domainpulse import schemas
 from domainpulse.operators.ingest import new_domains, new_metrics
-from domainpulse.session import cut_lineage
+from domainpulse.session import cut_lineage, path_exists
 
 
 def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
     """A stored table, or an empty frame with its schema if absent."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_as_found(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -28,12 +24,9 @@ def read_as_found(spark: SparkSession, path: str, schema) -> DataFrame:
     own footers tell the columns (merged over all files, a distributed pass
     over the footers), so that a check of the contract sees what is missing.
     """
-    try:
-        found = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    found = spark.read.option("mergeSchema", "true").parquet(path)
     return found.select(*[f.name for f in schema.fields if f.name in found.columns])
 
 
