@@ -48,7 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", configured)
         except Exception:  # some deployments reject setting core confs at runtime
             pass
-    spark.sparkContext.setCheckpointDir(configured)
+    current = spark.sparkContext.getCheckpointDir() or ""
+    if configured.rstrip("/") not in current:  # each call would make one more folder
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
