@@ -232,7 +232,9 @@ class Region:
         sets = [shingle_set(t, rule.words) for t in texts]
         self.rule, self.n = rule, np.array([len(s) for s in sets], dtype=np.int64)
         flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        _, dense = np.unique(flat, return_inverse=True)
+        del sets
+        # numbers below the region's count of shingles, which a task's memory keeps below 2^31
+        dense = np.unique(flat, return_inverse=True)[1].astype(np.int32)
         self.ends = np.cumsum(self.n)
         self.starts = self.ends - self.n
         self.dense = dense
@@ -242,7 +244,7 @@ class Region:
         """How many shingles set i shares with every set."""
         own = self.dense[self.starts[i]:self.ends[i]]
         self.mark[own] = True
-        counts = np.add.reduceat(self.mark[self.dense].astype(np.int64), self.starts)
+        counts = np.add.reduceat(self.mark[self.dense].view(np.uint8), self.starts, dtype=np.int64)
         self.mark[own] = False
         return counts
 
