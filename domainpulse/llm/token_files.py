@@ -94,6 +94,13 @@ def parts_by_words(path: str) -> bool:
                 for t in file.get("added_tokens", [])))
 
 
+class _Known(dict):
+    """What is known by word; ``make`` says what a new word is."""
+
+    def __missing__(self, word: str) -> bytes:
+        return self.make(word)
+
+
 class WordEncoder:
     """Ids of whole texts, word by word, and of words piece by piece.
 
@@ -113,7 +120,7 @@ class WordEncoder:
         if not self.by_words:
             return
         (self.between,) = self._whole(BETWEEN)
-        self.ids: dict[str, bytes] = {"": b""}
+        self._forget()
         self.pieces: dict[str, bytes] = {}
         self.tokens = self.tokenizer.model.tokenize
         # The tokenizer's own spelling of each letter's bytes, as the model's vocabulary has it.
@@ -131,37 +138,57 @@ class WordEncoder:
             for word, start, stop in zip(part, [-4, *cuts], [*cuts, len(raw)]):
                 self.ids[word] = raw[start + 4:stop]
 
+    def _forget(self) -> None:
+        self.ids = _Known({"": b""})
+        self.ids.make = self._new
+        self.waiting: set[str] = set()
+        self.incomplete = False
+
     def _piece(self, piece: str) -> bytes:
         ids = [token.id for token in self.tokens(piece if piece.isascii() else piece.translate(self.spelt))]
-        known = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        known = self.pieces[piece] = ids[0].to_bytes(4, "little") if len(ids) == 1 else struct.pack(f"<{len(ids)}I", *ids)
         return known
 
     def _plain(self, word: str) -> bytes:
         known = self.pieces.get
-        return b"".join([known(piece) or self._piece(piece) for piece in _PIECE.findall(word.lower())])
+        pieces = _PIECE.findall(word.lower())
+        if len(pieces) == 1:
+            return known(pieces[0]) or self._piece(pieces[0])
+        return b"".join([known(piece) or self._piece(piece) for piece in pieces])
+
+    def _new(self, word: str) -> bytes:
+        """The ids of a word not met before; none yet if it waits to be encoded with others."""
+        if _PLAIN.fullmatch(word) and _SPECIAL not in word:
+            found = self.ids[word] = self._plain(word)
+            return found
+        if BETWEEN in word:
+            found = self.ids[word] = np.asarray(self._whole(word), dtype="<u4").tobytes()
+            return found
+        self.waiting.add(word)
+        self.incomplete = True
+        return b""
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return [np.asarray(e.ids, dtype="<u4").tobytes()
                     for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        met = set().union(*split)
-        new = met.difference(self.ids)
-        if len(self.ids) + len(new) > CACHED_WORDS:
-            self.ids, new = {"": b""}, met - {""}
+        if len(self.ids) > CACHED_WORDS:
+            self._forget()
         if len(self.pieces) > CACHED_PIECES:
             self.pieces = {}
-        others = []
-        for word in new:
-            if _PLAIN.fullmatch(word) and _SPECIAL not in word:
-                self.ids[word] = self._plain(word)
-            elif BETWEEN in word:
-                self.ids[word] = np.asarray(self._whole(word), dtype="<u4").tobytes()
-            else:
-                others.append(word)
-        self._learn(others)
         of = self.ids.__getitem__
-        return [b"".join(map(of, words)) for words in split]
+        out, again = [], []
+        for k, words in enumerate(split):
+            self.incomplete = False
+            out.append(b"".join(map(of, words)))
+            if self.incomplete:
+                again.append(k)
+        self._learn(list(self.waiting))
+        self.waiting.clear()
+        for k in again:
+            out[k] = b"".join(map(of, split[k]))
+        return out
 
 
 @lru_cache(maxsize=1)
