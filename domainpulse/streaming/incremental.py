@@ -59,17 +59,26 @@ def _cells(line: Column) -> Column:
 
 
 def by_own_header(files: DataFrame) -> DataFrame:
-    """The delivered columns, as text, of ``files`` (file, value): one row per file, its content in ``value``."""
-    lines = F.filter(F.split(F.regexp_replace("value", "^﻿", ""), "\r\n|\n|\r"), lambda line: F.trim(line) != "")
-    parsed = files.select("file", lines.alias("lines")).where(F.size("lines") > 0)
-    headed = parsed.select("file", _cells(F.col("lines")[0]).alias("names"), F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"))
+    """The delivered columns, as text, of ``files`` (file, value): one row per file, its content in ``value``.
+
+    What the header says is worked out once per file, before its lines become rows: a row carries its line,
+    the places of the delivered columns and what the header lacks, and nothing that grows with the file.
+    """
+    text = F.when(F.startswith("value", F.lit("\ufeff")), F.expr("substring(value, 2)")).otherwise(F.col("value"))
+    lines = F.filter(F.split(text, "\r\n|\n|\r"), lambda line: F.trim(line) != "")
+    names = _cells(F.get("lines", F.lit(0)))
+    place = lambda c: F.array_position("names", c).cast("int") - 1
     lacking = F.filter(F.array(*[F.lit(c) for c in REQUIRED_METRIC_COLUMNS]), lambda c: F.array_position("names", c) == 0)
-    complain = F.raise_error(F.concat(F.lit(f"{LACKS}: "), F.array_join(lacking, ", "), F.lit(" in "), F.col("file")))
-    checked = headed.select(
-        "names", F.when(F.size(lacking) > 0, complain.cast("string")).otherwise(F.col("line")).alias("line"))
-    cells = checked.select("names", _cells(F.col("line")).alias("cells"))
-    place = lambda c: (F.array_position("names", c) - 1).cast("int")
-    return cells.select(*[F.get("cells", place(c)).alias(c) for c in DELIVERED])
+    lacks = F.concat(F.lit(f"{LACKS}: "), F.array_join(lacking, ", "), F.lit(" in "), F.col("file"))
+    parsed = files.select("file", lines.alias("lines"))
+    headed = parsed.select("file", names.alias("names"), F.slice("lines", 2, F.size("lines")).alias("lines"))
+    placed = headed.select(
+        F.when(F.size(lacking) > 0, lacks).alias("lacks"), F.struct(*[place(c).alias(c) for c in DELIVERED]).alias("place"), "lines")
+    rows = placed.select("lacks", "place", F.explode("lines").alias("line"))
+    checked = rows.select(
+        "place", F.when(F.col("lacks").isNotNull(), F.raise_error(F.col("lacks")).cast("string")).otherwise(F.col("line")).alias("line"))
+    cells = checked.select("place", _cells(F.col("line")).alias("cells"))
+    return cells.select(*[F.get("cells", F.col("place")[c]).alias(c) for c in DELIVERED])
 
 
 def delivered_stream(spark: SparkSession, landing: str, fmt: str = "csv") -> DataFrame:

@@ -121,3 +121,25 @@ def test_labels_come_by_projection_and_keep_the_domain_without_id(spark):
     out = label_features(raw, [[-1.0] * 4, [1.0] * 4])
     assert {(r.domain_id, r.cluster_label) for r in out.collect()} == {(None, 0), ("D1", 1)}
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_row_of_the_stream_carries_its_line_and_not_its_file(spark):
+    """A file's lines become rows without a copy of the whole file in each, so memory grows with the file, not its square."""
+    from domainpulse.streaming.incremental import by_own_header
+
+    n = 20_000
+    named, turned = ",".join(NAMES), ",".join(["extra", *NAMES[::-1]])
+    files = [("a", named + "\n" + "".join(f"D{i},2024-01-02,10,0.1,0.2,3.5,4\n" for i in range(n))),
+             ("b", f"﻿{turned}\r\nx,4,3.5,0.2,0.1,10,2024-01-02,E1\r\n \r\nx,4\r\n"), ("c", ""), ("d", "not,a,header\n")]
+    rows = by_own_header(spark.createDataFrame(files, "file string, value string"))
+    node, exploded = rows._jdf.queryExecution().optimizedPlan(), 0
+    while node.children().size():
+        if node.nodeName() == "Generate":
+            exploded += 1
+            carried = node.requiredChildOutput()
+            assert "array" not in [carried.apply(i).dataType().typeName() for i in range(carried.size())]
+        node = node.children().apply(0)
+    assert exploded == 1
+    got = {tuple(r)[:7] for r in rows.collect()}
+    assert got == {(f"D{i}", "2024-01-02", "10", "0.1", "0.2", "3.5", "4") for i in range(n)} | {
+        ("E1", "2024-01-02", "10", "0.1", "0.2", "3.5", "4"), (None,) * 5 + (None, "4")}
