@@ -24,6 +24,9 @@ from domainpulse.session import cut_lineage
 
 Centers = list[list[float]]
 
+#: Rows (a point for a seed) that a task of a step takes up.
+STEP_ROWS = 250_000
+
 
 def weighted_points(scaled: DataFrame, cols: Sequence[str] = SCALED) -> DataFrame:
     """(x0, x1, ..., w): the distinct feature rows with their number of copies."""
@@ -150,6 +153,10 @@ def fit_kmeans(scaled: DataFrame, params: ClusterParams = ClusterParams()) -> tu
     stats = points.agg(F.count(F.lit(1)).alias("points"), *variance).first()
     if stats["points"] < params.k:
         raise ValueError(f"need at least k={params.k} distinct feature rows, found {stats['points']}")
+    # a step has a row per point and seed: AQE coalesces by the points' bytes, so the tasks are dealt out by rows here
+    tasks = -(-stats["points"] * params.restarts // STEP_ROWS)
+    if tasks > 1:
+        points = cut_lineage(points.repartition(tasks, *x))
     spread = sum(stats[c] or 0.0 for c in x) / len(x)
     fit = fit_points(points, params.k, range(params.seed, params.seed + params.restarts), params.max_iter, params.tol * spread, len(x))
     return fit.centers, fit.cost, fit.seed

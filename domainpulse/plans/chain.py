@@ -50,17 +50,19 @@ def run_chain(
     run_date: str | dt.date | None = None,
     validate: bool = True,
     report: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> ChainResult:
     """Score every domain of ``metrics``.
 
     ``centers`` (k lists in standardised space) skips the k-means fit.
+    ``dates``: as in ``kpi.window_filter``; the rollup is then the one reader of ``metrics``.
     With ``validate`` the checks run first (unless a ``report`` is passed)
     and a FAILED issue raises RuntimeError.
     """
     if validate:
         report = report if report is not None else quality.validation_report(domains, metrics)
         quality.raise_on_failure(report)
-    kpi = cut_lineage(kpi_ops.kpi_summary(metrics, cfg.window_days))
+    kpi = cut_lineage(kpi_ops.kpi_summary(metrics, cfg.window_days, dates))
     gaps = gap_ops.gap_candidates(kpi, domains, cfg.gaps)
     feats = feature_ops.build_features(kpi)
     scaled = feature_ops.standardise(feats)
