@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +28,22 @@ TEXT_BATCH = 256
 
 
 @contextlib.contextmanager
-def text_batches(spark: SparkSession, rows: int = TEXT_BATCH):
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def text_batches(spark: SparkSession, rows: int = TEXT_BATCH):
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def shuffles_freed(spark: SparkSession):
+    """Shuffle files of the queries inside go when each ends, not when the driver happens to collect its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def write(df: DataFrame, path: str) -> None:
@@ -49,12 +58,18 @@ def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    with text_batches(spark, batch) if batch else contextlib.nullcontext():
+    with text_batches(spark, batch) if batch else contextlib.nullcontext(), shuffles_freed(spark):
         write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _bytes_in_files(df: DataFrame) -> int:
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``stored`` made, once nothing reads them any more."""
+    folder = df._jdf.queryExecution().analyzed().relation().location().rootPaths().head()
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def bytes_in_files(df: DataFrame) -> int:
     """Bytes of the files that a written table is read from; 0 for any other frame."""
     plan = df._jdf.queryExecution().optimizedPlan()
     return int(str(plan.stats().sizeInBytes())) if plan.nodeName() == "LogicalRelation" else 0
@@ -62,9 +77,36 @@ def _bytes_in_files(df: DataFrame) -> int:
 
 def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is counted to at most ``limit`` rows and its files are small, else as it is."""
-    if _bytes_in_files(df) > BROADCAST_BYTES:
-        return df
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df
+    return F.broadcast(df) if is_small(df, rows, limit) else df
+
+
+def is_small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> bool:
+    if bytes_in_files(df) > BROADCAST_BYTES:
+        return False
+    return (df.count() if rows is None else rows) <= limit
+
+
+#: Bits that ``screened`` marks hashes in: 16 MB in 4096 rows, whatever the number of hashes.
+SCREEN_BITS = 1 << 27
+
+
+def screened(rows: DataFrame, hashed: Column, hashes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose hash may be among the ``hashes`` (a column of this name), and those whose is not.
+
+    For a join with a table too large to broadcast, where few rows match: only the first part need be shuffled.  A hash
+    marks one bit; rows that meet another hash's bit are in the first part too (a share of hashes / ``SCREEN_BITS``).
+    """
+    place = lambda h: F.pmod(h, F.lit(SCREEN_BITS))
+    bucket, bits = (f"_{x}_{uuid.uuid4().hex}" for x in ("bucket", "bits"))  # like no column of the rows
+    marks = hashes.select(place(F.col(name)).alias("place")).select(
+        F.bitmap_bucket_number("place").alias(bucket), F.bitmap_bit_position("place").alias("bit")).repartition(bucket)
+    marks = stored(marks.groupBy(bucket).agg(F.bitmap_construct_agg("bit").alias(bits)), "screen")
+    bit = F.bitmap_bit_position(place(hashed))
+    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    marked = rows.join(F.broadcast(marks), F.bitmap_bucket_number(place(hashed)) == F.col(bucket), "left")
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    return marked.where(hit).select(*own), marked.where(~hit).select(*own)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

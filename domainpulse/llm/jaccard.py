@@ -49,6 +49,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domainpulse.llm.common import TEXT_BATCH, documents, small, stored, text_or_empty, without
+from domainpulse.llm.common import (
+    TEXT_BATCH,
+    bytes_in_files,
+    discard,
+    documents,
+    is_small,
+    screened,
+    small,
+    stored,
+    text_or_empty,
+    without,
+)
 from domainpulse.llm.components import Sets, components
 
 #: Sets joined in one task, pivots of a larger region, sets per chunk, rounds of splitting.
@@ -67,6 +79,8 @@ LEAF_PIVOTS, DIRECT = 4, 24
 STEP, SPARE = 1.5, 1.2
 #: Sets whose blocks are pre-aggregated together in a task.
 BLOCK_SETS = 2048
+#: Bytes of stored block signatures that are shuffled at a time, up to this number of rounds.
+ROUND_BYTES, ROUNDS = 64 << 20, 8
 #: Bytes of a large family's texts that a task takes, and the share of its sets (one in ...) that makes a shingle frequent.
 PIECE, SHARE = 8 << 20, 64
 #: Splitting a region is given up when its parts would hold more than this many times its sets.
@@ -178,7 +192,16 @@ def _described(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _candidates(described: DataFrame) -> DataFrame:
-    """Candidate edges (a, b) between sets (node, blocks) that share a block, enough to connect all that do."""
+    """Candidate edges (a, b) between sets (node, blocks) that share a block, enough to connect all that do.
+
+    Blocks are dealt out in rounds by their signature, so that the shuffle of one round is on disk at a time.
+    """
+    rounds = min(ROUNDS, max(1, -(-bytes_in_files(described) // ROUND_BYTES)))
+    return reduce(DataFrame.union, [stored(_round(described, k, rounds), "jaccard-ties") for k in range(rounds)])
+
+
+def _round(described: DataFrame, k: int, rounds: int) -> DataFrame:
+    """The candidate edges of the blocks of round ``k``."""
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # One row per distinct block of some thousand sets, with its smallest set; the other sets
@@ -191,6 +214,11 @@ def _candidates(described: DataFrame) -> DataFrame:
                     continue
                 block = np.concatenate(rows["blocks"].to_numpy()).astype(np.int64)
                 node = np.repeat(rows["node"].to_numpy(), counts)
+                if rounds > 1:
+                    own = block.view(np.uint64) % np.uint64(rounds) == k
+                    block, node = block[own], node[own]
+                    if not len(block):
+                        continue
                 order = np.lexsort((node, block))
                 block, node = block[order], node[order]
                 first = np.concatenate([[True], block[1:] != block[:-1]])
@@ -554,20 +582,26 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """Also _one: (doc_id is null, doc_id, text_hash) of the row that stands for its component; null without words."""
     described = _described(docs, rule)
-    slim = described.select("doc_id", "text_hash", "n", "node")
-    # A family is named by its smallest set; (a, b): set and family.
-    tied = components(_candidates(described.where("n > 0")))
+    slim = stored(described.select("doc_id", "text_hash", "n", "node"), "jaccard-rows")
+    # A family is named by its smallest set; (a, b): set and family.  Sets without shingles have no blocks.
+    tied = components(_candidates(described))
+    discard(described)  # the block signatures are by far the largest table
     families = stored(tied.union(tied.select("b", "b").distinct()).toDF("node", "family"), "families")
     one_row = F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_hash")
     classes = stored(slim.where("n > 0").groupBy("node").agg(F.min(one_row).alias("row")), "jaccard-classes")
-    members = stored(families.join(classes, "node").select(
-        "node", "family", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")), "family-members")
+    sizes = small(stored(families.groupBy("family").agg(F.count(F.lit(1)).alias("members")), "family-sizes"))
+    members = stored(families.join(classes, "node").join(sizes, "family").select(
+        "node", "family", "members", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")), "family-members")
     hashed = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
-    texts = hashed.join(small(members), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    sizes = small(stored(members.groupBy("family").agg(F.count(F.lit(1)).alias("members")), "family-sizes"))
-    # repeated rows of one id and text are one row per task before they are shuffled
-    texts = texts.select("node", "family", "text").dropDuplicates(["node"]).join(sizes, "family")
-    large = stored(texts.where(F.col("members") > LEAF), "family-texts")
+    if not is_small(members):  # most texts are in no family: they are not shuffled
+        hashed, _ = screened(hashed, F.col("text_hash"), members, "_hash")
+    texts = hashed.join(small(members), F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.col("text_hash") == F.col("_hash"))).select("node", "family", "members", "text")
+    repeated = slim.where("n > 0").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    if not repeated.isEmpty():  # rows of one id and text are one row per task before they are shuffled
+        texts = texts.dropDuplicates(["node"])
+    texts = stored(texts, "family-texts")
+    large = texts.where(F.col("members") > LEAF)
     leaves = texts.where(F.col("members") <= LEAF).withColumns({"seed": F.lit(True), "core": F.lit(False)})
     roots = stored(leaves.groupBy("family").applyInPandas(_leaf(rule), "a long, b long"), "family-links", batch=None)
     if not large.isEmpty():
@@ -597,9 +631,14 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     classes = _classes(docs, rule).where(F.col("_one").isNotNull()).where(
         ~(F.col("doc_id").eqNullSafe(F.col("_one.doc_id")) & (F.col("text_hash") == F.col("_one.text_hash")))).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    dropped = small(stored(classes, "jaccard-dropped"))
-    return docs.join(
-        dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash")), "left_anti")
+    dropped = stored(classes, "jaccard-dropped")
+    hashed = F.xxhash64(text_or_empty())
+    remaining = lambda rows: rows.join(
+        small(dropped), F.col("doc_id").eqNullSafe(F.col("_id")) & (hashed == F.col("_hash")), "left_anti")
+    if is_small(dropped):
+        return remaining(docs)
+    some, others = screened(docs, hashed, dropped, "_hash")
+    return remaining(some).union(others)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
