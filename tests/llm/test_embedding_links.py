@@ -59,3 +59,33 @@ def test_odd_vectors(spark):
     assert got == [(0, 3, 1, False), (1, 3, 1, True), (1, 3, 1, True), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True),
                    (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (10, 3, 1, False)]
     assert ed.embedding_classes(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("pays", [0, 1e9])
+def test_links_over_rounds_of_meetings(spark, monkeypatch, pays):
+    """One cell of all dimensions, and a grid; copies of the vectors in several rounds."""
+    monkeypatch.setattr(ed, "PAYS", pays)
+    monkeypatch.setattr(ed, "CHUNK", 7)
+    monkeypatch.setattr(ed, "CHUNKS", 20)
+    monkeypatch.setattr(ed, "ROUND_BYTES", 1)
+    rounds, stored = [], ed.stored
+    monkeypatch.setattr(ed, "stored", lambda df, name: (rounds.append(name), stored(df, name))[1])
+    rows = vectors() + [(1.0, 0.0), (1.0, 0.01), (0.0, 1.0)]
+    df = spark.createDataFrame([(i, list(v)) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ed.embedding_classes(df).collect()}
+    n = len(rows) - 3
+    assert {k: got[k] for k in range(n)} == brute(rows[:n], ed.COSINE)
+    assert [got[n + k] for k in range(3)] == [(1, n), (1, n), (0, n + 2)]
+    assert rounds.count("vector-links") > 3 and ("vector-cells" in rounds) == (pays > 0)
+
+
+def test_vectors_that_fill_all_dimensions_are_copied_once_a_chunk(spark, monkeypatch):
+    """The copies of 102,564 vectors took 1.4 GB of disk in blocks of eight dimensions."""
+    monkeypatch.setattr(ed, "CHUNK", 64)
+    rnd = np.random.default_rng(9)
+    rows = [(i, 1, list(map(float, rnd.standard_normal(64)))) for i in range(2000)]
+    width, sizes, _ = ed._plan(spark.createDataFrame(rows, "node long, copies long, vector array<double>"), ed.COSINE)
+    assert width is None and [(r["homes"], r["visits"], r["hs"]) for r in sizes.collect()] == [(2000, 0, ed.CHUNKS)]
+    near = [(i, 1, list(map(float, c + rnd.standard_normal(64) * 0.01))) for i in range(2000) for c in [rows[i % 500][2]]]
+    flat = [(i, 1, [*v[:3], *[1e-3 * x for x in v[3:]]]) for i, _, v in near]
+    assert ed._plan(spark.createDataFrame(flat, "node long, copies long, vector array<double>"), 0.999)[0] is not None
